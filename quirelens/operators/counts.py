@@ -17,7 +17,7 @@ def frequency(rows: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
 
 def word_frequency(page_tokens: DataFrame, tokenize: bool = True) -> DataFrame:
     """Lowercased terms, one per page, token and term: stored counts do not enter."""
-    return frequency(terms(page_tokens, lower=tokenize, tokenize=tokenize), "term")
+    return frequency(terms(page_tokens, lower=tokenize, tokenize=tokenize), "term", keep_null=True)
 
 
 def pos_frequency(page_tokens: DataFrame) -> DataFrame:

@@ -14,12 +14,12 @@ from quirelens.settings import BLOOM_FPP
 WORD_BITS = 32
 
 
-def in_dictionary(rows: DataFrame, dictionary: DataFrame, column: str = "term", **limits: int) -> DataFrame:
+def in_dictionary(rows: DataFrame, dictionary: DataFrame, column: str = "term", small: bool | None = None) -> DataFrame:
     """Rows whose ``column`` is a dictionary word."""
     words = dictionary.select(F.col("word").alias(column)).distinct()
-    if fits_broadcast(words, **limits):
+    if fits_broadcast(words) if small is None else small:
         return rows.join(F.broadcast(words), column, "left_semi")
-    return flag_members(rows, dictionary, column, "_known", **limits).filter("_known").drop("_known")
+    return flag_members(rows, dictionary, column, "_known", False).filter("_known").drop("_known")
 
 
 def bloom_shape(n_words: int, fpp: float = BLOOM_FPP) -> tuple[int, int]:
@@ -54,7 +54,11 @@ def bloom_build(dictionary: DataFrame, fpp: float = BLOOM_FPP, n_words: int | No
 
 
 def bloom_probe(rows: DataFrame, bloom: DataFrame, column: str = "term") -> DataFrame:
-    """Rows with ``might_contain``. Only distinct values are tested; the positive ones are joined back."""
+    """Rows with ``might_contain``. Only distinct values are tested; the positive ones are joined back.
+
+    The positive values come out of the rows themselves, so they are not measured beforehand, which would
+    read the rows once more: adaptive execution broadcasts them if they turn out small and splits a hot value.
+    """
     shape = bloom.select("n_bits", "n_hashes").first()
     if shape is None:
         return rows.withColumn("might_contain", F.lit(False))
@@ -69,7 +73,8 @@ def bloom_probe(rows: DataFrame, bloom: DataFrame, column: str = "term") -> Data
     positive = (
         found.groupBy("word").agg(F.bool_and(bit % 2 == 1).alias("all_set")).filter("all_set")
     )
-    return flag_members(rows, positive, column, "might_contain")
+    flags = positive.select(F.col("word").alias(column), F.lit(True).alias("might_contain"))
+    return rows.join(flags, column, "left").withColumn("might_contain", F.coalesce("might_contain", F.lit(False)))
 
 
 def bloom_load_or_build(spark: SparkSession, path: str, dictionary: DataFrame, fpp: float = BLOOM_FPP) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,31 +12,48 @@ from quirelens.operators.lookup import left_lookup
 from quirelens.settings import ZONES
 
 
-def _safe_counts(counts: Column) -> Column:
-    """A count map with safe keys. Of keys that become equal, a rewritten one wins, and among those the later."""
-    entries = F.transform(
-        F.map_entries(counts), lambda e: F.struct(safe_key(e["key"]).alias("key"), e["value"].alias("value"), e["key"].alias("raw"))
-    )
-    verbatim = F.filter(entries, lambda e: e["key"] == e["raw"])
-    rewritten = F.filter(entries, lambda e: e["key"] != e["raw"])
-    ordered = F.concat(verbatim, rewritten)
-    keys = F.transform(ordered, lambda e: e["key"])
-    last = F.filter(
-        ordered, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _is_unsafe(key: Column) -> Column:
+    return F.contains(key, F.lit(".")) | F.contains(key, F.lit("$"))
+
+
+def _rewritten(entries: Column) -> Column:
+    """Entries with safe keys. Of keys that become equal, a rewritten one wins, and among those the later."""
+    renamed = F.transform(
+        F.concat(F.filter(entries, lambda e: ~_is_unsafe(e["key"])), F.filter(entries, lambda e: _is_unsafe(e["key"]))),
+        lambda e: F.struct(safe_key(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    # The pairwise check only runs on a map that has such a clash.
-    unique = F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last)
-    return F.map_from_entries(F.transform(unique, lambda e: F.struct(e["key"], e["value"])))
+
+    def last_of_each(keyed: Column) -> Column:
+        keys = F.transform(keyed, lambda e: e["key"])
+        last = F.filter(keyed, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+        # The pairwise check only runs on a map that has such a clash.
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), keyed).otherwise(last)
+
+    return F.map_from_entries(_bound(renamed, last_of_each))
+
+
+def safe_counts(counts: Column) -> Column:
+    """A count map with safe keys; a map without unsafe keys stays as it is."""
+
+    def checked(m: Column) -> Column:
+        return F.when(F.exists(F.map_keys(m), _is_unsafe), _rewritten(F.map_entries(m))).otherwise(m)
+
+    return _bound(counts, checked)
 
 
 def safe_zone(zone: Column) -> Column:
-    tokens = F.transform_values(zone["tokenPosCount"], lambda _, tags: _safe_counts(tags))
+    tokens = F.transform_values(zone["tokenPosCount"], lambda _, tags: safe_counts(tags))
     return F.when(
         zone.isNotNull(),
         F.struct(
-            _safe_counts(tokens).alias("tokenPosCount"),
-            _safe_counts(zone["beginCharCounts"]).alias("beginCharCounts"),
-            _safe_counts(zone["endCharCount"]).alias("endCharCount"),
+            safe_counts(tokens).alias("tokenPosCount"),
+            safe_counts(zone["beginCharCounts"]).alias("beginCharCounts"),
+            safe_counts(zone["endCharCount"]).alias("endCharCount"),
         ),
     )
 

@@ -11,18 +11,19 @@ from quirelens.operators import fields as M
 from quirelens.operators.explode import explode_pages, token_arrays, unfold
 from quirelens.operators.pos import embedded_map, pos_pair, resolve_pair
 from quirelens.operators.terms import term_arrays
+from quirelens.settings import EMBED_MAX_ROWS
 
 
-def _paired_terms(pages: DataFrame, pos_map: DataFrame, **limits: int) -> DataFrame:
+def _paired_terms(pages: DataFrame, pos_map: DataFrame, max_embed: int) -> DataFrame:
     """Add ``paired``: one struct(lang, upos, term) per term and tag; empty for a page without a language."""
     none = F.array().cast("array<struct<lang: string, upos: string, term: string>>")
-    tree = embedded_map(pos_map, **limits)
+    tree = embedded_map(pos_map, max_embed)
     if tree is None:
         # A map too large to embed: resolve the tags by join and gather each page again.
         tagged = unfold(pages, "terms", "t", "page_id", "langs").select("page_id", "langs", "t.term", "t.pos_tags")
         tagged = unfold(tagged, "pos_tags", "tag", "page_id", "langs", "term")
         paired = (
-            pos_pair(tagged, pos_map)
+            pos_pair(tagged, pos_map, max_embed)
             .filter(F.col("lang").isNotNull())
             .groupBy("page_id")
             .agg(F.collect_list(F.struct("lang", "upos", "term")).alias("paired"))
@@ -76,9 +77,9 @@ def _text_fields(paired: Column) -> Column:
     )
 
 
-def text_fields(pages: DataFrame, pos_map: DataFrame, **limits: int) -> DataFrame:
+def text_fields(pages: DataFrame, pos_map: DataFrame, max_embed: int = EMBED_MAX_ROWS) -> DataFrame:
     """Add ``text_fields`` to pages that carry a ``terms`` array."""
-    return _paired_terms(pages, pos_map, **limits).withColumn("text_fields", _text_fields(F.col("paired"))).drop("paired")
+    return _paired_terms(pages, pos_map, max_embed).withColumn("text_fields", _text_fields(F.col("paired"))).drop("paired")
 
 
 def no_text_flag(terms: Column) -> Column:

@@ -23,6 +23,14 @@ def unfold_map(rows: DataFrame, entries: Column | str, key: str, value: str, *ke
     return rows.select(*keep, F.explode_outer(entries).alias(key, value)).filter(F.col(key).isNotNull())
 
 
+def computed_once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a costly value that later filters refer to.
+
+    A filter on a projected column is pushed below it, value and all; on a generated one it is not.
+    """
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def language_labels(languages: Column) -> Column:
     """Version 1.5: all keys of the ``languages`` array of maps, in order."""
     return F.coalesce(F.flatten(F.transform(languages, F.map_keys)), F.array().cast("array<string>"))

@@ -25,15 +25,15 @@ def left_lookup(
     rows: DataFrame,
     side: DataFrame,
     keys: list[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join on ``keys``; ``side`` must hold each key once.
 
     A small side is broadcast, so ``rows`` is not shuffled. Otherwise both sides are spread over
     ``SALTS`` sub-keys, which keeps a key holding a third of all rows from landing in one task.
+    ``small`` is the answer of ``fits_broadcast`` where the caller has it; else the side is measured here.
     """
-    if fits_broadcast(side, max_rows, max_bytes):
+    if fits_broadcast(side) if small is None else small:
         return rows.join(F.broadcast(side), keys, "left")
     hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int"))
@@ -41,8 +41,8 @@ def left_lookup(
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
-def flag_members(rows: DataFrame, words: DataFrame, column: str, flag: str, **limits: int) -> DataFrame:
+def flag_members(rows: DataFrame, words: DataFrame, column: str, flag: str, small: bool | None = None) -> DataFrame:
     """Add a boolean ``flag``: is ``column`` one of ``words``."""
     side = words.select(F.col("word").alias(column), F.lit(True).alias(flag)).distinct()
-    joined = left_lookup(rows, side, [column], **limits)
+    joined = left_lookup(rows, side, [column], small)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

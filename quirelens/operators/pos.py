@@ -28,49 +28,58 @@ def pos_lookup_checked(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
     return found.withColumn("upos", checked).drop("_mapped")
 
 
-def pos_pair(rows: DataFrame, pos_map: DataFrame, **limits: int) -> DataFrame:
-    """Add (lang, upos): the first of ``langs`` whose map has ``tag``.
+def pos_pair(rows: DataFrame, pos_map: DataFrame, max_embed: int = EMBED_MAX_ROWS) -> DataFrame:
+    """Add (lang, upos, defaulted): the first of ``langs`` whose map has ``tag``.
 
-    When none has it, lang is the first language and upos ``X``, or NULL if that language has no map.
-    Only the distinct (langs, tag) combinations are resolved.
+    When none has it, lang is the first language and upos ``X``, or NULL if that language has no map;
+    ``defaulted`` marks the ``X`` made that way. A map of bounded size becomes a constant of the plan and
+    the pair a projection; with a larger one the distinct (langs, tag) combinations are resolved by join.
     """
+    tree = embedded_map(pos_map, max_embed)
+    if tree is None:
+        return _pos_pair_by_join(rows, pos_map)
+    pair = resolve_pair(F.col("langs"), F.col("tag"), tree)
+    return rows.withColumn("_pair", pair).select(*rows.columns, "_pair.lang", "_pair.upos", "_pair.defaulted")
+
+
+def _pos_pair_by_join(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
     combos = rows.select("langs", "tag").distinct().filter(F.size("langs") > 0)
     tried = combos.select("langs", "tag", F.posexplode("langs").alias("place", "lang"))
-    found = left_lookup(tried, pos_map.select("lang", "tag", "upos"), ["lang", "tag"], **limits)
-    found = left_lookup(found, mapped_languages(pos_map).withColumn("_mapped", F.lit(True)), ["lang"], **limits)
+    found = tried.join(pos_map.select("lang", "tag", "upos"), ["lang", "tag"], "left")
+    found = found.join(mapped_languages(pos_map).withColumn("_mapped", F.lit(True)), "lang", "left")
     hit = F.when(F.col("upos").isNotNull(), F.col("place"))
-    resolved = (
-        found.groupBy("langs", "tag")
-        .agg(
-            F.min_by(F.struct("lang", "upos"), hit).alias("first_hit"),
-            F.min_by(F.struct("lang", "_mapped"), F.col("place")).alias("first_lang"),
-        )
-        .select(
-            "langs",
-            "tag",
-            F.coalesce("first_hit.lang", "first_lang.lang").alias("lang"),
-            F.coalesce("first_hit.upos", F.when(F.col("first_lang._mapped"), F.lit(UNMAPPED_TAG))).alias("upos"),
-        )
+    resolved = found.groupBy("langs", "tag").agg(
+        F.min_by(F.struct("lang", "upos"), hit).alias("first_hit"),
+        F.min_by(F.struct("lang", "_mapped"), F.col("place")).alias("first_lang"),
+    )
+    fallback = F.when(F.col("first_lang._mapped"), F.lit(UNMAPPED_TAG))
+    side = resolved.select(
+        F.to_json("langs").alias("_langs"),
+        "tag",
+        F.coalesce("first_hit.lang", "first_lang.lang").alias("lang"),
+        F.coalesce("first_hit.upos", fallback).alias("upos"),
+        (F.col("first_hit.upos").isNull() & fallback.isNotNull()).alias("defaulted"),
+    )
+    # One common pair may hold a large share of the rows: adaptive execution splits it.
+    keyed = rows.withColumn("_langs", F.to_json("langs"))
+    return keyed.join(side, ["_langs", "tag"], "left").drop("_langs").withColumn(
+        "defaulted", F.coalesce("defaulted", F.lit(False))
     )
-    separator = "\u0001"
-    keyed = rows.withColumn("_langs", F.array_join("langs", separator))
-    side = resolved.select(F.array_join("langs", separator).alias("_langs"), "tag", "lang", "upos")
-    return left_lookup(keyed, side, ["_langs", "tag"], **limits).drop("_langs")
 
 
-def pos_pair_homogeneous(rows: DataFrame, tag_map: DataFrame, **limits: int) -> DataFrame:
+def pos_pair_homogeneous(rows: DataFrame, tag_map: DataFrame) -> DataFrame:
     """One tag map (tag, upos) for all languages; the language is always the first one.
 
     Without a match only the tag ``UKN`` becomes ``X``; any other tag stays NULL.
     """
-    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"], **limits)
+    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"])
     fallback = F.when(F.col("tag") == UNKNOWN_SOURCE_TAG, F.lit(UNMAPPED_TAG))
     return found.withColumn("lang", F.get("langs", F.lit(0))).withColumn("upos", F.coalesce("upos", fallback))
 
 
-def pos_checked_homogeneous(rows: DataFrame, tag_map: DataFrame, **limits: int) -> DataFrame:
+def pos_checked_homogeneous(rows: DataFrame, tag_map: DataFrame) -> DataFrame:
     """One tag map: ``UKN`` becomes ``''``, a missing tag ``X``."""
-    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"], **limits)
+    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"])
     checked = F.when(F.col("tag") == UNKNOWN_SOURCE_TAG, F.lit("")).otherwise(F.coalesce("upos", F.lit(UNMAPPED_TAG)))
     return found.withColumn("upos", checked)
 
@@ -82,14 +91,12 @@ def merge_tag_maps(pos_map: DataFrame) -> DataFrame:
 
 def missing_pos(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
     """How often each ``lang:tag`` fell back to ``X``: a mapped first language, and no language has the tag."""
-    paired = pos_pair(rows, pos_map)
-    # A fallback is a pair that no map holds; maps may hold X as a regular entry.
-    held = pos_map.select("lang", "tag", F.lit(True).alias("_held"))
     return (
-        left_lookup(paired.filter(F.col("upos") == UNMAPPED_TAG), held, ["lang", "tag"])
-        .filter(F.col("_held").isNull())
-        .groupBy(F.concat_ws(":", "lang", "tag").alias("lang_tag"))
+        pos_pair(rows, pos_map)
+        .filter("defaulted")
+        .groupBy("lang", "tag")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.concat_ws(":", "lang", "tag").alias("lang_tag"), "n")
     )
 
 
@@ -116,7 +123,7 @@ def embedded_map(pos_map: DataFrame, max_rows: int = EMBED_MAX_ROWS) -> Column |
 
 
 def resolve_pair(langs: Column, tag: Column, tree: Column) -> Column:
-    """``pos_pair`` for one row: struct(lang, upos) out of a constant map."""
+    """``pos_pair`` for one row: struct(lang, upos, defaulted) out of a constant map."""
 
     def look(lang: Column) -> Column:
         return F.try_element_at(F.try_element_at(tree, lang), tag)
@@ -124,4 +131,8 @@ def resolve_pair(langs: Column, tag: Column, tree: Column) -> Column:
     first = F.get(langs, F.lit(0))
     hit = F.get(F.filter(langs, lambda lang: look(lang).isNotNull()), F.lit(0))
     fallback = F.when(F.try_element_at(tree, first).isNotNull(), F.lit(UNMAPPED_TAG))
-    return F.struct(F.coalesce(hit, first).alias("lang"), F.coalesce(look(hit), fallback).alias("upos"))
+    return F.struct(
+        F.coalesce(hit, first).alias("lang"),
+        F.coalesce(look(hit), fallback).alias("upos"),
+        (hit.isNull() & fallback.isNotNull()).alias("defaulted"),
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirelens.functions import text
 from quirelens.operators.explode import unfold
-from quirelens.operators.lookup import flag_members
+from quirelens.operators.lookup import fits_broadcast, flag_members
 
 
 def terms(page_tokens: DataFrame, lower: bool = False, tokenize: bool = True) -> DataFrame:
@@ -25,11 +25,12 @@ def fold_terms(page_terms: DataFrame) -> DataFrame:
     return unfold(page_terms, text.words(F.col("term")), "term", *kept).withColumn("term", F.lower("term"))
 
 
-def dictionary_filter(page_terms: DataFrame, dictionary: DataFrame, **limits: int) -> DataFrame:
+def dictionary_filter(page_terms: DataFrame, dictionary: DataFrame, small: bool | None = None) -> DataFrame:
     """Lowercased sub-terms: all of them when the term itself is a dictionary word, else the ones that are."""
-    whole = flag_members(page_terms, dictionary, "term", "_whole", **limits)
+    small = fits_broadcast(dictionary) if small is None else small
+    whole = flag_members(page_terms, dictionary, "term", "_whole", small)
     parts = fold_terms(whole)
-    checked = flag_members(parts, dictionary, "term", "_part", **limits)
+    checked = flag_members(parts, dictionary, "term", "_part", small)
     return checked.filter(F.col("_whole") | F.col("_part")).select(*page_terms.columns)
 
 

@@ -23,9 +23,7 @@ VOLS = "WITH " + Q.pages_cte()
 
 def _damaged(spark, d):
     """Record text with some records cut short or without features, by what their text ends in."""
-    raw = T.raw_volumes(spark, d).join(
-        T._documents(spark, d, "documents").select(F.col("volume_id").alias("key"), F.right("text", F.lit(1)).alias("last")), "key"
-    )
+    raw = T.raw_volumes(spark, d, keep=(F.right("text", F.lit(1)),)).withColumnRenamed("_keep0", "last")
     cut = F.substr(F.col("json"), F.lit(1), F.length("json") - 40)
     json = (
         F.when(F.col("last") == "|", cut)
@@ -83,9 +81,8 @@ def word_frequency_filelist(spark, d):
  CASE WHEN right(text, 1) IN ('|', '#', '&') THEN NULL ELSE n_lines END AS n_pages FROM vol""",
 )
 def src_volume_json(spark, d):
-    good, bad = records.parse_volumes(_damaged(spark, d))
-    kept = good.select(F.col("volume_id").alias("key"), F.lit(None).cast("string").alias("reason"), F.size("pages").alias("n_pages"))
-    return kept.unionAll(bad.select("key", "reason", F.lit(None).cast("int").alias("n_pages")))
+    judged = records.judge_volumes(_damaged(spark, d))
+    return judged.select("key", "reason", F.when(F.col("reason").isNull(), F.size("pages")).alias("n_pages"))
 
 
 CONCEPT_ROWS = "WITH " + Q.CONCEPTS + " SELECT document, collection, source_page, array_to_string(vals, '|') AS texts FROM con"

@@ -22,6 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer parts than that, as with one small file; else as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def record_id(doc_id: Column, source: Column) -> Column:
     return F.when(doc_id % 2 == 0, F.concat(F.lit("dul1.ark:/13960/t"), doc_id.cast("string"))).otherwise(
         F.concat_ws(".", source, doc_id.cast("string"))
@@ -29,7 +35,7 @@ def record_id(doc_id: Column, source: Column) -> Column:
 
 
 def _documents(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    rows = read(spark, sf_dir, table)
+    rows = spread(read(spark, sf_dir, table))
     if table == "benchmark":
         rows = rows.select(
             F.col("item_id").alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit("bench").alias("source"),
@@ -38,10 +44,19 @@ def _documents(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.withColumn("volume_id", record_id(F.col("doc_id"), F.col("source")))
 
 
-def _tags(key: Column) -> Column:
-    base = F.element_at(F.array(F.lit("NN"), F.lit("VB"), F.lit("JJ"), F.lit("QQ")), F.length(key) % 4 + 1)
-    proper = F.when(F.rlike(key, F.lit(r"^\p{Lu}")), F.array(F.lit("NNP"))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.length(key) == 1, F.array().cast("array<string>")).otherwise(F.concat(F.array(base), proper))
+TAGS = ["NN", "VB", "JJ", "QQ"]
+
+
+def _tag_counts(key: Column) -> Column:
+    """A token's tags by its length, ``NNP`` beside it for a capital, none for a single character: constant maps."""
+
+    def tags(*extra: str) -> Column:
+        made = [F.create_map(*[F.lit(v) for t in (tag, *extra) for v in (t, len(t))]) for tag in TAGS]
+        place = F.length(key) % 4
+        return F.when(place == 0, made[0]).when(place == 1, made[1]).when(place == 2, made[2]).otherwise(made[3])
+
+    none = F.create_map().cast("map<string, int>")
+    return F.when(F.length(key) == 1, none).when(F.rlike(key, F.lit(r"^\p{Lu}")), tags("NNP")).otherwise(tags())
 
 
 def _counts(keys: Column, value) -> Column:
@@ -52,9 +67,9 @@ def _zone(tokens: Column, begin: Column, end: Column) -> Column:
     return F.struct(tokens.alias("tokenPosCount"), begin.alias("beginCharCounts"), end.alias("endCharCount"))
 
 
-def _page(keys: Column, index: Column, lang: Column, version: str, zones: bool) -> Column:
+def _page(keys: Column, index: Column, lang: Column, version: str, zones: bool, bodies: bool) -> Column:
     n, width = F.size(keys), F.length(F.array_join(keys, ""))
-    tag_counts = _counts(keys, lambda k: _counts(_tags(k), lambda t: F.length(t)))
+    tag_counts = _counts(keys, _tag_counts)
     tokens = F.when(~((n == 2) & (width <= 8)), tag_counts)
     begin = end = F.lit(None).cast("map<string, int>")
     if zones:
@@ -76,7 +91,8 @@ def _page(keys: Column, index: Column, lang: Column, version: str, zones: bool)
         one = F.create_map(number, F.create_map(F.lit("C$D"), F.lit(1)))
         header = _zone(one, F.create_map(F.lit("p"), F.lit(1)), F.create_map(F.right(number, F.lit(1)), F.lit(1)))
         parts.append(header.alias("header"))
-    parts.append(body.alias("body"))
+    if bodies:
+        parts.append(body.alias("body"))
     if zones:
         none = F.lit(None)
         parts.append(
@@ -86,9 +102,19 @@ def _page(keys: Column, index: Column, lang: Column, version: str, zones: bool)
 
 
 def volumes(
-    spark: SparkSession, sf_dir: str, version: str = "2", zones: bool = False, metadata: bool = False, table: str = "documents"
+    spark: SparkSession,
+    sf_dir: str,
+    version: str = "2",
+    zones: bool = False,
+    metadata: bool = False,
+    table: str = "documents",
+    bodies: bool = True,
+    keep: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """(id, volume_id, metadata, page_count, pages); metadata is JSON text, header and counts only with ``zones``."""
+    """(id, volume_id, metadata, page_count, pages); metadata is JSON text, header and counts only with ``zones``.
+
+    A query that reads no tokens asks for pages without ``bodies``.
+    """
     rows = _documents(spark, sf_dir, table)
     lines = F.split("text", "\n")
     last = F.right("text", F.lit(1))
@@ -104,20 +130,25 @@ def volumes(
         count.alias("page_count"),
         keys.alias("keys"),
         "lang",
+        *[k.alias(f"_keep{i}") for i, k in enumerate(keep)],
     )
-    pages = F.transform("keys", lambda k, i: _page(k, i, F.col("lang"), version, zones))
-    return found.select("id", "volume_id", "metadata", "page_count", pages.alias("pages"))
+    pages = F.transform("keys", lambda k, i: _page(k, i, F.col("lang"), version, zones, bodies))
+    kept = [F.col(f"_keep{i}") for i in range(len(keep))]
+    return found.select("id", "volume_id", "metadata", "page_count", pages.alias("pages"), *kept)
 
 
-def raw_volumes(spark: SparkSession, sf_dir: str, version: str = "2", zones: bool = False, table: str = "documents") -> DataFrame:
-    """(key, json): the volumes as record text."""
-    found = volumes(spark, sf_dir, version, zones, True, table)
+def raw_volumes(
+    spark: SparkSession, sf_dir: str, version: str = "2", zones: bool = False, table: str = "documents", keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """(key, json): the volumes as record text; a ``keep`` value of the source row stays as a further column."""
+    found = volumes(spark, sf_dir, version, zones, True, table, keep=keep)
     features = F.struct(F.col("page_count").alias("pageCount"), F.col("pages").alias("pages"))
     body = F.to_json(F.struct("id", features.alias("features")), {"ignoreNullFields": "false"})
     record = F.concat(
         F.lit('{"metadata":'), F.coalesce("metadata", F.lit("null")), F.lit(","), F.substr(body, F.lit(2))
     )
-    return found.select(F.col("volume_id").alias("key"), record.alias("json"))
+    kept = [F.col(f"_keep{i}") for i in range(len(keep))]
+    return found.select(F.col("volume_id").alias("key"), record.alias("json"), *kept)
 
 
 def _json(*pieces: Column | str) -> Column:

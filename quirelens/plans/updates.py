@@ -12,6 +12,7 @@ from quirelens.plans import sql as Q
 from quirelens.plans import tables as T
 from quirelens.plans.registry import query
 from quirelens.plans.unfold import ZONE_ROWS
+from quirelens.settings import ZONES
 
 CON = "WITH " + Q.CONCEPTS
 
@@ -116,14 +117,17 @@ SAFE = "replace(replace({0}, '.', '<PERIOD>'), '$', '<DOLLAR>')"
 )
 def docstore_keys(spark, d):
     pages = docstore.safe_zone_maps(X.explode_pages(T.volumes(spark, d, zones=True)))
-    keys = X.explode_zones(pages).select("zone", "count_map", "key")
-    zones = F.array(*[F.struct(F.lit(z).alias("zone"), F.col(f"{z}.tokenPosCount").alias("m")) for z in ("header", "body", "footer")])
-    tags = (
-        pages.select(F.explode(zones).alias("e"))
-        .select("e.zone", F.explode("e.m").alias("token", "tags"))
-        .select("zone", F.lit("tags").alias("count_map"), F.explode(F.map_keys("tags")).alias("key"))
-    )
-    return keys.unionAll(tags).groupBy("zone", "count_map", "key").agg(F.count(F.lit(1)).alias("n_pages"))
+    one = pages.select(F.explode_outer(F.array(*[F.struct(F.lit(z).alias("zone"), F.col(z).alias("z")) for z in ZONES])).alias("e"))
+    names = {
+        "tokenPosCount": F.map_keys("e.z.tokenPosCount"),
+        "beginCharCounts": F.map_keys("e.z.beginCharCounts"),
+        "endCharCount": F.map_keys("e.z.endCharCount"),
+        "tags": F.flatten(F.transform(F.map_values("e.z.tokenPosCount"), F.map_keys)),
+    }
+    lists = F.array(*[F.struct(F.lit(n).alias("count_map"), k.alias("names")) for n, k in names.items()])
+    per_map = X.unfold(one, lists, "m", "e.zone").select("zone", "m.count_map", "m.names")
+    keys = X.unfold(per_map, "names", "key", "zone", "count_map")
+    return keys.groupBy("zone", "count_map", "key").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
 @query("docstore_id", f"WITH v AS (SELECT {Q.DOC_ID} AS vid, text FROM documents) SELECT 'https://data.example.org/extracted-features/20200210/' || vid AS _id FROM v")
