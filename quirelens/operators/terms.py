@@ -25,38 +25,56 @@ def fold_terms(page_terms: DataFrame) -> DataFrame:
     return unfold(page_terms, text.words(F.col("term")), "term", *kept).withColumn("term", F.lower("term"))
 
 
-def dictionary_filter(page_terms: DataFrame, dictionary: DataFrame, small: bool | None = None) -> DataFrame:
-    """Lowercased sub-terms: all of them when the term itself is a dictionary word, else the ones that are."""
+def _checked(page_terms: DataFrame, dictionary: DataFrame, broken: bool, small: bool | None) -> DataFrame:
+    """Lowercased sub-terms with ``_kept``; a row without a term or without sub-terms stays as a row not kept."""
     small = fits_broadcast(dictionary) if small is None else small
     whole = flag_members(page_terms, dictionary, "term", "_whole", small)
-    parts = fold_terms(whole)
+    if broken:
+        # A word-break term broken again is itself.
+        parts = whole.withColumn("term", F.lower("term"))
+    else:
+        others = [c for c in whole.columns if c != "term"]
+        parts = whole.select(*others, F.explode_outer(text.words(F.col("term"))).alias("term")).withColumn("term", F.lower("term"))
     checked = flag_members(parts, dictionary, "term", "_part", small)
-    return checked.filter(F.col("_whole") | F.col("_part")).select(*page_terms.columns)
+    kept = F.col("term").isNotNull() & (F.col("_whole") | F.col("_part"))
+    return checked.withColumn("_kept", kept).select(*page_terms.columns, "_kept")
+
+
+def dictionary_filter(
+    page_terms: DataFrame, dictionary: DataFrame, broken: bool = False, small: bool | None = None
+) -> DataFrame:
+    """Lowercased sub-terms: all of them when the term itself is a dictionary word, else the ones that are.
+
+    ``broken`` says that the terms are word-break terms already. ``small`` is the answer of
+    ``fits_broadcast`` for the dictionary, where the caller has it.
+    """
+    return _checked(page_terms, dictionary, broken, small).filter("_kept").drop("_kept")
 
 
 def page_terms(page_tokens: DataFrame, dictionary: DataFrame | None = None, tokenize: bool = True) -> DataFrame:
     """The terms indexed for a page: dictionary-filtered when a dictionary is given, else case-folded."""
     found = terms(page_tokens, tokenize=tokenize)
-    return fold_terms(found) if dictionary is None else dictionary_filter(found, dictionary)
+    if dictionary is not None:
+        return dictionary_filter(found, dictionary, tokenize)
+    return found.withColumn("term", F.lower("term")) if tokenize else fold_terms(found)
 
 
 def term_arrays(pages: DataFrame, dictionary: DataFrame | None = None, tokenize: bool = True) -> DataFrame:
     """Pages with a ``terms`` array in place of ``tokens``.
 
-    Without a dictionary this is a projection. With one, the terms are joined and gathered again by
-    page; a group is one page, which is one part of one record. Pages left without terms stay.
+    Without a dictionary this is a projection. With one, the terms are looked up as rows and gathered
+    again by page in the same pass; a group is one page, which is one part of one record. Pages left
+    without terms stay.
     """
-    found = pages.withColumn("terms", text.split_terms(F.col("tokens"), tokenize=tokenize)).drop("tokens")
+    others = [c for c in pages.columns if c != "tokens"]
     if dictionary is None:
-        return found.withColumn("terms", text.fold_terms(F.col("terms")))
-    rows = unfold(found, "terms", "t", "page_id").select("page_id", "t.term", "t.pos_tags")
-    kept = (
-        dictionary_filter(rows, dictionary)
-        .groupBy("page_id")
-        .agg(F.collect_list(F.struct("term", "pos_tags")).alias("terms"))
-    )
-    none = F.array().cast("array<struct<term: string, pos_tags: array<string>>>")
-    return found.drop("terms").join(kept, "page_id", "left").withColumn("terms", F.coalesce("terms", none))
+        folded = text.split_terms(F.col("tokens"), lower=True) if tokenize else text.fold_terms(text.split_terms(F.col("tokens"), tokenize=False))
+        return pages.select(*others, folded.alias("terms"))
+    split = pages.select(*others, F.explode_outer(text.split_terms(F.col("tokens"), tokenize=tokenize)).alias("t"))
+    rows = split.select(*others, "t.term", "t.pos_tags")
+    kept = F.collect_list(F.when(F.col("_kept"), F.struct("term", "pos_tags"))).alias("terms")
+    carried = [F.first(c).alias(c) for c in others if c != "page_id"]
+    return _checked(rows, dictionary, tokenize, None).groupBy("page_id").agg(*carried, kept).select(*others, "terms")
 
 
 def page_text(pages: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:

@@ -72,7 +72,7 @@ def _gathered(rows: DataFrame) -> DataFrame:
 
 @query("dictionary_filter", Q.terms() + KEPT_TERMS + BAG.format("term", "kept"))
 def dictionary_filter(spark, d):
-    return _gathered(W.dictionary_filter(W.terms(page_tokens(spark, d)), T.dictionary(spark, d)))
+    return _gathered(W.dictionary_filter(W.terms(page_tokens(spark, d)), T.dictionary(spark, d), broken=True))
 
 
 @query("dictionary_filter_raw", Q.tokens() + KEPT_RAW + BAG.format("term", "kept"))

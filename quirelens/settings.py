@@ -94,6 +94,7 @@ def build_session(app_name: str = "quirelens", master: str | None = None, shuffl
     return (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
