@@ -48,11 +48,11 @@ def _write_bz2_files(spark, d):
     root, list_path = shared_path(spark, "files"), shared_path(spark, "filelist")
     raw = T.raw_volumes(spark, d, table="benchmark")
     (
-        raw.select(F.regexp_replace(ids.id_to_stubby(F.col("key")), "[/,.=+:]", "_").alias("stub"), "json")
+        raw.select(F.element_at(F.split(ids.id_to_stubby(F.col("key")), "/"), -1).alias("stub"), "json")
         .write.partitionBy("stub").option("compression", "bzip2").text(root)
     )
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.bz2").load(root)
-    found.select(F.url_decode(records._relative("path", root)).alias("value")).write.text(list_path)
+    found.select(records.file_paths(root).alias("value")).write.text(list_path)
     return root, list_path
 
 
@@ -200,7 +200,7 @@ def sink_page_json_bz2(spark, d):
     path = shared_path(spark, "page-docs")
     found = M.parse_metadata(T.volumes(spark, d, metadata=True))
     documents = D.page_documents(found, T.pos_map(spark, d))
-    files.write_page_docs(files.page_files(X.explode_pages(found), documents), path)
+    files.write_page_docs(files.page_files(X.explode_pages(T.volumes(spark, d)), documents), path)
     back = spark.read.schema("path string, json string").json(path)
     return back.select("path", F.get_json_object("json", "$.add.doc.id").alias("doc_id"))
 

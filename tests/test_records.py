@@ -122,15 +122,16 @@ def test_packed_round_trip(spark, tmp_path):
 
 def test_file_list(spark, tmp_path):
     root = tmp_path / "files"
-    for name in ("a/one.json.bz2", "a/b/two words.json.bz2", "c/three.json.bz2"):
+    plus = "dul1/a+3/files/dul1.ark+=13960=t4,1.json.bz2"
+    for name in ("a/one.json.bz2", "a/b/two words.json.bz2", "c/three.json.bz2", plus):
         path = root / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(bz2.compress(json.dumps({"name": name}, indent=1).encode()))
     wanted = tmp_path / "list.txt"
-    wanted.write_text("a/one.json.bz2\na/b/two words.json.bz2\n")
+    wanted.write_text(f"a/one.json.bz2\na/b/two words.json.bz2\n{plus}\n")
     got = records.read_filelist(spark, str(wanted), str(root))
     assert [(p, json.loads(j)["name"]) for p, j in rows(got, "path", "json")] == [
-        ("a/b/two words.json.bz2",) * 2, ("a/one.json.bz2",) * 2,
+        ("a/b/two words.json.bz2",) * 2, ("a/one.json.bz2",) * 2, (plus, plus),
     ]
     wanted.write_text("a/one.json.bz2\nmissing.json.bz2\n")
     assert records.read_filelist(spark, str(wanted), str(root), strict=False).count() == 1
@@ -242,5 +243,16 @@ def test_catalogue_languages(spark):
     assert [tuple(r) for r in counts.catalog_lang_frequency(made, keep_null=True).collect()] == [(None, 4), ("eng", 2), ("fre", 1)]
 
 
+def test_page_documents_in_folders(spark, tmp_path):
+    good, _ = parsed(spark, [record("a.b", [page({"x": {"NN": 1}}), page(None)])])
+    pages = X.explode_pages(good)
+    made = X.indexable_pages(pages).select("volume_id", F.col("page_id").alias("doc_id"), F.lit('{"add":{}}').alias("json"))
+    want = [("a/b/a.b/pages/page-000000.json.bz2", '{"add":{}}'), ("a/b/a.b/pages/page-000001.json.bz2", "{}")]
+    for parts in (None, 4):
+        out = str(tmp_path / f"out{parts}")
+        files.write_page_docs(files.page_files(pages, made), out, parts)
+        assert rows(spark.read.schema("path string, json string").json(out), "path", "json") == want
+
+
 def test_dry_run_counts(spark):
     assert files.dry_run(spark.range(17)) == {"n_rows": 17}
