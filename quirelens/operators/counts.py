@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quirelens.operators.explode import explode_pos
+from quirelens.operators.explode import explode_pos, unfold
 from quirelens.operators.terms import terms
 
 
@@ -25,7 +25,7 @@ def pos_frequency(page_tokens: DataFrame) -> DataFrame:
 
 
 def page_lang_frequency(pages: DataFrame) -> DataFrame:
-    return frequency(pages.select(F.explode("langs").alias("lang")), "lang")
+    return frequency(unfold(pages, "langs", "lang"), "lang", keep_null=True)
 
 
 def catalog_languages(metadata: Column) -> Column:

@@ -119,7 +119,7 @@ def lang_pos_text_fields_v15(spark, d):
 @query("no_text_flag", Q.terms() + KEPT_TERMS + " SELECT page_id, 'efnotext_b' AS field FROM ix WHERE page_id NOT IN (SELECT page_id FROM kept)")
 def no_text_flag(spark, d):
     pages = term_arrays(token_pages(spark, d), T.dictionary(spark, d))
-    return pages.select("page_id", F.explode(D.no_text_flag(F.col("terms"))).alias("f")).select("page_id", "f.field")
+    return X.unfold(pages, D.no_text_flag(F.col("terms")), "f", "page_id").select("page_id", "f.field")
 
 
 PAGE_DOCS = (

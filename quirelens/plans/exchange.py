@@ -125,19 +125,20 @@ def src_concept_array(spark, d):
     return _concept_rows(lists.read_concepts(spark, lines))
 
 
-# Every document serves as one map file of its language: words become parts.
+# Every document serves as one map file: a line with one comma makes two parts.
 @query(
     "src_pos_maps",
-    """WITH f AS (SELECT lang, text, printf('%s-%012d.map', lang, doc_id) AS file FROM documents),
- kept AS (SELECT lang, arg_max(string_split(replace(text, ' ', chr(9)), chr(10)), file) AS lines FROM f GROUP BY lang),
+    """WITH f AS (SELECT text, md5(CAST(doc_id AS VARCHAR)) || '.map' AS file FROM documents),
+ kept AS (SELECT substr(file, 1, 2) AS lang, arg_max(string_split(replace(text, ', ', chr(9)), chr(10)), file) AS lines FROM f GROUP BY 1),
  ln AS (SELECT lang, unnest(range(1, len(lines) + 1)) AS i, lines FROM kept),
- parts AS (SELECT lang, i, string_split(rtrim(lines[i], chr(9)), chr(9)) AS p FROM ln)
+ parts AS (SELECT lang, i, string_split(rtrim(lines[i], chr(9)), chr(9)) AS p FROM ln
+  WHERE NOT starts_with(lines[i], '#') AND NOT regexp_matches(lines[i], '^\\s*$'))
  SELECT lang, p[1] AS tag, arg_max(p[2], i) AS upos FROM parts WHERE len(p) = 2 GROUP BY lang, p[1]""",
 )
 def src_pos_maps(spark, d):
     rows = T.read(spark, d, "documents").select(
-        F.format_string("%s-%012d.map", F.col("lang"), F.col("doc_id")).alias("file"),
-        F.replace("text", F.lit(" "), F.lit("\t")).alias("content"),
+        F.concat(F.md5(F.col("doc_id").cast("string")), F.lit(".map")).alias("file"),
+        F.replace("text", F.lit(", "), F.lit("\t")).alias("content"),
     )
     return lists.pos_map_lines(rows)
 
@@ -205,14 +206,14 @@ def sink_page_json_bz2(spark, d):
     return back.select("path", F.get_json_object("json", "$.add.doc.id").alias("doc_id"))
 
 
-ENDPOINTS = ["http://index1:8983/solr/ef/update", "http://index2:8983/solr/ef/update", "http://index3:8983/solr/ef/update"]
+ENDPOINTS = ["http://index1:8983/search/books/update", "http://index2:8983/search/books/update", "http://index3:8983/search/books/update"]
 PICKED = "list_transform(range(0, 10), lambda a: CAST('0x' || substr(md5('42:' || a || ':' || volume_id), 1, 8) AS BIGINT) % 3 + 1)"
 
 
 @query(
     "sink_update_batches",
     f"""WITH v AS (SELECT {Q.DOC_ID} AS volume_id, doc_id AS d FROM documents WHERE doc_id % 29 <> 0)
- SELECT volume_id, volume_id AS doc_id, array_to_string(list_transform({PICKED}, lambda i: 'http://index' || i || ':8983/solr/ef/update'), ' ') AS endpoints FROM v""",
+ SELECT volume_id, volume_id AS doc_id, array_to_string(list_transform({PICKED}, lambda i: 'http://index' || i || ':8983/search/books/update'), ' ') AS endpoints FROM v""",
 )
 def sink_update_batches(spark, d):
     commands = updates.update_commands(D.volume_documents(T.parsed_metadata(spark, d)), ENDPOINTS)
@@ -222,8 +223,8 @@ def sink_update_batches(spark, d):
 @query(
     "endpoint_expand",
     """WITH t AS (SELECT page_id, CASE WHEN contains(url, '?') AND contains(url, 'm.') THEN NULL
-   ELSE regexp_extract(url, '^https?://[^/]+') || CASE WHEN contains(url, '#') THEN '/solr' ELSE ':8983/solr' END END AS base,
-  'c' || page_id AS collection, CASE WHEN contains(url, '/en/') THEN NULL WHEN contains(url, '/fr/') THEN 'n' || page_id || ':80' ELSE 'solr1:8983,solr2:9000' END AS nodes FROM pages),
+   ELSE regexp_extract(url, '^https?://[^/]+') || CASE WHEN contains(url, '#') THEN '/search' ELSE ':8983/search' END END AS base,
+  'c' || page_id AS collection, CASE WHEN contains(url, '/en/') THEN NULL WHEN contains(url, '/fr/') THEN 'n' || page_id || ':80' ELSE 'node1:8983,node2:9000' END AS nodes FROM pages),
  e AS (SELECT page_id, base || '/' || collection || '/update' AS plain, unnest(CASE WHEN nodes IS NULL THEN [NULL] ELSE string_split(nodes, ',') END) AS node FROM t WHERE base IS NOT NULL)
  SELECT page_id, node, CASE WHEN node IS NULL THEN plain ELSE regexp_replace(plain, '//.*?:\\d+/', '//' || node || '/') END AS url FROM e""",
 )
@@ -232,11 +233,11 @@ def endpoint_expand(spark, d):
     host = F.regexp_extract(url, "^https?://[^/]+", 0)
     rows = T.read(spark, d, "pages").select(
         "page_id",
-        F.when(~(F.contains(url, F.lit("?")) & F.contains(url, F.lit("m."))), F.concat(host, F.when(F.contains(url, F.lit("#")), "/solr").otherwise(":8983/solr"))).alias("base"),
+        F.when(~(F.contains(url, F.lit("?")) & F.contains(url, F.lit("m."))), F.concat(host, F.when(F.contains(url, F.lit("#")), "/search").otherwise(":8983/search"))).alias("base"),
         F.concat(F.lit("c"), F.col("page_id").cast("string")).alias("collection"),
         F.when(F.contains(url, F.lit("/en/")), F.lit(None))
         .when(F.contains(url, F.lit("/fr/")), F.concat(F.lit("n"), F.col("page_id").cast("string"), F.lit(":80")))
-        .otherwise("solr1:8983,solr2:9000").alias("nodes"),
+        .otherwise("node1:8983,node2:9000").alias("nodes"),
     )
     return updates.expand_endpoints(rows).select("page_id", "node", "url")
 

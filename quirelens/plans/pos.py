@@ -91,12 +91,12 @@ LANGS15 = "WITH " + Q.pages_cte() + """, lab AS (SELECT page_id, unnest(CASE WHE
 
 @query("page_lang_labels_v15", LANGS15 + " SELECT page_id, lang FROM lab")
 def page_lang_labels_v15(spark, d):
-    return X.explode_pages(T.volumes(spark, d, "1.5", bodies=False)).select("page_id", F.explode("langs").alias("lang"))
+    return X.unfold(X.explode_pages(T.volumes(spark, d, "1.5", bodies=False)), "langs", "lang", "page_id")
 
 
 @query("page_lang_label_v2", "WITH " + Q.pages_cte() + " SELECT page_id, plang AS lang FROM pg WHERE plang IS NOT NULL")
 def page_lang_label_v2(spark, d):
-    return X.explode_pages(T.volumes(spark, d, bodies=False)).select("page_id", F.explode("langs").alias("lang"))
+    return X.unfold(X.explode_pages(T.volumes(spark, d, bodies=False)), "langs", "lang", "page_id")
 
 
 @query("page_lang_frequency", LANGS15 + " SELECT lang, count(*) AS n FROM lab GROUP BY lang")

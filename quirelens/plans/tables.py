@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quirelens.functions import ids, text
 from quirelens.operators import fields as M
+from quirelens.operators.explode import unfold
 from quirelens.settings import ORGANIZATION_TYPE
 
 RECORD_PREFIX = "https://data.example.org/extracted-features/20200210/"
@@ -257,7 +258,7 @@ def pos_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(word): the distinct lowercased words of the benchmark passages."""
-    return read(spark, sf_dir, "benchmark").select(F.explode(text.words(F.col("text"), True)).alias("word")).distinct()
+    return unfold(read(spark, sf_dir, "benchmark"), text.words(F.col("text"), True), "word").distinct()
 
 
 def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:

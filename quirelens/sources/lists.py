@@ -17,7 +17,7 @@ def pos_map_lines(files: DataFrame) -> DataFrame:
     """
     lang = F.substr(F.col("file"), F.lit(1), F.lit(2))
     chosen = files.groupBy(lang.alias("lang")).agg(F.max_by(F.struct("content"), "file").alias("kept"))
-    lines = chosen.select("lang", F.posexplode(F.split("kept.content", "\r?\n")).alias("line_no", "line"))
+    lines = chosen.select("lang", F.posexplode_outer(F.split("kept.content", "\r?\n")).alias("line_no", "line"))
     parts = F.split(F.regexp_replace("line", r"\t+$", ""), "\t")
     return (
         lines.filter(~F.rlike("line", F.lit(r"^\s*$")) & ~F.startswith("line", F.lit("#")))

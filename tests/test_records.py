@@ -173,13 +173,13 @@ def test_count_lines_refuse_to_overwrite(spark, tmp_path):
 
 def test_endpoints(spark):
     made = [
-        (1, "http://h:8983/solr", "c", None), (2, "http://h:8983/solr", "c", "n1:1,n2:2"),
-        (3, "http://h/solr", "c", "n1:1,n2:2"), (4, None, "c", "n1:1"),
+        (1, "http://h:8983/search", "c", None), (2, "http://h:8983/search", "c", "n1:1,n2:2"),
+        (3, "http://h/search", "c", "n1:1,n2:2"), (4, None, "c", "n1:1"),
     ]
     got = updates.expand_endpoints(spark.createDataFrame(made, "i int, base string, collection string, nodes string"))
     assert rows(got, "i", "url") == [
-        (1, "http://h:8983/solr/c/update"), (2, "http://n1:1/solr/c/update"), (2, "http://n2:2/solr/c/update"),
-        (3, "http://h/solr/c/update"), (3, "http://h/solr/c/update"),
+        (1, "http://h:8983/search/c/update"), (2, "http://n1:1/search/c/update"), (2, "http://n2:2/search/c/update"),
+        (3, "http://h/search/c/update"), (3, "http://h/search/c/update"),
     ]
 
 
