@@ -177,10 +177,7 @@ def id_list_to_stubby(spark, d):
 def sink_sequencefile(spark, d):
     path = shared_path(spark, "packed")
     files.write_packed(T.raw_volumes(spark, d), path)
-    head = F.from_json("json", "id string, features struct<pageCount: int>")
-    return records.read_packed(spark, path).select("key", head.alias("v")).select(
-        "key", ids.volume_id(F.col("v.id")).alias("volume_id"), F.col("v.features.pageCount").alias("page_count")
-    )
+    return records.judge_volumes(records.read_packed(spark, path), pages=False).select("key", "volume_id", "page_count")
 
 
 @query("sink_counts_text", Q.tokens() + " SELECT '(' || tag || ',' || count(*) || ')' AS value FROM tagged GROUP BY tag")
@@ -266,7 +263,7 @@ def output_naming(spark, d):
 def catalog_lang_frequency_packed(spark, d):
     path = shared_path(spark, "packed")
     files.write_packed(T.raw_volumes(spark, d, "1.5"), path)
-    good, _ = records.parse_volumes(records.read_packed(spark, path), "1.5")
+    good, _ = records.parse_volumes(records.read_packed(spark, path), "1.5", pages=False)
     return counts.catalog_lang_frequency(M.parse_metadata(good.select("volume_id", "metadata")), keep_null=True)
 
 

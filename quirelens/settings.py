@@ -80,8 +80,9 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 EMBED_MAX_ROWS = 20_000
 
 
-def volume_ddl(version: str = "2") -> str:
-    return f"id string, metadata string, features struct<pageCount: int, pages: array<{PAGE_DDL[version]}>>"
+def volume_ddl(version: str = "2", pages: bool = True) -> str:
+    listed = f", pages: array<{PAGE_DDL[version]}>" if pages else ""
+    return f"id string, metadata string, features struct<pageCount: int{listed}>"
 
 
 def build_session(app_name: str = "quirelens", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:

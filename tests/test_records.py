@@ -73,6 +73,9 @@ def test_bad_records_are_set_aside(spark):
     good, bad = parsed(spark, texts)
     assert rows(good, "volume_id") == [("a.b",)]
     assert rows(bad, "key", "reason") == [("k1", "unparsable"), ("k2", "no features"), ("k3", "no id")]
+    heads, again = parsed(spark, texts, pages=False)
+    assert "pages" not in heads.columns and rows(heads, "volume_id", "page_count") == [("a.b", 1)]
+    assert rows(again, "key", "reason") == rows(bad, "key", "reason")
     strict, _ = parsed(spark, texts, strict=True)
     with pytest.raises(Exception, match="bad record"):
         strict.collect()
