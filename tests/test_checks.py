@@ -8,7 +8,8 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import check  # noqa: E402
-import __spark_entry__ as entry_points  # noqa: E402
+import __spark_entry__  # noqa: E402, F401
+from quirelens.plans.registry import CHECKS, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -16,11 +17,11 @@ def con(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, con, sf_dir, key):
     outcome = check.compare(spark, con, key, sf_dir)
     assert outcome.startswith(("ok", "rows")), outcome
 
 
 def test_only_samples_have_no_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"sample_100", "sample_10000"}
+    assert set(QUERIES) - set(CHECKS) == {"sample_100", "sample_10000"}
