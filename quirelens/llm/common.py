@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def sized_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
     kept: list[pa.RecordBatch] = []
     held = 0
     for batch in batches:
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         start = 0
         for i, n in enumerate(lengths.tolist()):
             if held and held + n > most_bytes:
