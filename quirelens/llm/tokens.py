@@ -19,8 +19,9 @@ PIECES = {
     "byte_bpe_50k.json": re.compile(f" ?{LETTERS}| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"),
     "word_bpe_49k.json": re.compile(f"{LETTERS}|[^{SPACE}]+"),
 }
-MOST_KEPT = 450_000
+MOST_KEPT = 900_000
 LONGEST_KEPT = 40
+WORD_END = "</w>"
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -39,10 +40,30 @@ class Encoder:
             raise ValueError("ids must fit in 16 bits")
         self.cut = PIECES[name].findall
         self.kept: dict[str, bytes] = {}
+        ends = [k for token, k in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]
+        self.ends_word = np.zeros(1 << 16, dtype=bool)
+        if len(ends) > 1:
+            self.ends_word[ends] = True
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _words(self, new: list[str]) -> list[str]:
+        """Keeps the ids of plain words where the last id of a word is marked, many in one call; returns the other pieces."""
+        if not self.ends_word.any():
+            return new
+        words = [p for p in new if p.isalpha() and max(p) <= "\xff" and len(p) <= LONGEST_KEPT]
+        for start in range(0, len(words), 1000):
+            part = words[start:start + 1000]
+            ids = np.array(self.whole(" ".join(part)), dtype="<u2")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part):
+                data, at = ids.tobytes(), 0
+                for piece, end in zip(part, (ends * 2).tolist()):
+                    self.kept[piece] = data[at:end]
+                    at = end
+        return [p for p in new if p not in self.kept]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > MOST_KEPT:
             self.kept.clear()
@@ -50,7 +71,7 @@ class Encoder:
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)
-        new = [p for p in new if p not in self.kept]
+        new = self._words([p for p in new if p not in self.kept])
         long = {}
         for start in range(0, len(new), 20_000):
             part = new[start:start + 20_000]
