@@ -96,14 +96,14 @@ def sized_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
         yield pa.Table.from_batches(kept)
 
 
-def id_bits(ids: DataFrame, key: Column, most_log2: int = 23) -> np.ndarray:
-    """A bit map of hashed keys, at most 2**most_log2 bits (a megabyte) whatever the number of keys.
+def key_bits(keys: DataFrame, hashed: Column, most_log2: int = 23) -> np.ndarray:
+    """A bit map of hashed keys (non-negative whole numbers), at most 2**most_log2 bits (a megabyte) whatever their number.
 
     Used inside a task to leave out rows early; a set bit proves nothing, so an exact join must follow.
     """
-    log2 = min(most_log2, max(12, int(ids.count() * 16).bit_length()))
+    log2 = min(most_log2, max(12, int(keys.count() * 16).bit_length()))
     words = (
-        ids.select(slot_of(key, log2).alias("slot"))
+        keys.select((hashed % (1 << log2)).alias("slot"))
         .select(F.shiftright("slot", 5).cast("int").alias("word"), (F.col("slot") % 32).cast("int").alias("bit"))
         .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
         .collect()
@@ -114,14 +114,8 @@ def id_bits(ids: DataFrame, key: Column, most_log2: int = 23) -> np.ndarray:
     return bits
 
 
-def slot_of(key: Column, log2: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << log2))
-
-
-def holds(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Which slots (made by ``slot_of`` with the map's size) have their bit set."""
+def holds(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Which hashed keys may be in the map."""
+    slots = hashed % (len(bits) * 32)
     return (bits[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
 
-
-def log2_of(bits: np.ndarray) -> int:
-    return (len(bits) * 32).bit_length() - 1

@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries are registered."""
 
-from quirelens.llm import decontamination, huffman, langid, maglev, packing, quality, toxicity, url_rules  # noqa: F401
+from quirelens.llm import decontamination, huffman, langid, maglev, packing, pii, quality, toxicity, url_rules  # noqa: F401
 from quirelens.llm.common import CHECKS, QUERIES  # noqa: F401
