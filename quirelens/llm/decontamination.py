@@ -310,6 +310,8 @@ def cut_words(text: bytes, spans: np.ndarray) -> bytes:
 def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with every occurrence of a benchmark window cut out of their text; other columns stay.
 
+    A whole-number column ``n_chars`` gets the new length of a changed text. A document of which no word is left goes.
+
     Words that come together by a cut can make a window again, so what was cut is searched again until nothing is
     found; each round takes words away, so it ends. Texts without a hit, null ones too, stay as they are.
     """
@@ -331,7 +333,13 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for i, text in changed.items():
                     new[i] = text.decode("utf-8", "surrogatepass")
                 columns = {n: shard.column(n).combine_chunks() for n in names} | {"text": pa.array(new, pa.string())}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+                if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
+                    sizes = columns["n_chars"].to_pylist()
+                    for i in changed:
+                        sizes[i] = len(new[i])
+                    columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+                stays = pa.array([i not in changed or bool(words_of(changed[i])) for i in range(len(new))], pa.bool_())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(stays)
 
         rows = rows.mapInArrow(run, docs.schema)
     return rows

@@ -97,7 +97,7 @@ def signature(tokens: np.ndarray) -> bytes:
 
 
 def describe(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(doc_id, n, sig, prefix) of every row: size, 128-bit signature and rarest tokens of its set; null signature for an empty set."""
+    """(doc_id, text_key, n, sig, prefix) of every row: a hash of the text, and size, 128-bit signature and rarest tokens of its set; null signature for an empty set."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2**SKETCH_LOG2 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,12 +110,16 @@ def describe(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 first = s[np.argsort(sent.value[_slots(s)], kind="stable")][: prefix_size(len(s))] if len(s) else s
                 prefixes.append(first.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(prefixes, pa.binary())],
-                ["doc_id", "n", "sig", "prefix"],
+                [
+                    rows.column("doc_id").combine_chunks(), rows.column("text_key").combine_chunks(),
+                    pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(prefixes, pa.binary()),
+                ],
+                ["doc_id", "text_key", "n", "sig", "prefix"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, sig binary, prefix binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n long, sig binary, prefix binary")
 
 
 def postings(sets: DataFrame) -> DataFrame:
@@ -381,13 +385,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return roots
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: its set's size and the smallest id it reaches by links.
-
-    A null or empty text has an empty set and is alone; so is a row without an id, whose component is null unless it
-    links to rows with one. Repeated rows are linked like any copies. Only ``doc_id`` and ``text`` are read.
-    """
-    scratch = Scratch(docs.sparkSession, "jaccard")
+def linked_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_key, n, root, component_id) of every row; ``root`` names its component, null for an empty set."""
     rows = scratch.write(describe(docs, token_levels(docs)), "rows")
     grouped = rows.filter(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     sets = scratch.write(grouped.withColumn("eid", F.monotonically_increasing_id()), "sets")
@@ -416,9 +415,42 @@ def link_documents(docs: DataFrame) -> DataFrame:
     known = sets.select("eid", "sig", "rep").join(found.withColumnRenamed("node", "eid"), "eid", "left")
     known = known.withColumn("root", F.coalesce("root", "eid"))
     least = known.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = scratch.write(known.join(least, "root").select("sig", "component_id"), "components")
-    own = rows.select("doc_id", "n", "sig").join(named, "sig", "left")
-    return own.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = scratch.write(known.join(least, "root").select("sig", "root", "component_id"), "components")
+    own = rows.select("doc_id", "text_key", "n", "sig").join(named, "sig", "left")
+    return own.select("doc_id", "text_key", "n", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def link_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: its set's size and the smallest id it reaches by links.
+
+    A null or empty text has an empty set and is alone. A row without an id takes the component of rows it links to,
+    null if none has an id. Repeated rows are linked like any copies; an empty table gives no rows. Only ``doc_id``
+    and ``text`` are read, whatever other columns there are.
+    """
+    rows = linked_rows(docs, Scratch(docs.sparkSession, "jaccard"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents with one row of each component, that of the smallest id (then text hash); rows with empty sets all stay.
+
+    Rows are told apart by id and text hash; the rows to leave out are joined as a written table, so its size decides
+    how. Where a staying row is repeated as it is, one of its copies stays.
+    """
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    rows = scratch.write(linked_rows(docs, scratch).filter(F.col("root").isNotNull()).select("root", "doc_id", "text_key"), "linked")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("w"))
+    judged = rows.join(first, "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("text_key") == F.col("w.text_key"))
+    gone = scratch.write(judged.filter(~stays).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
+    counted = judged.filter(stays).groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
+    twice = scratch.write(counted.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "twice")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    kept = docs.join(gone, same, "left_anti")
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, same, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return kept.join(twice, same, "left_anti").unionByName(once)
 
 
 @query("op7_jaccard_join")

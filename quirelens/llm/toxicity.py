@@ -145,6 +145,18 @@ def score(docs: DataFrame, model: ToxicityModel, *carried: str) -> DataFrame:
     return docs.select(*read).mapInArrow(scored, f"{made}score double, predicted int")
 
 
+def keep_harmless(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns, whatever their names."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sized_batches(batches, "text", BATCH_BYTES):
+            harmless = part.filter(pa.array(sent.value.scores(part.column("text").to_pylist()) < THRESHOLD))
+            yield from harmless.combine_chunks().to_batches()
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 @query("op6_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, by a model of the labelled rows that are not held out."""
