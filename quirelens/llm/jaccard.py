@@ -2,11 +2,11 @@
 
 Documents of equal sets are one set from here on. Tokens are ordered by a count sketch of fixed size, rarest first,
 and each set enters the index lists of its prefix only. Index level: lists are sorted by set size and read in
-blocks, and a pair of blocks is skipped where sizes or positions rule every pair out. Answer level: each set is
-first compared with one leader, the set that leads most of its lists; a set that links to its leader is kept as the
-few tokens by which they differ, and its further answers come from the leader's overlaps, corrected by those tokens.
-Only pairs that are not yet connected through leaders become candidates, so a group of near copies costs about as
-many comparisons as it has members, and no link between different groups is lost. Full sets are made again from the
+blocks, and a pair of blocks is skipped where sizes or positions rule every pair out. Answer level: sets
+that share the lead of most of their lists stream by a few leaders; a set that links to a leader is kept as the few
+tokens by which they differ, and its further answers come from the leader's overlaps, corrected by those tokens.
+Only pairs that are not yet connected through leaders become candidates, so a group of near copies costs a
+bounded number of comparisons for each of its members, and no link between different groups is lost. Full sets are made again from the
 texts that need them, found through a bit map of fixed size, and never for all documents.
 """
 
@@ -20,15 +20,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from quirelens.llm.common import Scratch, bytes_of, holds, key_bits, query, sized_batches, table
 
 SHINGLE = 4
 PERCENT = 85  # links need 100 * intersection >= PERCENT * union
-SKETCH_LOG2 = 20
+SKETCH_LOG2 = 22
 SKETCH_BLOCK = 1 << 12
 BATCH_BYTES = 4 << 20
 BLOCK = 256  # entries of an index list compared at a time
+LEADS = 8  # sets of different sizes that lead in one list; what fits none has no leader there
+EARLY_PARTNERS = (2, 24)  # likeliest pairs of each set that are compared first, by round
+MOST_LEADERS = 64  # held while a group streams by
+GROUP_PART = 2000  # larger groups stream by in parts
 LIST_PART = 4096  # longer lists are compared in parts, by several tasks
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,7 +74,7 @@ def token_levels(docs: DataFrame) -> np.ndarray:
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_LOG2, dtype=np.int64)
+        total = np.zeros(1 << SKETCH_LOG2, dtype=np.int32)
         for rows in sized_batches(batches, "text", BATCH_BYTES):
             sets = [_slots(shingles(t)) for t in bytes_of(rows.column("text"))]
             total += np.bincount(np.concatenate(sets), minlength=len(total))
@@ -138,36 +143,38 @@ def postings(sets: DataFrame) -> DataFrame:
 
 
 def index_lists(entries: DataFrame) -> DataFrame:
-    """The entries of lists with two or more sets, each with its ``lead``: the smallest set of the list, or of the
-    part of it, that its size can link to. Read in order, with only the last list's state kept between batches."""
+    """The entries of lists with two or more sets, each with a ``lead`` of about its size, itself if there is none.
+
+    The lead is the set whose hash is least, so near copies, which share most of their lists, have one lead in most of
+    them. Only the leads of the last list are kept between batches.
+    """
+    names = ["token", "eid", "n", "pos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None  # the last row so far, which may be alone in its list
-        state = (None, 0, 0)  # token, lead and its size
-        names = ["token", "eid", "n", "pos"]
+        held: list[np.ndarray] | None = None  # the last row so far, which may be alone in its list
+        last_token, leads = None, []
 
         def emit(columns: list[np.ndarray], before: bool, after: bool) -> pa.RecordBatch:
-            nonlocal state
-            token, eid, n, pos = columns
+            nonlocal last_token, leads
+            token = columns[0]
             same = token[1:] == token[:-1]
             keep = np.concatenate(([before], same)) | np.concatenate((same, [after]))
             token, eid, n, pos = (c[keep] for c in columns)
-            lead, lead_n = np.zeros(len(token), dtype=np.int64), np.zeros(len(token), dtype=np.int64)
-            starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else []
-            ends = np.concatenate((starts[1:], [len(token)])) if len(token) else []
-            for s, e in zip(np.asarray(starts).tolist(), np.asarray(ends).tolist()):
-                known, at, size = state
-                if known != token[s]:
-                    at, size = int(eid[s]), int(n[s])
-                i = s
-                while i < e:
-                    if PERCENT * int(n[i]) > 100 * size:
-                        at, size = int(eid[i]), int(n[i])
-                    upto = i + int(np.searchsorted(n[i:e], 100 * size // PERCENT, side="right"))
-                    lead[i:upto], lead_n[i:upto] = at, size
-                    i = upto
-                state = (int(token[s]), at, size)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (token, eid, n, pos, lead, lead_n.astype(np.int32))], [*names, "lead", "lead_n"])
+            lead, lead_n = eid.copy(), n.copy()
+            starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, dtype=np.int64)
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(token)]):
+                if last_token != token[s]:
+                    last_token, leads = token[s], []
+                open_, k = np.arange(s, e), 0
+                while len(open_) and k < LEADS:
+                    if k == len(leads):
+                        leads.append((int(eid[open_[0]]), int(n[open_[0]])))
+                    at, size = leads[k]
+                    own = n[open_].astype(np.int64)
+                    fits = (100 * np.minimum(own, size) >= PERCENT * np.maximum(own, size))
+                    lead[open_[fits]], lead_n[open_[fits]] = at, size
+                    open_, k = open_[~fits], k + 1
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (token, eid, n, pos, lead, lead_n)], [*names, "lead", "lead_n"])
 
         before = False
         for rows in batches:
@@ -185,7 +192,7 @@ def index_lists(entries: DataFrame) -> DataFrame:
         if held is not None and before:
             yield emit(held, before, False)
 
-    ordered = entries.repartition("token").sortWithinPartitions("token", "n", "eid")
+    ordered = entries.repartition("token").sortWithinPartitions("token", F.xxhash64("eid"), "eid")
     return ordered.mapInArrow(run, "token long, eid long, n int, pos int, lead long, lead_n int")
 
 
@@ -233,29 +240,58 @@ def _inside(some: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return tokens[at] == some
 
 
-def compare_with_leaders(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """(eid, lead, gone, new) of the pairs that link: the leader's tokens the set lacks, and its own that the leader lacks."""
+def near_sets(members: DataFrame, full: DataFrame) -> DataFrame:
+    """(eid, lead, gone, new) of links between sets of one group: the leader's tokens the set lacks, and its own that the leader lacks.
+
+    Members of a (``g``, ``part``) stream by in order of ``rank``. Each is compared with the group's leaders so far and
+    linked to all it can; one that links to none becomes a leader while there is room. Rows of leaders have themselves
+    as ``lead``. What is left open here is settled later, so the bound on leaders costs no link.
+    """
+    names = ["g", "part", "eid", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, leaders = None, []
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for rows in batches:
             out: list[list] = [[], [], [], []]
-            columns = [rows.column(c).to_pylist() for c in ("eid", "lead", "tokens", "lead_tokens")]
-            for eid, lead, own, other in zip(*columns):
-                own, other = _tokens(own), _tokens(other)
-                common = _inside(own, other)
-                if int(common.sum()) >= least_overlap(len(own), len(other)):
-                    for c, v in zip(out, (eid, lead, other[~_inside(other, own)].tobytes(), own[~common].tobytes())):
+            for g, part, eid, packed in zip(*(rows.column(c).to_pylist() for c in names)):
+                if group != (g, part):
+                    group, leaders = (g, part), []
+                own, alone = _tokens(packed), True
+                for lead, other in leaders:
+                    if PERCENT * max(len(own), len(other)) > 100 * min(len(own), len(other)):
+                        continue
+                    common = _inside(own, other)
+                    if int(common.sum()) >= least_overlap(len(own), len(other)):
+                        alone = False
+                        for c, v in zip(out, (eid, lead, other[~_inside(other, own)].tobytes(), own[~common].tobytes())):
+                            c.append(v)
+                if alone and len(leaders) < MOST_LEADERS:
+                    leaders.append((eid, own))
+                    for c, v in zip(out, (eid, eid, b"", b"")):
                         c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["eid", "lead", "gone", "new"])
 
-    leaders = full.select(F.col("eid").alias("lead"), F.col("tokens").alias("lead_tokens"))
-    joined = pairs.join(full, "eid").join(leaders, "lead").select("eid", "lead", "tokens", "lead_tokens")
-    return joined.mapInArrow(run, "eid long, lead long, gone binary, new binary")
+    joined = members.join(full, "eid").repartition("g", "part").sortWithinPartitions("g", "part", "rank", "eid")
+    return joined.select(*names).mapInArrow(run, "eid long, lead long, gone binary, new binary")
+
+
+def contract(first: DataFrame, full: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links inside the groups that share a lead, large groups in parts, and then between the leaders of their parts."""
+    leads = first.select("lead").distinct()
+    members = first.select(F.col("lead").alias("g"), "eid", F.lit(1).alias("rank")).union(
+        leads.select(F.col("lead").alias("g"), F.col("lead").alias("eid"), F.lit(0).alias("rank"))
+    )
+    sizes = members.groupBy("g").agg(F.ceil(F.count("*") / GROUP_PART).alias("parts"))
+    members = members.join(sizes, "g").withColumn("part", F.pmod(F.xxhash64("eid"), F.col("parts")))
+    links = scratch.write(near_sets(members.select("g", "part", "eid", "rank"), full), "links")
+    heads = links.filter("eid = lead").select("eid").join(members.filter("parts > 1").select("g", "eid", "rank"), "eid")
+    between = near_sets(heads.select("g", F.lit(0).cast("bigint").alias("part"), "eid", "rank"), full)
+    return links.filter("eid != lead").unionByName(scratch.write(between.filter("eid != lead"), "between"))
 
 
 def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, common): pairs of sets under different labels that share enough prefix tokens to link."""
+    """(a, b, common): pairs of sets under different labels that share enough prefix tokens to link."""
     named = lists.select("token", "eid", "n", "pos").join(labels, "eid", "left").withColumn("label", F.coalesce("label", "eid"))
     mixed = named.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = mixed.filter("low != high").select("token", F.ceil(F.col("m") / LIST_PART).cast("int").alias("parts"))
@@ -322,11 +358,19 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
     )
     rest = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
     enough = F.ceil(PERCENT * (F.col("n_a") + F.col("n_b")) / (100 + PERCENT))
-    return pairs.filter(F.col("common") >= _needed(F.col("n_a"), F.col("n_b"))).filter(F.col("common") + rest >= enough).select("a", "b")
+    return pairs.filter(F.col("common") >= _needed(F.col("n_a"), F.col("n_b"))).filter(F.col("common") + rest >= enough).select("a", "b", "common")
+
+
+def relabel(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose sets are under different labels, with ``label_a`` and ``label_b``."""
+    for side in ("a", "b"):
+        own = labels.select(F.col("eid").alias(side), F.col("label").alias(f"label_{side}"))
+        pairs = pairs.drop(f"label_{side}").join(own, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    return pairs.filter("label_a != label_b")
 
 
 def compare_through_leaders(pairs: DataFrame, near: DataFrame, full: DataFrame) -> DataFrame:
-    """(a, b) of the pairs that link. The overlap of two leaders is found once and corrected for each pair of their sets."""
+    """(a, b, label_a, label_b) of the pairs that link. The overlap of two leaders is found once and corrected for each pair of their sets."""
     for side in ("a", "b"):
         own = near.select(
             F.col("eid").alias(side), F.col("lead").alias(f"lead_{side}"), F.col("gone").alias(f"gone_{side}"), F.col("new").alias(f"new_{side}")
@@ -334,15 +378,15 @@ def compare_through_leaders(pairs: DataFrame, near: DataFrame, full: DataFrame)
         pairs = pairs.join(own, side, "left").withColumn(f"lead_{side}", F.coalesce(f"lead_{side}", side))
     for side in ("a", "b"):
         pairs = pairs.join(full.select(F.col("eid").alias(f"lead_{side}"), F.col("tokens").alias(f"tokens_{side}")), f"lead_{side}")
-    names = ["a", "b", "lead_a", "lead_b", "gone_a", "new_a", "gone_b", "new_b", "tokens_a", "tokens_b"]
+    names = ["label_a", "label_b", "a", "b", "lead_a", "lead_b", "gone_a", "new_a", "gone_b", "new_b", "tokens_a", "tokens_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple | None = None
         s = t = np.zeros(0, dtype=np.uint64)
         base = 0
         for rows in batches:
-            out: list[list[int]] = [[], []]
-            for a, b, lead_a, lead_b, *packed in zip(*(rows.column(c).to_pylist() for c in names)):
+            out: list[list[int]] = [[], [], [], []]
+            for label_a, label_b, a, b, lead_a, lead_b, *packed in zip(*(rows.column(c).to_pylist() for c in names)):
                 gone_a, new_a, gone_b, new_b = (_tokens(p) for p in packed[:4])
                 if seen != (lead_a, lead_b):
                     seen, s, t = (lead_a, lead_b), _tokens(packed[4]), _tokens(packed[5])
@@ -354,32 +398,32 @@ def compare_through_leaders(pairs: DataFrame, near: DataFrame, full: DataFrame)
 
                 overlap += in_a(new_b) - in_a(gone_b)
                 if overlap >= least_overlap(len(s) - len(gone_a) + len(new_a), len(t) - len(gone_b) + len(new_b)):
-                    out[0].append(a)
-                    out[1].append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+                    for c, v in zip(out, (a, b, label_a, label_b)):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "label_a", "label_b"])
 
-    return pairs.select(*names).sortWithinPartitions("lead_a", "lead_b").mapInArrow(run, "a long, b long")
+    return pairs.select(*names).sortWithinPartitions("lead_a", "lead_b").mapInArrow(run, "a long, b long, label_a long, label_b long")
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """(node, root) for every node of the edges. Each round joins every root to the neighbour whose hash is least, and
     keeps the edges that then lead between different roots; a new hash each round keeps chains from being slow."""
-    edges = scratch.write(edges.select("a", "b").filter("a != b").distinct(), "edges0")
+    edges = scratch.write(edges.select("a", "b").filter("a != b").distinct(), f"{tag}-edges0")
     ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    roots = scratch.write(ends.select("node", F.col("node").alias("root")), "roots0")
+    roots = scratch.write(ends.select("node", F.col("node").alias("root")), f"{tag}-roots0")
     k = 0
     while not edges.isEmpty():
         k += 1
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         order = lambda c: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("id"))
         least = both.groupBy("a").agg(F.min(order("b")).alias("m")).select("a", F.least("m", order("a"))["id"].alias("to"))
-        least = scratch.write(least, f"least{k}")
+        least = scratch.write(least, f"{tag}-least{k}")
         moved = roots.join(least.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-        new_roots = scratch.write(moved, f"roots{k}")
+        new_roots = scratch.write(moved, f"{tag}-roots{k}")
         moved = edges.join(least.withColumnRenamed("to", "x"), "a").join(least.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
         moved = moved.filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        new_edges = scratch.write(moved, f"edges{k}")
-        for name in (f"edges{k - 1}", f"roots{k - 1}", f"least{k}"):
+        new_edges = scratch.write(moved, f"{tag}-edges{k}")
+        for name in (f"edges{k - 1}", f"roots{k - 1}", f"{tag}-least{k}"):
             scratch.drop(name)
         edges, roots = new_edges, new_roots
     return roots
@@ -398,22 +442,34 @@ def linked_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
     first = scratch.write(best.select("eid", (-F.col("lead")).alias("lead")), "first")
     wanted = first.select("eid").union(first.select(F.col("lead").alias("eid"))).distinct()
     full = scratch.write(fetch_sets(docs, sets, wanted), "first_sets")
-    near = scratch.write(compare_with_leaders(first, full), "near")
+    links = contract(first, full, scratch)
     scratch.drop("first_sets")
+    # one leader for each set; a leader stays its own
+    near = links.groupBy("eid").agg(F.min(F.struct("lead", "gone", "new")).alias("x")).select("eid", "x.*")
+    near = scratch.write(near.join(links.select(F.col("lead").alias("eid")).distinct(), "eid", "left_anti"), "near")
+    joined = components(links.select(F.col("eid").alias("a"), F.col("lead").alias("b")), scratch, "near")
+    joined = labels = scratch.write(joined.select(F.col("node").alias("eid"), F.col("root").alias("label")), "joined")
 
-    up = near.select(F.col("eid").alias("lead"), F.col("lead").alias("top"))
-    labels = near.select("eid", "lead").join(up, "lead", "left").select("eid", F.coalesce("top", "lead").alias("label"))
     more = scratch.write(candidates(lists, labels), "candidates")
     scratch.drop("lists")
     lead_of = lambda side: more.select(F.col(side).alias("eid")).distinct().join(near.select("eid", "lead"), "eid", "left").select(F.coalesce("lead", "eid").alias("eid"))
     full = scratch.write(fetch_sets(docs, sets, lead_of("a").union(lead_of("b")).distinct()), "more_sets")
-    far = scratch.write(compare_through_leaders(more, near, full), "far")
+    # each set's likeliest pairs first: the links found join most labels, and pairs under one label need no comparing
+    more = relabel(more, labels)
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.col("common").desc(), "b"))
+    for k in range(len(EARLY_PARTNERS) + 1):
+        last = k == len(EARLY_PARTNERS)
+        best = more if last else more.withColumn("rank", rank).filter(F.col("rank") <= EARLY_PARTNERS[k])
+        found = scratch.write(compare_through_leaders(best, near, full), f"found{k}")
+        tops = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), scratch, f"far{k}")
+        moved = joined.join(tops.withColumnRenamed("node", "label").withColumnRenamed("root", "top"), "label", "full_outer")
+        moved = moved.select(F.coalesce("eid", "label").alias("eid"), F.coalesce("top", "label").alias("label"))
+        joined = scratch.write(moved, f"joined{k}")
+        if not last:
+            more = scratch.write(relabel(more, joined), f"more{k}")
     scratch.drop("more_sets")
 
-    edges = near.select(F.col("eid").alias("a"), F.col("lead").alias("b")).union(far)
-    found = components(edges, scratch)
-    known = sets.select("eid", "sig", "rep").join(found.withColumnRenamed("node", "eid"), "eid", "left")
-    known = known.withColumn("root", F.coalesce("root", "eid"))
+    known = sets.select("eid", "sig", "rep").join(joined, "eid", "left").withColumn("root", F.coalesce("label", "eid"))
     least = known.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = scratch.write(known.join(least, "root").select("sig", "root", "component_id"), "components")
     own = rows.select("doc_id", "text_key", "n", "sig").join(named, "sig", "left")
