@@ -298,7 +298,7 @@ def cut_words(text: bytes, spans: np.ndarray) -> bytes:
     """The text without the words of the spans and what stands between them."""
     if not len(spans):
         return text
-    places = [m.span() for m in WORD.finditer(text)]
+    places = [m.span() for m in WORD.finditer(text.translate(FOLD))]  # folding keeps every place
     out, at = [], 0
     for first, end in spans.tolist():
         out.append(text[at:places[first][0]])

@@ -91,7 +91,11 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in a sequence, repeats) that use every piece once."""
+    """(lengths in a sequence, repeats) that use every piece once.
+
+    With few pieces of each length, rounding can cost more than the fitted patterns save; if best fit alone needs
+    fewer sequences, its plan is taken.
+    """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -111,7 +115,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
                 for v in lengths:
                     left[v] -= repeats
     made += best_fit(left, capacity)
-    return made
+    whole = np.zeros(capacity + 1, dtype=np.int64)
+    for length, n in counts.items():
+        whole[length] = n
+    plain = best_fit(whole, capacity)
+    sequences = lambda entries: sum(n for _, n in entries)
+    return plain if sequences(plain) < sequences(made) else made
 
 
 def best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
