@@ -47,7 +47,9 @@ def safe_counts(counts: Column) -> Column:
 
 
 def safe_zone(zone: Column) -> Column:
-    tokens = F.transform_values(zone["tokenPosCount"], lambda _, tags: safe_counts(tags))
+    # the parser leaves tag counts as text; a count that is not a whole number is stored as null, its tag stays
+    whole = lambda tags: F.transform_values(tags, lambda _, n: n.try_cast("int"))
+    tokens = F.transform_values(zone["tokenPosCount"], lambda _, tags: safe_counts(whole(tags)))
     return F.when(
         zone.isNotNull(),
         F.struct(

@@ -89,7 +89,7 @@ def v2_ints(meta: Column) -> list[Entry]:
         is_number = shape.isin("BIGINT", "DOUBLE") | F.startswith(shape, F.lit("DECIMAL"))
         plain = F.rlike(raw, F.lit(r"^[+-]?[0-9]+$"))
         whole = F.when(is_text & plain, raw.try_cast("int")).when(is_number, F.try_variant_get(meta, f"$.{name}", "int"))
-        shown = F.coalesce(whole.cast("string"), F.when(is_text, F.nullif(raw, F.lit(""))))
+        shown = F.coalesce(whole.cast("string"), F.when(is_text | is_number, F.nullif(raw, F.lit(""))))
         entries += [Entry(name, "int", whole), Entry(name, "string", shown)]
     return entries
 
@@ -151,14 +151,9 @@ V2_PARTS = [
 ]
 
 
-def v15_strings(meta: Column) -> list[Entry]:
-    """The listed single strings, and every string member named as a record number."""
-    numbers = F.map_filter(
-        F.try_variant_get(meta, "$", "map<string, variant>"),
-        lambda k, v: F.endswith(k, F.lit(S.V15_STRING_SUFFIX)) & (F.schema_of_variant(v) == "STRING"),
-    )
-    texts = F.transform_values(numbers, lambda _, v: F.try_variant_get(v, "$", "string"))
-    return [Entry(n, "string", _text(meta, n)) for n in S.V15_STRINGS] + [Entry("", "string_map", texts)]
+def v15_strings(meta: Column, further: tuple[str, ...] = ()) -> list[Entry]:
+    """The listed single strings, and further ones the caller names."""
+    return [Entry(n, "string", _text(meta, n)) for n in [*S.V15_STRINGS, *further]]
 
 
 def v15_multi(meta: Column) -> list[Entry]:

@@ -1,5 +1,7 @@
 """Shared parts of the SQL checks: the derived tables, written again in SQL."""
 
+from quirelens.settings import V15_STRINGS
+
 TOK = r"[\p{L}\p{M}\p{N}_]+(?:[''’.][\p{L}\p{M}\p{N}_]+)*"
 DOC_ID = "CASE WHEN doc_id % 2 = 0 THEN 'dul1.ark:/13960/t' || doc_id ELSE source || '.' || doc_id END"
 
@@ -113,13 +115,12 @@ ENTRIES2 = {
  SELECT vid AS doc_id, 'mainEntityOfPageCatalogRecord' AS name, 'uri' AS mode, ['https://catalog.example.org/Record/' || d] AS vals FROM meta WHERE d % 4 < 3""",
 }
 
+V15_NAMES = ", ".join(f"('{n}')" for n in V15_STRINGS)
 META15 = f"meta AS (SELECT {DOC_ID} AS vid, doc_id AS d, n_chars AS n, source, lang FROM documents)"
 ENTRIES15 = {
     "meta15_single": """
  SELECT vid AS doc_id, k.name, 'string' AS mode, [CASE k.name WHEN 'language' THEN CASE lang WHEN 'es' THEN '' ELSE lang END ELSE k.name || ' ' || vid END] AS vals
- FROM meta, (VALUES ('accessProfile'), ('bibliographicFormat'), ('dateCreated'), ('handleUrl'), ('htBibUrl'), ('imprint'), ('issuance'),
-  ('language'), ('lastUpdateDate'), ('pubDate'), ('pubPlace'), ('rightsAttributes'), ('schemaVersion'), ('sourceInstitution'), ('title'),
-  ('typeOfResource'), ('volumeIdentifier'), ('hostRecordNumber'), ('sourceInstitutionRecordNumber')) k(name)""",
+ FROM meta, """ + f"(VALUES {V15_NAMES})" + """ k(name)""",
     "meta15_multi": """
  SELECT vid AS doc_id, 'oclc' AS name, 'multi' AS mode, CASE d % 2 WHEN 0 THEN [CAST(n AS VARCHAR)] ELSE []::VARCHAR[] END AS vals FROM meta
  UNION ALL SELECT vid, k.name, 'multi', []::VARCHAR[] FROM meta, (VALUES ('isbn'), ('issn')) k(name)

@@ -89,9 +89,10 @@ def test_version_15_languages(spark):
 
 
 def test_totals_with_missing_parts(spark):
-    good, _ = parsed(spark, [record("a.b", [page(None)] * 3), '{"id": "q", "features": {}}'])
+    good, bad = parsed(spark, [record("a.b", [page(None)] * 3), '{"id": "q", "features": {"pageCount": 0, "pages": []}}', '{"id": "r", "features": {}}'])
     assert counts.page_total(good).first()["n_pages"] == 3
     assert rows(counts.pages_per_volume(good), "volume_id", "n_pages") == [("a.b", 3), ("q", 0)]
+    assert rows(bad, "key", "reason") == [("k2", "no page count")]
 
 
 @pytest.mark.parametrize(
@@ -259,3 +260,25 @@ def test_page_documents_in_folders(spark, tmp_path):
 
 def test_dry_run_counts(spark):
     assert files.dry_run(spark.range(17)) == {"n_rows": 17}
+
+
+def test_odd_counts_and_page_counts_lose_nothing_silently(spark):
+    def volume(count, page_count='"pageCount": 1,', page=None):
+        page = page or '{"seq": "1", "body": {"tokenPosCount": {"word": {"NN": %s}, "other": {"VB": 1}}}}' % count
+        return '{"id": "x.1", "metadata": {}, "features": {%s "pages": [%s]}}' % (page_count, page)
+
+    cases = {
+        "float": volume("1.5"), "text": volume('"x"'), "large": volume("99999999999"), "textual": volume("1", '"pageCount": "1",'),
+        "uncounted": volume("1", ""), "odd page": volume("1", page='"none"'), "no pages": '{"id": "x.1", "metadata": {}, "features": {"pageCount": 1}}',
+    }
+    raw = spark.createDataFrame(list(cases.items()), "key string, json string")
+    got = {r.key: r for r in records.judge_volumes(raw).collect()}
+    for key in ("float", "text", "large", "textual"):
+        assert got[key].reason is None and got[key].page_count == 1
+        assert set(got[key].pages[0].body.tokenPosCount) == {"word", "other"}
+    assert {k: got[k].reason for k in ("uncounted", "odd page", "no pages")} == {
+        "uncounted": "no page count", "odd page": "no pages", "no pages": "no pages",
+    }
+    for key in ("uncounted", "odd page", "no pages"):
+        with pytest.raises(Exception, match="bad record"):
+            records.judge_volumes(raw.filter(raw.key == key), strict=True).collect()
