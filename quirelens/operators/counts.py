@@ -16,8 +16,14 @@ def frequency(rows: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
 
 
 def word_frequency(page_tokens: DataFrame, tokenize: bool = True) -> DataFrame:
-    """Lowercased terms, one per page, token and term: stored counts do not enter."""
-    return frequency(terms(page_tokens, lower=tokenize, tokenize=tokenize), "term", keep_null=True)
+    """Lowercased terms, one per page, token and term: stored counts do not enter.
+
+    Raw tokens are counted first, so that only different tokens are broken into terms.
+    """
+    if not tokenize:
+        return frequency(terms(page_tokens, tokenize=False), "term", keep_null=True)
+    tokens = page_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return terms(tokens, lower=True).groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "term")
 
 
 def pos_frequency(page_tokens: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelens.operators.lookup import fits_broadcast, flag_members, left_lookup
+from quirelens.operators.lookup import fits_broadcast, flag_members
 from quirelens.settings import BLOOM_FPP
 
 WORD_BITS = 32
+MAX_BLOOM_BYTES = 8 << 20
 
 
 def in_dictionary(rows: DataFrame, dictionary: DataFrame, column: str = "term", small: bool | None = None) -> DataFrame:
@@ -53,28 +54,28 @@ def bloom_build(dictionary: DataFrame, fpp: float = BLOOM_FPP, n_words: int | No
     )
 
 
-def bloom_probe(rows: DataFrame, bloom: DataFrame, column: str = "term") -> DataFrame:
-    """Rows with ``might_contain``. Only distinct values are tested; the positive ones are joined back.
+def bloom_probe(rows: DataFrame, bloom: DataFrame, column: str = "term", max_bytes: int = MAX_BLOOM_BYTES) -> DataFrame:
+    """Rows with ``might_contain``. The bits are packed into one constant and tested in the row: no distinct, no join.
 
-    The positive values come out of the rows themselves, so they are not measured beforehand, which would
-    read the rows once more: adaptive execution broadcasts them if they turn out small and splits a hot value.
+    A filter of more than ``max_bytes`` is refused; exact membership (``in_dictionary``) is the way for such a dictionary.
     """
     shape = bloom.select("n_bits", "n_hashes").first()
     if shape is None:
         return rows.withColumn("might_contain", F.lit(False))
-    tested = (
-        rows.select(F.col(column).alias("word"))
-        .distinct()
-        .select("word", F.explode(_positions(F.col("word"), shape["n_bits"], shape["n_hashes"])).alias("p"))
-        .withColumn("word_index", F.floor(F.col("p") / WORD_BITS))
-    )
-    found = left_lookup(tested, bloom.select("word_index", "bits"), ["word_index"])
-    bit = F.call_function("shiftright", F.coalesce("bits", F.lit(0).cast("bigint")), F.pmod("p", F.lit(WORD_BITS)).cast("int"))
-    positive = (
-        found.groupBy("word").agg(F.bool_and(bit % 2 == 1).alias("all_set")).filter("all_set")
-    )
-    flags = positive.select(F.col("word").alias(column), F.lit(True).alias("might_contain"))
-    return rows.join(flags, column, "left").withColumn("might_contain", F.coalesce("might_contain", F.lit(False)))
+    n_words = -(-shape["n_bits"] // WORD_BITS)
+    if n_words * WORD_BITS // 8 > max_bytes:
+        raise ValueError(f"a filter of {n_words * WORD_BITS // 8} bytes is more than the {max_bytes} that may be sent")
+    packed = bytearray(n_words * WORD_BITS // 8)
+    for word in bloom.select("word_index", "bits").collect():  # no more than max_bytes
+        packed[word["word_index"] * 4:word["word_index"] * 4 + 4] = (word["bits"] & 0xFFFFFFFF).to_bytes(4, "little")
+    bits = F.lit(bytes(packed))
+
+    def is_set(p: Column) -> Column:
+        byte = F.conv(F.hex(F.substr(bits, (F.floor(p / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.call_function("shiftright", byte, F.pmod(p, F.lit(8)).cast("int")) % 2 == 1
+
+    places = _positions(F.col(column), shape["n_bits"], shape["n_hashes"])
+    return rows.withColumn("might_contain", F.coalesce(F.forall(places, is_set), F.lit(False)))
 
 
 def bloom_load_or_build(spark: SparkSession, path: str, dictionary: DataFrame, fpp: float = BLOOM_FPP) -> DataFrame:

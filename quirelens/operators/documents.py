@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quirelens import settings as S
 from quirelens.functions import jsontext
 from quirelens.operators import fields as M
-from quirelens.operators.explode import explode_pages, token_arrays, unfold
+from quirelens.operators.explode import explode_pages, token_arrays
 from quirelens.operators.pos import embedded_map, pos_pair, resolve_pair
 from quirelens.operators.terms import term_arrays
 from quirelens.settings import EMBED_MAX_ROWS
@@ -19,16 +19,17 @@ def _paired_terms(pages: DataFrame, pos_map: DataFrame, max_embed: int) -> DataF
     none = F.array().cast("array<struct<lang: string, upos: string, term: string>>")
     tree = embedded_map(pos_map, max_embed)
     if tree is None:
-        # A map too large to embed: resolve the tags by join and gather each page again.
-        tagged = unfold(pages, "terms", "t", "page_id", "langs").select("page_id", "langs", "t.term", "t.pos_tags")
-        tagged = unfold(tagged, "pos_tags", "tag", "page_id", "langs", "term")
-        paired = (
-            pos_pair(tagged, pos_map, max_embed)
-            .filter(F.col("lang").isNotNull())
-            .groupBy("page_id")
-            .agg(F.collect_list(F.struct("lang", "upos", "term")).alias("paired"))
-        )
-        return pages.join(paired, "page_id", "left").withColumn("paired", F.coalesce("paired", none))
+        # A map too large to embed: resolve the tags by join and gather each row again, told apart by its number. The
+        # row itself travels with its first tag only.
+        numbered = pages.select(F.monotonically_increasing_id().alias("_row"), "langs", "terms", F.struct(*pages.columns).alias("_own"))
+        split = numbered.select("_row", "langs", "_own", F.posexplode_outer("terms").alias("_t", "t"))
+        tagged = split.select("_row", "langs", "_own", "_t", F.col("t.term").alias("term"), F.posexplode_outer("t.pos_tags").alias("_g", "tag"))
+        first = (F.coalesce("_t", F.lit(0)) == 0) & (F.coalesce("_g", F.lit(0)) == 0)
+        found = pos_pair(tagged.withColumn("_own", F.when(first, F.col("_own"))), pos_map, max_embed)
+        pair = F.when(F.col("lang").isNotNull() & F.col("tag").isNotNull(), F.struct("_t", "_g", "lang", "upos", "term"))
+        gathered = found.groupBy("_row").agg(F.first("_own", ignorenulls=True).alias("_own"), F.sort_array(F.collect_list(pair)).alias("_pairs"))
+        paired = F.transform("_pairs", lambda p: F.struct(p["lang"].alias("lang"), p["upos"].alias("upos"), p["term"].alias("term")))
+        return gathered.select("_own.*", paired.alias("paired"))
     tags = F.array_distinct(F.flatten("terms.pos_tags"))
     resolved = F.map_from_entries(
         F.transform(tags, lambda t: F.struct(t, resolve_pair(F.col("langs"), t, tree)))

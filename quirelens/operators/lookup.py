@@ -8,16 +8,20 @@ from pyspark.sql import types as T
 
 from quirelens.settings import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
-SALTS = 32
-
 
 def fits_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Measure the side table: at most ``max_rows + 1`` rows are looked at."""
+    """Measure the side table by one aggregate, which is partial in every task: rows, and bytes of all columns.
+
+    A nested value counts with the length of its JSON text.
+    """
     width = F.lit(0)
     for f in side.schema.fields:
-        variable = isinstance(f.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if variable else F.lit(0)) + F.lit(16)
-    seen = side.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+        width = width + F.lit(16)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+    seen = side.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
@@ -29,16 +33,13 @@ def left_lookup(
 ) -> DataFrame:
     """Left join on ``keys``; ``side`` must hold each key once.
 
-    A small side is broadcast, so ``rows`` is not shuffled. Otherwise both sides are spread over
-    ``SALTS`` sub-keys, which keeps a key holding a third of all rows from landing in one task.
+    A small side is broadcast, so ``rows`` is not shuffled. Otherwise it is a plain join: adaptive execution splits
+    the rows of a hot key by the tasks that wrote them, so nothing is copied but the one side row that key needs.
     ``small`` is the answer of ``fits_broadcast`` where the caller has it; else the side is measured here.
     """
     if fits_broadcast(side) if small is None else small:
         return rows.join(F.broadcast(side), keys, "left")
-    hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int"))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return rows.join(side, keys, "left")
 
 
 def flag_members(rows: DataFrame, words: DataFrame, column: str, flag: str, small: bool | None = None) -> DataFrame:

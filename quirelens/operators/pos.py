@@ -15,9 +15,14 @@ def mapped_languages(pos_map: DataFrame) -> DataFrame:
     return pos_map.select("lang").distinct()
 
 
+def one_entry(pos_map: DataFrame, *keys: str) -> DataFrame:
+    """The map with each key once: of repeated entries the greatest ``upos`` counts."""
+    return pos_map.groupBy(*keys).agg(F.max("upos").alias("upos"))
+
+
 def pos_lookup(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
     """(lang, tag) to ``upos``, NULL when there is none."""
-    return left_lookup(rows, pos_map.select("lang", "tag", "upos"), ["lang", "tag"])
+    return left_lookup(rows, one_entry(pos_map, "lang", "tag"), ["lang", "tag"])
 
 
 def pos_lookup_checked(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
@@ -45,7 +50,7 @@ def pos_pair(rows: DataFrame, pos_map: DataFrame, max_embed: int = EMBED_MAX_ROW
 def _pos_pair_by_join(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
     combos = rows.select("langs", "tag").distinct().filter(F.size("langs") > 0)
     tried = combos.select("langs", "tag", F.posexplode("langs").alias("place", "lang"))
-    found = tried.join(pos_map.select("lang", "tag", "upos"), ["lang", "tag"], "left")
+    found = tried.join(one_entry(pos_map, "lang", "tag"), ["lang", "tag"], "left")
     found = found.join(mapped_languages(pos_map).withColumn("_mapped", F.lit(True)), "lang", "left")
     hit = F.when(F.col("upos").isNotNull(), F.col("place"))
     resolved = found.groupBy("langs", "tag").agg(
@@ -72,14 +77,14 @@ def pos_pair_homogeneous(rows: DataFrame, tag_map: DataFrame) -> DataFrame:
 
     Without a match only the tag ``UKN`` becomes ``X``; any other tag stays NULL.
     """
-    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"])
+    found = left_lookup(rows, one_entry(tag_map, "tag"), ["tag"])
     fallback = F.when(F.col("tag") == UNKNOWN_SOURCE_TAG, F.lit(UNMAPPED_TAG))
     return found.withColumn("lang", F.get("langs", F.lit(0))).withColumn("upos", F.coalesce("upos", fallback))
 
 
 def pos_checked_homogeneous(rows: DataFrame, tag_map: DataFrame) -> DataFrame:
     """One tag map: ``UKN`` becomes ``''``, a missing tag ``X``."""
-    found = left_lookup(rows, tag_map.select("tag", "upos"), ["tag"])
+    found = left_lookup(rows, one_entry(tag_map, "tag"), ["tag"])
     checked = F.when(F.col("tag") == UNKNOWN_SOURCE_TAG, F.lit("")).otherwise(F.coalesce("upos", F.lit(UNMAPPED_TAG)))
     return found.withColumn("upos", checked)
 
@@ -90,12 +95,16 @@ def merge_tag_maps(pos_map: DataFrame) -> DataFrame:
 
 
 def missing_pos(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
-    """How often each ``lang:tag`` fell back to ``X``: a mapped first language, and no language has the tag."""
+    """How often each ``lang:tag`` fell back to ``X``: a mapped first language, and no language has the tag.
+
+    Rows are counted by (langs, tag) before any is resolved.
+    """
+    counted = rows.groupBy("langs", "tag").agg(F.count(F.lit(1)).alias("n"))
     return (
-        pos_pair(rows, pos_map)
+        pos_pair(counted, pos_map)
         .filter("defaulted")
         .groupBy("lang", "tag")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .select(F.concat_ws(":", "lang", "tag").alias("lang_tag"), "n")
     )
 
@@ -113,7 +122,7 @@ def map_coverage(rows: DataFrame, pos_map: DataFrame) -> DataFrame:
 
 def embedded_map(pos_map: DataFrame, max_rows: int = EMBED_MAX_ROWS) -> Column | None:
     """The map as a constant ``map<lang, map<tag, upos>>``; None when it has more than ``max_rows`` entries."""
-    entries = pos_map.select("lang", "tag", "upos").limit(max_rows + 1).collect()
+    entries = one_entry(pos_map, "lang", "tag").limit(max_rows + 1).collect()
     if len(entries) > max_rows:
         return None
     tree: dict[str, dict[str, str]] = {}

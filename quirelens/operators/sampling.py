@@ -15,6 +15,13 @@ def sample_frac(rows: DataFrame, fraction: float, seed: int = SAMPLE_SEED, parti
     return taken.repartition(partitions) if partitions else taken
 
 
+def sample_keyed(rows: DataFrame, key: Column, fraction: float, seed: int = SAMPLE_SEED, partitions: int | None = None) -> DataFrame:
+    """Rows whose key's seeded digest falls into the given fraction: the same rows under any partitioning."""
+    digest = F.substr(F.md5(F.concat(F.lit(f"{seed}:"), key)), F.lit(1), F.lit(8))
+    taken = rows.filter(F.conv(digest, 16, 10).cast("bigint") < int(fraction * 2**32))
+    return taken.repartition(partitions) if partitions else taken
+
+
 def every_n(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     """Rows 1, n+1, 2n+1, .. in the given order, with their 0-based position.
 

@@ -63,29 +63,34 @@ def term_arrays(pages: DataFrame, dictionary: DataFrame | None = None, tokenize:
     """Pages with a ``terms`` array in place of ``tokens``.
 
     Without a dictionary this is a projection. With one, the terms are looked up as rows and gathered
-    again by page in the same pass; a group is one page, which is one part of one record. Pages left
-    without terms stay.
+    again in the same pass; a group is one row of ``pages``, told apart by its number, so pages with one
+    id stay apart. Pages left without terms stay. The page's other columns travel with its first term only.
     """
     others = [c for c in pages.columns if c != "tokens"]
     if dictionary is None:
         folded = text.split_terms(F.col("tokens"), lower=True) if tokenize else text.fold_terms(text.split_terms(F.col("tokens"), tokenize=False))
         return pages.select(*others, folded.alias("terms"))
-    split = pages.select(*others, F.explode_outer(text.split_terms(F.col("tokens"), tokenize=tokenize)).alias("t"))
-    rows = split.select(*others, "t.term", "t.pos_tags")
-    kept = F.collect_list(F.when(F.col("_kept"), F.struct("term", "pos_tags"))).alias("terms")
-    carried = [F.first(c).alias(c) for c in others if c != "page_id"]
-    return _checked(rows, dictionary, tokenize, None).groupBy("page_id").agg(*carried, kept).select(*others, "terms")
+    numbered = pages.select(F.monotonically_increasing_id().alias("_row"), F.struct(*others).alias("_own"), "tokens")
+    split = numbered.select("_row", "_own", F.posexplode_outer(text.split_terms(F.col("tokens"), tokenize=tokenize)).alias("_t", "t"))
+    rows = split.select("_row", "_t", F.when(F.coalesce("_t", F.lit(0)) == 0, F.col("_own")).alias("_own"), "t.term", "t.pos_tags")
+    kept = F.sort_array(F.collect_list(F.when(F.col("_kept"), F.struct("_t", "term", "pos_tags"))))
+    gathered = _checked(rows, dictionary, tokenize, None).groupBy("_row").agg(F.first("_own", ignorenulls=True).alias("_own"), kept.alias("_terms"))
+    found = F.transform("_terms", lambda t: F.struct(t["term"].alias("term"), t["pos_tags"].alias("pos_tags")))
+    return gathered.select("_own.*", found.alias("terms"))
 
 
-def page_text(pages: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """Space-joined lowercased terms of a page, optionally only dictionary words; ``tokens`` arrays in."""
-    lowered = pages.select("page_id", text.split_terms(F.col("tokens"), lower=True).alias("terms"))
-    if dictionary is None:
-        return lowered.select("page_id", F.array_join(F.sort_array("terms.term"), " ").alias("text"))
-    rows = unfold(lowered, "terms.term", "term", "page_id")
-    return (
-        flag_members(rows, dictionary, "term", "_known")
-        .filter("_known")
-        .groupBy("page_id")
-        .agg(F.array_join(F.sort_array(F.collect_list("term")), " ").alias("text"))
+def page_texts(pages: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(page_id, text, dictionary_text): space-joined lowercased terms of a page, all and only dictionary words; ``tokens`` in.
+
+    Both come out of one pass: terms are flagged as rows and each page gathered once. ``dictionary_text`` is NULL for a
+    page without dictionary words.
+    """
+    lowered = pages.select("page_id", F.monotonically_increasing_id().alias("_row"), text.split_terms(F.col("tokens"), lower=True).alias("terms"))
+    rows = lowered.select("page_id", "_row", F.explode_outer("terms.term").alias("term"))
+    known = F.sort_array(F.collect_list(F.when(F.col("_known"), F.col("term"))))
+    gathered = flag_members(rows, dictionary, "term", "_known").groupBy("_row").agg(
+        F.first("page_id").alias("page_id"), F.sort_array(F.collect_list("term")).alias("all"), known.alias("known")
+    )
+    return gathered.select(
+        "page_id", F.array_join("all", " ").alias("text"), F.when(F.size("known") > 0, F.array_join("known", " ")).alias("dictionary_text")
     )

@@ -44,9 +44,9 @@ def src_sequencefile(spark, d):
 
 
 def _write_bz2_files(spark, d):
-    """One compressed JSON file per benchmark volume, and the list of their paths."""
+    """One compressed JSON file per volume, and the list of their paths."""
     root, list_path = shared_path(spark, "files"), shared_path(spark, "filelist")
-    raw = T.raw_volumes(spark, d, table="benchmark")
+    raw = T.raw_volumes(spark, d)
     (
         raw.select(F.element_at(F.split(ids.id_to_stubby(F.col("key")), "/"), -1).alias("stub"), "json")
         .write.partitionBy("stub").option("compression", "bzip2").text(root)
@@ -56,10 +56,7 @@ def _write_bz2_files(spark, d):
     return root, list_path
 
 
-BENCH = "WITH " + Q.pages_cte("benchmark")
-
-
-@query("src_filelist", BENCH + " SELECT volume_id, page_count, n_lines AS n_pages FROM vol")
+@query("src_filelist", VOLS + " SELECT volume_id, page_count, n_lines AS n_pages FROM vol")
 def src_filelist(spark, d):
     root, list_path = _write_bz2_files(spark, d)
     raw = records.read_filelist(spark, list_path, root).withColumnRenamed("path", "key")
@@ -67,7 +64,7 @@ def src_filelist(spark, d):
     return good.select("volume_id", "page_count", F.size("pages").alias("n_pages"))
 
 
-@query("word_frequency_filelist", Q.terms("benchmark") + " SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term)")
+@query("word_frequency_filelist", Q.terms() + " SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term)")
 def word_frequency_filelist(spark, d):
     root, list_path = _write_bz2_files(spark, d)
     raw = records.read_filelist(spark, list_path, root).withColumnRenamed("path", "key")

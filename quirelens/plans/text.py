@@ -92,9 +92,7 @@ def page_text_terms(spark, d):
  SELECT page_id, coalesce(text, '') AS text, dictionary_text FROM ix LEFT JOIN full_text USING (page_id) LEFT JOIN known USING (page_id)""",
 )
 def page_text_string(spark, d):
-    pages = token_pages(spark, d)
-    known = W.page_text(pages, T.dictionary(spark, d)).withColumnRenamed("text", "dictionary_text")
-    return W.page_text(pages).join(known, "page_id", "left")
+    return W.page_texts(token_pages(spark, d), T.dictionary(spark, d))
 
 
 @query("word_frequency", Q.terms() + " SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term)")

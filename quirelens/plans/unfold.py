@@ -137,14 +137,22 @@ def docstore_key(spark, d):
     return rows.select("url", ids.safe_key(F.concat("url", F.lit("$"), F.col("page_id").cast("string"))).alias("safe"))
 
 
-@query("sample_10000")
+DIGEST = "CAST('0x' || substr(md5('42:' || {0}), 1, 8) AS BIGINT) < {1}"
+
+
+@query(
+    "sample_10000",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE " + DIGEST.format("l_orderkey || ':' || l_linenumber", int(0.0001 * 2**32)),
+)
 def sample_10000(spark, d):
-    return sampling.sample_frac(T.read(spark, d, "lineitem"), 0.0001)
+    key = F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return sampling.sample_keyed(T.read(spark, d, "lineitem"), key, 0.0001).select("l_orderkey", "l_linenumber")
 
 
-@query("sample_100")
+@query("sample_100", "SELECT doc_id, source FROM documents WHERE " + DIGEST.format("doc_id", int(0.01 * 2**32)))
 def sample_100(spark, d):
-    return sampling.sample_frac(T.read(spark, d, "documents"), 0.01, partitions=120)
+    rows = sampling.sample_keyed(T.read(spark, d, "documents"), F.col("doc_id").cast("string"), 0.01, partitions=120)
+    return rows.select("doc_id", "source")
 
 
 @query(
