@@ -271,3 +271,42 @@ def test_dictionary_membership_and_expansion(spark):
         assert rows(B.in_dictionary(made, words, small=small), "term", "i") == [("a", 1), ("a", 2)]
     bigger = B.expand_dictionary(words)
     assert bigger.count() == 52 and bigger.filter("word = 'zb'").count() == 1
+
+
+def test_one_answer_whatever_the_size(spark):
+    """Repeated map entries and repeated page ids give the same by a constant map and by join, with a dictionary and without."""
+    entries = [("en", "NN", "NOUN"), ("en", "NN", "PROPN"), ("de", "VB", "VERB")]
+    repeated = spark.createDataFrame(entries, "lang string, tag string, upos string")
+    page = "volume_id string, page_id string, langs array<string>, tokens array<struct<token: string, pos_tags: array<string>>>"
+    made = spark.createDataFrame(
+        [
+            ("v", "p", ["en"], [("House", ["NN", "VB"]), ("sea", [])]),
+            ("w", "p", ["de", "en"], [("Tree", ["VB"])]),
+            ("x", "q", ["fr"], []),
+            ("y", "r", [], [("odd", ["NN"])]),
+        ],
+        page,
+    )
+    words = spark.createDataFrame([("house",), ("tree",)], "word string")
+    for dictionary in (None, words):
+        arrays = W.term_arrays(made, dictionary)
+        assert arrays.count() == 4
+        got = [
+            sorted((r.volume_id, r.page_id, sorted((f.field, tuple(f["values"])) for f in r.text_fields)) for r in D.text_fields(arrays, repeated, most).collect())
+            for most in (100, 0)
+        ]
+        assert got[0] == got[1]
+        assert ("en_PROPN_htrctokentext", ("house",)) in got[0][0][2]
+    rows_ = spark.createDataFrame([("en", "NN")], "lang string, tag string")
+    assert [r.upos for r in P.pos_lookup(rows_, repeated).collect()] == ["PROPN"]
+    texts = {r.volume_id: (r.text, r.dictionary_text) for r in W.page_texts(made.withColumn("page_id", F.concat("volume_id", "page_id")), words).withColumn("volume_id", F.substring("page_id", 1, 1)).collect()}
+    assert texts == {"v": ("house sea", "house"), "w": ("tree", "tree"), "x": ("", None), "y": ("odd", None)}
+
+
+def test_large_side_with_nested_maps(spark):
+    made = spark.sql("SELECT id AS k, named_struct('m', map('a', id)) AS s FROM range(5)")
+    side = spark.sql("SELECT id AS k, array(id) AS v FROM range(3)")
+    got = {r.k: r.v for r in lookup.left_lookup(made, side, ["k"], False).collect()}
+    assert got == {0: [0], 1: [1], 2: [2], 3: None, 4: None}
+    wide = spark.sql("SELECT array_repeat('x', 1000) AS v FROM range(3)")
+    assert not lookup.fits_broadcast(wide, max_bytes=2000)
