@@ -10,6 +10,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from quirelens.llm import decontamination, huffman, jaccard, langid, maglev, packing, pii, quality, tokens, toxicity, url_rules
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, row long, part int, label string"
@@ -194,6 +196,23 @@ def test_pii_forms_and_terms(spark, empty):
     assert pii.report(empty).count() == 0 and pii.sanitise(empty).count() == 0
 
 
+def test_pii_term_counts(spark, monkeypatch):
+    """Terms are counted over different texts, copies once, whatever a task holds before it passes counts on."""
+    rng = random.Random(9)
+    texts = [sentence(rng, rng.randrange(1, 40)) for _ in range(120)]
+    texts += texts[:30] + texts[:7] + [None, "", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = Counter(w for t in set(texts) for w in {m.lower() for m in pii.TERM.findall(t or "")})
+    some = sorted(want)[::2]
+    terms = spark.createDataFrame([(w,) for w in some], "term string")
+    keyed = rows.select(F.xxhash64("text").alias("text_key"))
+    copied = keyed.groupBy("text_key").count().filter("count > 1").select("text_key")
+    for most in (3, 10**6):
+        monkeypatch.setattr(pii, "MOST_TOTALS", most)
+        got = pii.texts_with(rows, terms, copied, pii.Scratch(spark, "test")).collect()
+        assert {r.term: r.n_term for r in got} == {w: want[w] for w in some}
+
+
 def test_quality_counts(docs, empty):
     frame_, rows = docs
     word = re.compile(r"[^\x20\x09-\x0D]+")
