@@ -5,9 +5,11 @@ and each set enters the index lists of its prefix only. Index level: lists are s
 blocks, and a pair of blocks is skipped where sizes or positions rule every pair out. Answer level: sets
 that share the lead of most of their lists stream by a few leaders; a set that links to a leader is kept as the few
 tokens by which they differ, and its further answers come from the leader's overlaps, corrected by those tokens.
-Only pairs that are not yet connected through leaders become candidates, so a group of near copies costs a
-bounded number of comparisons for each of its members, and no link between different groups is lost. Full sets are made again from the
-texts that need them, found through a bit map of fixed size, and never for all documents.
+Sets of different groups that stand close to each other in the lists are compared next, a fixed number for each entry.
+Then every pair that is not yet connected becomes a candidate, so a group of near copies costs a bounded number of
+comparisons for each of its members, but for sets that may link to some member and have not been found to; such a set
+meets a large group as a whole, once for each list. No link between different groups is lost. Full sets are made again
+from the texts that need them, found through a bit map of fixed size, and never for all documents.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ BATCH_BYTES = 4 << 20
 BLOCK = 256  # entries of an index list compared at a time
 LEADS = 8  # sets of different sizes that lead in one list; what fits none has no leader there
 EARLY_PARTNERS = (2, 24)  # likeliest pairs of each set that are compared first, by round
+NEAREST = 4  # next entries of a list with which an entry makes early pairs
+ORDERS = 8  # hashed orders in which the entries of lists stand then
+PART_BYTES = 128 << 10  # of prefixes of one label that are met at a time
+MOST_MEMBERS = 32  # labels of more sets are met as a whole by the sets of other labels
 MOST_LEADERS = 64  # held while a group streams by
 GROUP_PART = 2000  # larger groups stream by in parts
 LIST_PART = 4096  # longer lists are compared in parts, by several tasks
@@ -290,20 +296,67 @@ def contract(first: DataFrame, full: DataFrame, scratch: Scratch) -> DataFrame:
     return links.filter("eid != lead").unionByName(scratch.write(between.filter("eid != lead"), "between"))
 
 
-def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b, common): pairs of sets under different labels that share enough prefix tokens to link."""
-    named = lists.select("token", "eid", "n", "pos").join(labels, "eid", "left").withColumn("label", F.coalesce("label", "eid"))
+def mixed_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, parts, eid, n, pos, label, members): the entries of lists that hold sets of two or more labels, the number
+    of parts each list is compared in, and the number of sets under each label."""
+    sized = labels.join(labels.groupBy("label").agg(F.count("*").alias("members")), "label")
+    named = lists.select("token", "eid", "n", "pos").join(sized, "eid", "left")
+    named = named.withColumn("label", F.coalesce("label", "eid")).withColumn("members", F.coalesce("members", F.lit(1)))
     mixed = named.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = mixed.filter("low != high").select("token", F.ceil(F.col("m") / LIST_PART).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("eid"), F.col("parts")).cast("int")
-    cells = named.join(mixed, "token").withColumn("part", own)
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return named.join(mixed, "token")
+
+
+def neighbours(lists: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """(a, b): pairs of sets under different labels that stand close to each other in index lists, each in one of ORDERS
+    hashed orders of sets. Each entry makes at most NEAREST pairs, however long its list is."""
+    names = ["token", "part", "band", "label", "eid", "n", "pos"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # the last entries, whose neighbours may follow
+        for rows in batches:
+            columns = [np.asarray(rows.column(c)) for c in names]
+            old = 0
+            if held is not None:
+                old, columns = len(held[0]), [np.concatenate((h, c)) for h, c in zip(held, columns)]
+            token, part, band, label, eid, n, pos = columns
+            found = []
+            for d in range(1, NEAREST + 1):
+                x, y = slice(0, max(len(eid) - d, 0)), slice(d, None)
+                ok = (token[x] == token[y]) & (part[x] == part[y]) & (band[x] == band[y]) & (label[x] != label[y])
+                ok &= np.arange(d, d + len(ok)) >= old
+                i = np.flatnonzero(ok)
+                j = i + d
+                small, large = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+                reach = np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j])
+                fits = (100 * small >= PERCENT * large) & (reach >= least_overlap(small, large))
+                i, j = i[fits], j[fits]
+                found.append(np.stack((np.minimum(eid[i], eid[j]), np.maximum(eid[i], eid[j])), axis=1))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            held = [c[-NEAREST:] for c in columns]
+
+    entries = mixed_lists(lists, labels).withColumn("part", F.pmod(F.xxhash64("eid"), F.col("parts")).cast("int"))
+    place = F.xxhash64("eid", F.pmod("token", F.lit(ORDERS)), F.lit(seed))
+    entries = entries.withColumn("band", F.floor(F.log("n") / -np.log(PERCENT / 100)).cast("int"))
+    ordered = entries.select(*names).repartition("token", "part").sortWithinPartitions("token", "part", "band", place, "eid")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(whole, a, b, common): pairs of sets under different labels that share enough prefix tokens to link.
+
+    Where a label has more than MOST_MEMBERS sets, a pair with one of them becomes a row (set, label) with ``whole``
+    true: the set may link to some member of the label. It is made once for a list, not once for every member there.
+    """
+    named = mixed_lists(lists, labels).withColumn("part", F.pmod(F.xxhash64("eid"), F.col("parts")).cast("int"))
+    cells = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select(
-        "token", F.least("part", "other").alias("c1"), F.greatest("part", "other").alias("c2"), "part", "eid", "n", "pos", "label"
+        "token", F.least("part", "other").alias("c1"), F.greatest("part", "other").alias("c2"), "part", "eid", "n", "pos", "label", "members"
     )
 
-    def pairs_of(g: list[np.ndarray], crossing: bool) -> Iterator[tuple[np.ndarray, ...]]:
-        part, eid, n, pos, label = g
+    def pairs_of(g: list[np.ndarray], crossing: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        part, eid, n, pos, label, _ = g
         for i in range(0, len(eid), BLOCK):
             for j in range(i, len(eid), BLOCK):
                 a, b = slice(i, i + BLOCK), slice(j, j + BLOCK)
@@ -320,20 +373,42 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
                     ok &= part[a][:, None] != part[b][None, :]
                 x, y = np.nonzero(ok)
                 if len(x):
-                    x, y = x + i, y + j
-                    swap = eid[x] > eid[y]
-                    x, y = np.where(swap, y, x), np.where(swap, x, y)
-                    yield eid[x], eid[y], n[x], n[y], pos[x], pos[y]
-
-    names = ["a", "b", "n_a", "n_b", "pos_a", "pos_b"]
+                    yield x + i, y + j
+
+    def whole_of(parts: list[np.ndarray]) -> np.ndarray:
+        """One row of each (set, label) with the least and greatest size met; rows are set, label, own size, least, greatest."""
+        rows = np.concatenate(parts, axis=1)
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        starts = np.flatnonzero(np.concatenate(([True], (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]))))
+        return np.stack((*rows[:3, starts], np.minimum.reduceat(rows[3], starts), np.maximum.reduceat(rows[4], starts)))
+
+    names = ["whole", "a", "b", "n_a", "n_b", "n_most", "pos_a", "pos_b"]
+
+    def batch(whole: bool, *found: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), whole)), *(pa.array(c.astype(np.int64)) for c in found)], names)
+
+    def cell(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, eid, n, pos, label, members = g = columns[3:]
+        met: list[np.ndarray] = []
+        for x, y in pairs_of(g, bool(columns[1][0] != columns[2][0])):
+            large = np.maximum(members[x], members[y]) > MOST_MEMBERS
+            if large.any():
+                u, v = x[large], y[large]
+                swap = (members[u] > members[v]) | ((members[u] == members[v]) & (label[u] > label[v]))
+                u, v = np.where(swap, v, u), np.where(swap, u, v)  # v's label has more sets
+                met.append(whole_of([np.stack((eid[u], label[v], n[u], n[v], n[v])).astype(np.int64)]))
+                x, y = x[~large], y[~large]
+            if len(x):
+                swap = eid[x] > eid[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                yield batch(False, eid[x], eid[y], n[x], n[y], n[y], pos[x], pos[y])
+        if met:
+            found = whole_of(met)
+            none = np.zeros(found.shape[1], dtype=np.int64)
+            yield batch(True, *found, none, none)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
-
-        def cell(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for found in pairs_of(columns[3:], bool(columns[1][0] != columns[2][0])):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names)
-
         for rows in batches:
             columns = [np.asarray(c) for c in rows.columns]
             if held is not None:
@@ -351,14 +426,66 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
             yield from cell(held)
 
     ordered = cells.repartition("token", "c1", "c2").sortWithinPartitions("token", "c1", "c2", "n", "eid")
-    found = ordered.mapInArrow(run, "a long, b long, n_a int, n_b int, pos_a int, pos_b int")
-    pairs = found.groupBy("a", "b").agg(
-        F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.count("*").alias("common"),
+    found = ordered.mapInArrow(run, "whole boolean, a long, b long, n_a long, n_b long, n_most long, pos_a long, pos_b long")
+    pairs = found.groupBy("whole", "a", "b").agg(
+        F.first("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.max("n_most").alias("n_most"), F.count("*").alias("common"),
         F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"),
     )
     rest = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
     enough = F.ceil(PERCENT * (F.col("n_a") + F.col("n_b")) / (100 + PERCENT))
-    return pairs.filter(F.col("common") >= _needed(F.col("n_a"), F.col("n_b"))).filter(F.col("common") + rest >= enough).select("a", "b", "common")
+    pair = (F.col("common") >= _needed(F.col("n_a"), F.col("n_b"))) & (F.col("common") + rest >= enough)
+    # of all sizes met, the least or the greatest needs fewest common tokens, but for one by rounding
+    some = F.col("common") >= F.least(_needed(F.col("n_a"), F.col("n_b")), _needed(F.col("n_a"), F.col("n_most"))) - 1
+    return pairs.filter(F.when(F.col("whole"), some).otherwise(pair)).select("whole", "a", "b", "common")
+
+
+def sharing(rows: DataFrame) -> DataFrame:
+    """(a, b, common) of sets and those of their ``members`` that share enough prefix tokens to link, from rows (a, n_a, prefix_a, members)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            out: list[np.ndarray] = []
+            for i, (a, n, prefix) in enumerate(zip(*(rows.column(c).to_pylist() for c in ("a", "n_a", "prefix_a")))):
+                members = rows.column("members")[i].values
+                packed = members.field("prefix").to_pylist()
+                lengths = np.array([len(p) // 8 for p in packed])
+                inside = _inside(_tokens(b"".join(packed)), np.sort(_tokens(prefix)))
+                common = np.add.reduceat(inside.astype(np.int64), np.cumsum(lengths) - lengths)
+                sizes = np.asarray(members.field("n"))
+                small, large = np.minimum(sizes, n), np.maximum(sizes, n)
+                needed = least_overlap(small, large) - -(-PERCENT * large // 100) + 1
+                fits = (100 * small >= PERCENT * large) & (common >= needed) & (common > 0)
+                out.append(np.stack((np.full(int(fits.sum()), a), np.asarray(members.field("eid"))[fits], common[fits])))
+            found = np.concatenate(out, axis=1) if out else np.zeros((3, 0), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["a", "b", "common"])
+
+    return rows.select("a", "n_a", "prefix_a", "members").mapInArrow(run, "a long, b long, common long")
+
+
+def _named_a(sets: DataFrame) -> DataFrame:
+    return sets.select(F.col("eid").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("prefix_a"))
+
+
+def likeliest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, rank) of the pairs that share enough prefix tokens, the set's pair with most of them first."""
+    other = sets.select(F.col("eid").alias("b"), F.array(F.struct("eid", "n", "prefix")).alias("members"))
+    found = sharing(pairs.select("a", "b").join(_named_a(sets), "a").join(other, "b"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.col("common").desc(), "b"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= EARLY_PARTNERS[-1]).select("a", "b", "rank")
+
+
+def pairs_with_members(found: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of candidates, where a whole label stands for those of its sets that share enough prefix tokens.
+
+    The sets of a label are gathered in parts of about PART_BYTES, so their number bounds nothing.
+    """
+    whole = found.filter("whole").select("a", F.col("b").alias("label"))
+    members = labels.join(whole.select("label").distinct(), "label", "left_semi").join(sets.select("eid", "n", "prefix"), "eid")
+    parts = members.groupBy("label").agg(F.ceil(F.sum(F.octet_length("prefix")) / PART_BYTES).alias("parts"))
+    members = members.join(parts, "label").withColumn("part", F.pmod(F.xxhash64("eid"), F.col("parts")))
+    members = members.groupBy("label", "part").agg(F.collect_list(F.struct("eid", "n", "prefix")).alias("members"))
+    met = sharing(whole.join(_named_a(sets), "a").join(members, "label"))
+    return found.filter(~F.col("whole")).select("a", "b").unionByName(met.select("a", "b"))
 
 
 def relabel(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -448,25 +575,34 @@ def linked_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
     near = links.groupBy("eid").agg(F.min(F.struct("lead", "gone", "new")).alias("x")).select("eid", "x.*")
     near = scratch.write(near.join(links.select(F.col("lead").alias("eid")).distinct(), "eid", "left_anti"), "near")
     joined = components(links.select(F.col("eid").alias("a"), F.col("lead").alias("b")), scratch, "near")
-    joined = labels = scratch.write(joined.select(F.col("node").alias("eid"), F.col("root").alias("label")), "joined")
-
-    more = scratch.write(candidates(lists, labels), "candidates")
+    joined = scratch.write(joined.select(F.col("node").alias("eid"), F.col("root").alias("label")), "joined")
+
+    def compare(pairs: DataFrame, labels: DataFrame, full: DataFrame, tag: str) -> DataFrame:
+        """The labels after the links among the pairs."""
+        found = scratch.write(compare_through_leaders(pairs, near, full), f"found-{tag}")
+        tops = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), scratch, f"far-{tag}")
+        moved = labels.join(tops.withColumnRenamed("node", "label").withColumnRenamed("root", "top"), "label", "full_outer")
+        return scratch.write(moved.select(F.coalesce("eid", "label").alias("eid"), F.coalesce("top", "label").alias("label")), f"joined-{tag}")
+
+    def sets_of(pairs: DataFrame, tag: str) -> DataFrame:
+        """Full sets of what leads the sets of the pairs."""
+        ends = pairs.select(F.col("a").alias("eid")).union(pairs.select(F.col("b").alias("eid"))).distinct()
+        leads = ends.join(near.select("eid", "lead"), "eid", "left").select(F.coalesce("lead", "eid").alias("eid")).distinct()
+        return scratch.write(fetch_sets(docs, sets, leads), tag)
+
+    # close entries of the lists first, the likeliest pairs of each set before others: the links found join most labels,
+    # and pairs under one label need no comparing
+    for seed, most in enumerate(EARLY_PARTNERS):
+        close = scratch.write(likeliest(neighbours(lists, joined, seed), sets), f"close{seed}")
+        full = sets_of(close, f"close_sets{seed}")
+        for rank in sorted({EARLY_PARTNERS[0], most}):
+            joined = compare(relabel(close.filter(F.col("rank") <= rank), joined), joined, full, f"early{seed}-{rank}")
+        scratch.drop(f"close_sets{seed}")
+    # then all pairs of which no link is known yet
+    found = scratch.write(candidates(lists, joined), "candidates")
     scratch.drop("lists")
-    lead_of = lambda side: more.select(F.col(side).alias("eid")).distinct().join(near.select("eid", "lead"), "eid", "left").select(F.coalesce("lead", "eid").alias("eid"))
-    full = scratch.write(fetch_sets(docs, sets, lead_of("a").union(lead_of("b")).distinct()), "more_sets")
-    # each set's likeliest pairs first: the links found join most labels, and pairs under one label need no comparing
-    more = relabel(more, labels)
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.col("common").desc(), "b"))
-    for k in range(len(EARLY_PARTNERS) + 1):
-        last = k == len(EARLY_PARTNERS)
-        best = more if last else more.withColumn("rank", rank).filter(F.col("rank") <= EARLY_PARTNERS[k])
-        found = scratch.write(compare_through_leaders(best, near, full), f"found{k}")
-        tops = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), scratch, f"far{k}")
-        moved = joined.join(tops.withColumnRenamed("node", "label").withColumnRenamed("root", "top"), "label", "full_outer")
-        moved = moved.select(F.coalesce("eid", "label").alias("eid"), F.coalesce("top", "label").alias("label"))
-        joined = scratch.write(moved, f"joined{k}")
-        if not last:
-            more = scratch.write(relabel(more, joined), f"more{k}")
+    more = scratch.write(relabel(pairs_with_members(found, joined, sets), joined), "more")
+    joined = compare(more, joined, sets_of(more, "more_sets"), "last")
     scratch.drop("more_sets")
 
     known = sets.select("eid", "sig", "rep").join(joined, "eid", "left").withColumn("root", F.coalesce("label", "eid"))
