@@ -91,7 +91,7 @@ def test_jaccard_join(docs, empty):
 
 def test_jaccard_join_in_small_parts(docs, monkeypatch):
     """One answer however the groups and lists are split."""
-    for name, value in (("MOST_LEADERS", 2), ("GROUP_PART", 7), ("LIST_PART", 5), ("BLOCK", 3), ("EARLY_PARTNERS", (1,))):
+    for name, value in (("MOST_LEADERS", 2), ("GROUP_PART", 7), ("LIST_PART", 5), ("BLOCK", 3), ("EARLY_PARTNERS", (1,)), ("MOST_MEMBERS", 1), ("NEAREST", 1), ("PART_BYTES", 64)):
         monkeypatch.setattr(jaccard, name, value)
     test_jaccard_join(docs, docs[0].limit(0))
 
