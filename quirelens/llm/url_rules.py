@@ -1,12 +1,14 @@
-"""URL filters: host and path prefixes, then pattern rules found through their rarest literal token.
+"""URL filters: host and path prefixes, then pattern rules found through their rarest literal tokens.
 
-Built-in functions only. A pattern rule names the literal tokens every URL it matches must hold; it is filed under
-the one that the corpus has least. A URL's tokens look that index up by hash, and only the rules they fetch run
-their regular expression on it. The index is a constant of the plan, so its size is checked.
+Built-in functions only. A pattern rule names the literal tokens every URL it matches must hold, or sets of tokens of
+which it must hold one; it is filed under every token of the set that the corpus has least. A URL's tokens look that
+index up by hash, and only the rules they fetch run their regular expression on it, and so do the rules that no whole
+token stands for. The index is a constant of the plan, so its size is checked.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -33,13 +35,26 @@ class PrefixRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """A regular expression over the lower-cased URL; ``literals`` are whole tokens that any match holds."""
+    """A regular expression over the lower-cased URL; ``literals`` are whole tokens that any match holds.
+
+    Where a match may hold one or another, they stand together as a tuple with every alternative. A rule without
+    literals is tried on every URL.
+    """
 
     name: str
     pattern: str
-    literals: tuple[str, ...]
+    literals: tuple[str | tuple[str, ...], ...]
     verdict: str = "block"
 
+    def __post_init__(self):
+        for tokens in self.token_sets:
+            if not tokens or not all(re.fullmatch("[a-z0-9]+", t) for t in tokens):
+                raise ValueError(f"{self.name}: {tokens} is no set of whole tokens, so no URL could fetch the rule by it")
+
+    @property
+    def token_sets(self) -> list[tuple[str, ...]]:
+        return [(x,) if isinstance(x, str) else tuple(x) for x in self.literals]
+
 
 PREFIX_RULES = (
     PrefixRule("net", "/", "block"),
@@ -51,14 +66,16 @@ PREFIX_RULES = (
 PATTERN_RULES = (
     PatternRule("spam-farm", r"://([a-z0-9-]+\.)*spam-farm\.", ("spam", "farm")),
     PatternRule("cheap-pills", r"://([a-z0-9-]+\.)*cheap-pills\.", ("cheap", "pills")),
-    PatternRule("online-casino", r"[/.-](online|free|best)-casino[/.-]", ("casino",)),
-    PatternRule("adult-videos", r"[/.-](adult|porn|xxx)-videos?[/.-]", ("videos",)),
+    PatternRule("online-casino", r"[/.-](online|free|best)-casino[/.-]", (("online", "free", "best"), "casino")),
+    PatternRule("adult-videos", r"[/.-](adult|porn|xxx)-videos?[/.-]", (("adult", "porn", "xxx"), ("video", "videos"))),
     PatternRule("warez", r"[/.-]warez[/.-]", ("warez",)),
-    PatternRule("ad-server", r"://ads?[0-9]*\.", ("ads",)),
-    PatternRule("click-redirect", r"[/?&](click|redirect|out)\.(php|cgi)\?url=", ("url", "php")),
-    PatternRule("session-id", r"[?&;](jsessionid|phpsessid|sessionid)=", ("sessionid",)),
-    PatternRule("login-form", r"/(login|signin|register)(\.[a-z]+)?([?#]|$)", ("login",)),
-    PatternRule("about-casino", r"/help/(addiction|self-exclusion)/.*casino", ("casino", "help"), "allow"),
+    PatternRule("ad-server", r"://ads?[0-9]*\.", ()),
+    PatternRule(
+        "click-redirect", r"[/?&](click|redirect|out)\.(php|cgi)\?url=", (("click", "redirect", "out"), ("php", "cgi"), "url"),
+    ),
+    PatternRule("session-id", r"[?&;](jsessionid|phpsessid|sessionid)=", (("jsessionid", "phpsessid", "sessionid"),)),
+    PatternRule("login-form", r"/(login|signin|register)(\.[a-z]+)?([?#]|$)", (("login", "signin", "register"),)),
+    PatternRule("about-casino", r"/help/(addiction|self-exclusion)/.*casino", ("help", ("addiction", "exclusion")), "allow"),
 )
 
 
@@ -92,22 +109,35 @@ def token_counts(pages: DataFrame, tokens: set[str]) -> dict[str, int]:
 
 
 def fetch_rules(tokens: Column, rules: tuple[PatternRule, ...], counts: dict[str, int]) -> Column:
-    """The rules filed under one of a URL's tokens: one look at a slot of a hash table for each token."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} pattern rules; the index in the plan is made for at most {MOST_RULES}")
-    size = 1 << (2 * len(rules)).bit_length()
-    slots: list[list[Column]] = [[] for _ in range(size)]
+    """The rules filed under one of a URL's tokens, each once, and those without literals.
+
+    One look at a slot of a hash table for each token.
+    """
+    filed: list[tuple[str, PatternRule]] = []
+    always: list[PatternRule] = []
     for rule in rules:
-        rarest = min(rule.literals, key=lambda t: (counts.get(t, 0), t))
-        slots[zlib.crc32(rarest.encode()) % size].append(F.struct(
-            F.lit(rarest).alias("token"), F.lit(rule.name).alias("name"),
-            F.lit(rule.pattern).alias("pattern"), F.lit(rule.verdict).alias("verdict"),
-        ))
-    kind = "array<struct<token:string,name:string,pattern:string,verdict:string>>"
+        if rule.token_sets:
+            rarest = min(rule.token_sets, key=lambda ts: (sum(counts.get(t, 0) for t in set(ts)), ts))
+            filed += [(t, rule) for t in sorted(set(rarest))]
+        else:
+            always.append(rule)
+    if len(filed) + len(always) > MOST_RULES:
+        raise ValueError(f"{len(filed) + len(always)} entries of pattern rules; the index in the plan is made for at most {MOST_RULES}")
+    size = 1 << (2 * len(filed)).bit_length()
+    slots: list[list[Column]] = [[] for _ in range(size)]
+    for token, rule in filed:
+        slots[zlib.crc32(token.encode()) % size].append(F.struct(F.lit(token).alias("token"), _as_struct(rule).alias("rule")))
+    kind = "array<struct<token:string,rule:struct<name:string,pattern:string,verdict:string>>>"
     index = F.array(*[F.array(*slot).cast(kind) for slot in slots])
-    return F.flatten(F.transform(tokens, lambda t: F.filter(
-        F.element_at(index, (F.crc32(t) % size + 1).cast("int")), lambda r: r["token"] == t
+    fetched = F.flatten(F.transform(tokens, lambda t: F.transform(
+        F.filter(F.element_at(index, (F.crc32(t) % size + 1).cast("int")), lambda e: e["token"] == t), lambda e: e["rule"]
     )))
+    unfiled = F.array(*[_as_struct(r) for r in always]).cast("array<struct<name:string,pattern:string,verdict:string>>")
+    return F.array_distinct(F.concat(unfiled, fetched))
+
+
+def _as_struct(rule: PatternRule) -> Column:
+    return F.struct(F.lit(rule.name).alias("name"), F.lit(rule.pattern).alias("pattern"), F.lit(rule.verdict).alias("verdict"))
 
 
 def judge_urls(
@@ -123,7 +153,7 @@ def judge_urls(
     only ``page_id`` and ``url`` are read.
     """
     pages = pages.select("page_id", "url")
-    counts = token_counts(pages, {t for r in patterns for t in r.literals})
+    counts = token_counts(pages, {t for r in patterns for ts in r.token_sets for t in ts})
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"), url_tokens(F.col("url")).alias("tokens"))
     lower = F.translate(F.col("url"), UPPER, LOWER)

@@ -359,6 +359,42 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+MATCHING = {
+    "spam-farm": ["http://spam-farm.org/", "http://a.b-c.spam-farm.org/"],
+    "cheap-pills": ["http://cheap-pills.com/", "http://x.cheap-pills.com/"],
+    "online-casino": [f"http://a.org/{w}-casino/" for w in ("online", "free", "best")],
+    "adult-videos": [f"http://a.org/{w}-video{s}/" for w in ("adult", "porn", "xxx") for s in ("", "s")],
+    "warez": ["http://a.org/warez/", "http://WAREZ.warez.org/"],
+    "ad-server": [f"http://{w}.a.org/" for w in ("ad", "ads", "ad1", "ads1", "ads20")],
+    "click-redirect": [f"http://a.org{b}{w}.{e}?url=x" for b in "/?&" for w in ("click", "redirect", "out") for e in ("php", "cgi")],
+    "session-id": [f"http://a.org/{b}{w}=1" for b in "?&;" for w in ("jsessionid", "phpsessid", "sessionid")],
+    "login-form": [f"http://a.org/{w}{e}{z}" for w in ("login", "signin", "register") for e in ("", ".php") for z in ("", "?", "#")],
+    "about-casino": [f"http://a.org/help/{w}/{c}" for w in ("addiction", "self-exclusion") for c in ("casino", "casinos", "a/mycasino1")],
+}
+
+
+@pytest.mark.parametrize("rarest", range(3))
+def test_url_rules_fetch_every_alternative(spark, monkeypatch, rarest):
+    """Every alternative of every pattern is fetched, whichever of a rule's token sets the corpus has least."""
+    rules = url_rules.PATTERN_RULES
+    assert set(MATCHING) == {r.name for r in rules}
+    few = {t for r in rules if r.token_sets for t in r.token_sets[rarest % len(r.token_sets)]}
+    monkeypatch.setattr(url_rules, "token_counts", lambda pages, tokens: {t: int(t not in few) for t in tokens})
+    urls = [(u, name) for name, own in MATCHING.items() for u in own] + [("http://a.org/login?x=register", "login-form")]
+    rows = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r for r in url_rules.judge_urls(rows, prefixes=()).collect()}
+    for i, (url, name) in enumerate(urls):
+        want = sorted(r.name for r in rules if re.search(r.pattern, url.translate(FOLD)))
+        assert name in want and got[i].patterns == ",".join(want)
+        assert got[i].verdict == ("allow" if name == "about-casino" else "block")
+
+
+@pytest.mark.parametrize("literals", [((),), ("two-tokens",), (("ok", "No"),)])
+def test_url_rules_refuse_literals_no_url_fetches(literals):
+    with pytest.raises(ValueError):
+        url_rules.PatternRule("bad", "x", literals)
+
+
 def test_sharding(docs, empty):
     owner = maglev.lookup_table(maglev.SHARDS)
     sizes = Counter(owner)
