@@ -196,6 +196,21 @@ def test_pii_forms_and_terms(spark, empty):
     assert pii.report(empty).count() == 0 and pii.sanitise(empty).count() == 0
 
 
+def test_pii_terms_far_from_the_entity(spark):
+    """A revealing term is masked, and counted, in texts that hold its entity anywhere, not in others."""
+    rng = random.Random(6)
+    near = [f"{sentence(rng, 30)} zebrafish at ann@zoo.example.org {sentence(rng, 20)} {k}" for k in range(2)]
+    far = [f"Zebrafish {sentence(rng, 40)} ann@zoo.example.org {sentence(rng, 30)} zebrafish {k}" for k in range(4)]
+    other = [f"zebrafish {sentence(rng, 40)} bob@zoo.example.org {sentence(rng, 20)}"]
+    texts = near + far + other + [f"the words {sentence(rng, 50)} are everywhere {k}" for k in range(200)]
+    frame_, _ = frame(spark, texts)
+    for r in pii.report(frame_).filter(F.col("doc_id") < 7).collect():
+        words = [texts[r.doc_id][int(s):int(e)].lower() for kind, s, e in (x.split(":") for x in r.spans.split(",")) if kind == "term"]
+        assert words.count("zebrafish") == (1 if r.doc_id < 2 else 2 if r.doc_id < 6 else 0)
+    for r in pii.sanitise(frame_).filter(F.col("doc_id") < 7).collect():
+        assert ("zebrafish" in r.text.lower()) == (r.doc_id == 6)
+
+
 def test_pii_term_counts(spark, monkeypatch):
     """Terms are counted over different texts, copies once, whatever a task holds before it passes counts on."""
     rng = random.Random(9)
