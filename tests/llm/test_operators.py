@@ -211,6 +211,21 @@ def test_pii_terms_far_from_the_entity(spark):
         assert ("zebrafish" in r.text.lower()) == (r.doc_id == 6)
 
 
+def test_pii_terms_of_few_texts(spark):
+    """Names beside an entity of one or two texts are masked, short ones too; words that many texts hold are not."""
+    rng = random.Random(8)
+    texts = [
+        f"{sentence(rng, 30)} the words Anna Lee wrote ann@zoo.example.org {sentence(rng, 20)}",
+        f"{sentence(rng, 30)} the words 王伟 wrote +49 30 1234567 are {sentence(rng, 20)}",
+        f"{sentence(rng, 20)} are the words 王伟 wrote +49 30 1234567 {sentence(rng, 30)}",
+    ] + [f"the words {sentence(rng, 50)} wrote are everywhere {k}" for k in range(200)]
+    frame_, _ = frame(spark, texts)
+    masked = {}
+    for r in pii.report(frame_).filter("n_terms > 0").collect():
+        masked[r.doc_id] = {texts[r.doc_id][int(s):int(e)] for kind, s, e in (x.split(":") for x in r.spans.split(",")) if kind == "term"}
+    assert masked == {0: {"Anna", "Lee"}, 1: {"王伟"}, 2: {"王伟"}}
+
+
 def test_pii_term_counts(spark, monkeypatch):
     """Terms are counted over different texts, copies once, whatever a task holds before it passes counts on."""
     rng = random.Random(9)
