@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quirelens.llm import spelling
@@ -53,12 +54,27 @@ def test_neighbours_are_those_of_brute_force(spark, monkeypatch, alphabet):
     counts = {w: rng.choice([5, 5, 6, 30, 200, 1500, 40_000]) for w in vocabulary(rng, 60, alphabet)}
     words = spark.createDataFrame(sorted(counts.items()), "word string, n long")
     assert sorted(map(tuple, spelling.variants(words).collect())) == brute(counts)
-    # every half cut into parts, tiles smaller than a part
-    monkeypatch.setattr(spelling, "GROUP_PART", 7)
-    monkeypatch.setattr(spelling, "TILE", 5)
+    monkeypatch.setattr(spelling, "GROUP_PART", 7)  # every half is cut into parts
     assert sorted(map(tuple, spelling.variants(words).collect())) == brute(counts)
 
 
+@pytest.mark.parametrize("tile", [5, 64, 256])
+def test_tiles(monkeypatch, tile):
+    monkeypatch.setattr(spelling, "TILE", tile)
+    rng = random.Random(tile)
+    words = [w for w in vocabulary(rng, 90, "abc", 6, 9) if len(w) in (7, 8)]
+    block = spelling.Block(words, [rng.randrange(5, 50) for _ in words], 8)
+    for part in (None, np.array([i % 2 for i in range(len(words))])):
+        seen = Counter()
+        for side in (0, 1):
+            seen.update({words[i]: n for i, n, _ in spelling.compare(block, side, part)})
+        want = Counter({
+            w: sum(one_edit(w, v) and 8 in (len(w), len(v)) and (part is None or part[i] != part[j]) for j, v in enumerate(words))
+            for i, w in enumerate(words)
+        })
+        assert +want == seen
+
+
 def test_long_chain(spark):
     counts = {"a" * (6 + k): 5 ** (k + 1) for k in range(14)}
     words = spark.createDataFrame(sorted(counts.items()), "word string, n long")
