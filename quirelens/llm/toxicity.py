@@ -1,9 +1,9 @@
 """Toxicity by logistic regression with the FTRL-proximal method over hashed word n-grams and skip-grams.
 
 Every weight has its own learning rate and L1 shrinkage sets most to exactly zero, so the model is a short sorted
-list of (slot, weight) sent with the tasks. Labels are joined to texts through a bounded sample of labelled ids; the
-sample's features are made on the executors, and the passes over them run on the driver. Scoring reads each text
-once and moves no rows.
+list of (slot, weight) sent with the tasks. Labels are joined to texts through a sample of labelled ids, bounded in
+rows and in bytes of text; its features are made on the executors, one task passes over them, and the driver gets the
+weights only. Scoring reads each text once and moves no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from quirelens.llm.common import held_out, learnable, query, sized_batches, tabl
 
 SLOTS_LOG2 = 20
 SAMPLE_ROWS = 12_000  # labelled rows fitted on, at most half of them of one label
+SAMPLE_BYTES = 64 << 20  # of their texts; a sample of longer texts has fewer rows
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 0.0
 THRESHOLD = 0.3
@@ -90,35 +91,59 @@ def fit(rows: list[tuple[np.ndarray, float]]) -> ToxicityModel:
     return ToxicityModel(index, w[index], -bias_z / ((BETA + bias_n**0.5) / ALPHA))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[int, float]]:
-    """(doc_id, toxic, text) of at most about ``rows`` labelled documents outside the held-out fold, and each label's drawn share.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame, dict[int, float]]:
+    """(doc_id, toxic, text) of about ``rows`` labelled documents outside the held-out fold at most, and each label's drawn share.
 
     Labels that repeat for an id count as the greatest. Ids are drawn by hash, of each label at most half of
-    ``rows``. Texts are fetched by broadcasting the drawn ids, whose number is bounded by ``rows``.
+    ``rows``; where their texts have more than ``most_bytes``, that part of them is drawn which fits, of both labels
+    alike. Texts are fetched by broadcasting the drawn ids, whose number is bounded by ``rows``.
     """
     usable = labels.filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = {k: min(1.0, rows / 2 / n) for k, n in counts.items()}
-    chance = F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30)) < chance * (1 << 30)
-    return docs.select("doc_id", "text").join(F.broadcast(usable.filter(drawn)), "doc_id"), share
+
+    def drawn(part: float) -> DataFrame:
+        chance = F.when(F.col("toxic") == 1, share.get(1, 0.0) * part).otherwise(share.get(0, 0.0) * part)
+        chosen = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1 << 30)) < chance * (1 << 30)
+        return docs.select("doc_id", "text").join(F.broadcast(usable.filter(chosen)), "doc_id")
+
+    held = drawn(1.0).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return drawn(min(1.0, most_bytes / held) if held else 1.0), share
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [slots(t or "").astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(made, pa.binary())], ["doc_id", "toxic", "slots"])
+        for part in sized_batches(iter([batch]), "text", BATCH_BYTES):
+            made = [slots(t or "").astype("<u4").tobytes() for t in part.column("text").to_pylist()]
+            ids = part.column("doc_id").to_pylist()
+            order = [crc32(str(i).encode()) for i in ids]
+            columns = [pa.array(order, pa.int64()), pa.array(map(str, ids), pa.string()), part.column("toxic").combine_chunks(), pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "id", "toxic", "slots"])
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [
+        (np.frombuffer(s, dtype="<u4"), float(y))
+        for batch in batches for s, y in zip(batch.column("slots").to_pylist(), batch.column("toxic").to_pylist())
+    ]
+    model = fit(rows)
+    columns = [[model.index.astype("<u4").tobytes()], [model.weight.astype("<f8").tobytes()], [model.offset]]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slots", "weights", "offset"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """A model from the labelled documents outside the held-out fold; its offset fits the labels' true shares."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """A model from the labelled documents outside the held-out fold; its offset fits the labels' true shares.
+
+    One task fits, on a sample that ``labelled_sample`` bounds; without rows every score is one half.
+    """
     sample, share = labelled_sample(docs, labels)
-    found = sample.mapInArrow(_features, f"doc_id {kind}, toxic int, slots binary").collect()
-    rows = sorted((crc32(str(r.doc_id).encode()), r.doc_id, bytes(r.slots), float(r.toxic)) for r in found)
-    del found
-    model = fit([(np.frombuffer(s, dtype="<u4"), y) for _, _, s, y in rows])
+    features = sample.mapInArrow(_features, "place long, id string, toxic int, slots binary")
+    ordered = features.repartition(1).sortWithinPartitions("place", "id", "toxic", "slots")
+    found = ordered.mapInArrow(_fitted, "slots binary, weights binary, offset double").collect()  # at most 2**SLOTS_LOG2 weights
+    if not found:
+        return fit([])
+    model = ToxicityModel(np.frombuffer(found[0].slots, dtype="<u4"), np.frombuffer(found[0].weights, dtype="<f8"), found[0].offset)
     if len(share) == 2:
         model.offset += float(np.log(share[0] / share[1]))
     return model
@@ -146,7 +171,10 @@ def score(docs: DataFrame, model: ToxicityModel, *carried: str) -> DataFrame:
 
 
 def keep_harmless(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns, whatever their names."""
+    """The documents that are not predicted toxic, with all their columns, whatever their names.
+
+    Null and empty texts are judged by the offset alone; repeated rows stay or go together; an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -287,6 +287,15 @@ def test_language(spark, docs, empty):
     assert langid.identify(empty, nothing).count() == 0
 
 
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "word " * 200) for i in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    rows, share = toxicity.labelled_sample(docs, labels, 1000, 200_000)
+    assert 100 < rows.count() < 300 and set(share) == {0, 1}
+    whole, _ = toxicity.labelled_sample(docs, labels, 1000)
+    assert 800 < whole.count() < 1200
+
+
 def test_toxicity(spark, docs, empty):
     rng = random.Random(4)
     texts = [sentence(rng, 40) + (" vile nasty brute" if k % 5 == 0 else "") for k in range(600)]
