@@ -1,20 +1,21 @@
 """Removal of repeated byte strings by a logarithmic family of suffix arrays.
 
-Documents come in batches, ascending by id. A batch gets a suffix array: first each task sorts the suffixes of the
-texts it holds, then the tasks' arrays are merged by the suffixes' leading bytes. One scan in that order merges the
-new array with those of the existing levels; suffixes that agree lie side by side there, and the newer one's text is
-a repeat. Levels of equal size are merged into one of twice the size before the next batch, so a suffix is rewritten
-a logarithmic number of times.
+Documents come in batches, ascending by id. A batch gets a suffix array: each task sorts the suffixes of the texts it
+holds, then one scan in the order of the suffixes' leading bytes merges the tasks' arrays with those of the existing
+levels. Suffixes that agree lie side by side there, and the newer one's text is a repeat. Where the new array is as
+large as the last level, the same scan writes them as one of twice the size, and so on upwards, so a suffix is
+rewritten a logarithmic number of times.
 
 The arrays are sparse. Of every MATCH-byte string one suffix is kept, chosen by hashes of the string's own bytes, so
 two equal strings keep the same one and meet in the order. An entry stands for the strings next to each other that
 share their kept suffix: its leading bytes, a hash of all bytes those strings cover, and where they start. Entries
 that agree in both are copies, and what the later covers goes. Entries that agree in the leading bytes only are
 compared string by string on the texts, once, at the end. That covers every string of the input, so the result is
-exact (but for equal 128-bit hashes).
+exact (but for equal hashes: of 64 bits among the strings of one suffix, else of 128).
 
 A task hands on one entry of each kind, and of a suffix with many kinds a fixed number, so that common passages
-reach the merge as a few entries from each task.
+reach the merge as a few entries from each task. Suffixes with very many kinds are not compared in one task: their
+strings are dealt by hash, one of each from a task.
 """
 
 from __future__ import annotations
@@ -31,17 +32,20 @@ from quirelens.llm.common import Scratch, query, sized_batches, table
 MATCH = 100
 PREFIX = 24  # leading bytes of a suffix that order it: three numbers of eight bytes
 REACH = MATCH - PREFIX + 1  # places among which a string's kept suffix is chosen
-BATCHES = 4
+BATCHES = 3
 KINDS = 8  # entries of one suffix that a task or level hands on
 PIECE_BITS = 20
 PIECE = 1 << PIECE_BITS  # bytes that are hashed at once
 ARRAY_BYTES = 24 << 20  # text that a task sorts at once
-COMPARED = 1_500_000  # strings that a task compares at once
+COMPARED = 1_000_000  # strings that a task compares at once
+TOGETHER = 2000  # entries of one suffix that are compared in one task
 NO_ID = -(1 << 63)
 
 ENTRY = ["k0", "k1", "k2", "kind", "doc", "at", "n"]
-ENTRY_DDL = "k0 long, k1 long, k2 long, kind long, doc long, at int, n int, listed boolean"
-FOUND_DDL = "doc long, start int, stop int, what int"  # what: 0 a removed span, 1 strings to compare
+ENTRY_DDL = "k0 long, k1 long, k2 long, kind long, doc long, at int, n int, listed boolean, what int"
+SUFFIX = ENTRY[:3]
+# what an entry row is: n bytes to remove from ``at``; n strings to compare; an entry of an array
+GONE, ASKED, KEPT = 0, 1, 2
 SPANS_DDL = "array<struct<start: int, stop: int>>"
 
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -159,44 +163,44 @@ def united(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nda
     return doc[at], start[at], (reach - lift)[np.append(at[1:], len(doc)) - 1]
 
 
-def _found(doc, start, stop, what) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(doc, dtype=np.int64)), *[pa.array(np.asarray(c, dtype=np.int32)) for c in (start, stop)], pa.array(np.full(len(doc), what, dtype=np.int32))],
-        ["doc", "start", "stop", "what"],
-    )
-
-
-def _with_kind(what: int, doc: np.ndarray, at: np.ndarray, n: np.ndarray, keys: list[np.ndarray] | None = None, listed: np.ndarray | None = None) -> pa.RecordBatch:
+def _rows(what: int, doc: np.ndarray, at: np.ndarray, n: np.ndarray, keys: list[np.ndarray] | None = None, listed: np.ndarray | None = None) -> pa.RecordBatch:
+    """Entry rows of one sort; ``keys`` are the suffix and, for entries of an array, the kind."""
     size = len(doc)
-    columns = [pa.array(k) for k in keys] if keys else [pa.nulls(size, pa.int64())] * 4
+    columns = [pa.array(k) for k in keys or []]
+    columns += [pa.nulls(size, pa.int64())] * (4 - len(columns))
     columns += [pa.array(doc), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))]
     columns += [pa.array(listed if listed is not None else np.zeros(size, dtype=bool)), pa.array(np.full(size, what, dtype=np.int32))]
     return pa.RecordBatch.from_arrays(columns, [*ENTRY, "listed", "what"])
 
 
+def _gone(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    doc, start, stop = united(doc, start, stop)
+    return _rows(GONE, doc, start, stop - start)
+
+
 def part_array(docs: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """The suffix array of some texts (what: 2), and the repeats and comparisons that show within them (0, 1)."""
+    """The suffix array of some texts, and the repeats and comparisons that show within them."""
     e = entries(docs, texts)
     if not len(e["doc"]):
         return
     order = np.lexsort([e[c] for c in ("at", "doc", "kind", "k2", "k1", "k0")])
     e = {c: v[order] for c, v in e.items()}
-    suffix = _changes([e["k0"], e["k1"], e["k2"]])
+    suffix = _changes([e[c] for c in SUFFIX])
     kind = suffix | _changes([e["kind"]])
     first = np.flatnonzero(kind)
     own = first[np.cumsum(kind) - 1]
     later = (e["doc"] != e["doc"][own]) | (e["at"] != e["at"][own])  # a repeated row is not a repeat
     if later.any():
-        doc, start, stop = united(e["doc"][later], e["at"][later], (e["at"] + e["n"] + (MATCH - 1))[later])
-        yield _with_kind(0, doc, start, stop - start)
+        yield _gone(e["doc"][later], e["at"][later], (e["at"] + e["n"] + (MATCH - 1))[later])
     group = np.cumsum(suffix)[first] - 1
     many = (np.bincount(group) > KINDS)[group]
     if many.any():
-        yield _with_kind(1, *[e[c][first[many]] for c in ("doc", "at", "n")])
+        rows = first[many]
+        yield _rows(ASKED, *[e[c][rows] for c in ("doc", "at", "n")], [e[c][rows] for c in SUFFIX])
     place = np.arange(len(first)) - np.flatnonzero(_changes([group]))[group]
     handed = ~many | (place < KINDS)
     rows = first[handed]
-    yield _with_kind(2, *[e[c][rows] for c in ("doc", "at", "n")], [e[c][rows] for c in ENTRY[:4]], many[handed])
+    yield _rows(KEPT, *[e[c][rows] for c in ("doc", "at", "n")], [e[c][rows] for c in ENTRY[:4]], many[handed])
 
 
 def _part_arrays(array_bytes: int):
@@ -235,47 +239,43 @@ def _arrays(rows: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
 
 
 def _merge_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The new array and the levels in one order: what repeats, and what must be compared on the texts.
+    """The new array and the levels in one order: what repeats, what must be compared on the texts, and the merged array.
 
     Suffixes with several kinds of entries are compared if a new entry is among them; the old ones only if they were
-    of one kind before, as otherwise they were handed on already.
+    of one kind before, as otherwise they were handed on already. Of rows to ``merge``, the earliest of each kind is
+    written, and of a suffix with many kinds the first KINDS.
     """
-    for rows in whole_groups(batches, ["k0", "k1", "k2"]):
-        e = _arrays(rows, [*ENTRY, "listed", "fresh"])
-        suffix = _changes([e["k0"], e["k1"], e["k2"]])
+    for rows in whole_groups(batches, SUFFIX):
+        e = _arrays(rows, [*ENTRY, "listed", "fresh", "merge"])
+        suffix = _changes([e[c] for c in SUFFIX])
         kind = suffix | _changes([e["kind"]])
         first = np.flatnonzero(kind)
-        own = first[np.cumsum(kind) - 1]
+        number = np.cumsum(kind) - 1
+        own = first[number]
         later = e["fresh"] & ((e["doc"] != e["doc"][own]) | (e["at"] != e["at"][own]))
         if later.any():
-            yield _found(*united(e["doc"][later], e["at"][later], (e["at"] + e["n"] + (MATCH - 1))[later]), 0)
+            yield _gone(e["doc"][later], e["at"][later], (e["at"] + e["n"] + (MATCH - 1))[later])
         group = np.cumsum(suffix)[first] - 1
-        kinds = np.bincount(group)
+        several = (np.bincount(group) > 1)[group]
         was = np.bincount(group, weights=np.logical_or.reduceat(~e["fresh"], first)).astype(int)
         news = np.logical_or.reduceat(e["fresh"], np.flatnonzero(suffix))
-        asked = (kinds > 1)[group] & news[group] & ~e["listed"][first] & (e["fresh"][first] | (was == 1)[group])
+        asked = several & news[group] & ~e["listed"][first] & (e["fresh"][first] | (was == 1)[group])
         at = first[asked]
         if len(at):
-            yield _found(e["doc"][at], e["at"][at], e["at"][at] + e["n"][at], 1)
-
-
-def _merge_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Several levels as one: of each kind the earliest entry, of a suffix with many kinds the first KINDS, all compared before."""
-    for rows in whole_groups(batches, ["k0", "k1", "k2"]):
-        e = _arrays(rows, ENTRY)
-        suffix = _changes([e["k0"], e["k1"], e["k2"]])
-        first = np.flatnonzero(suffix | _changes([e["kind"]]))
-        group = np.cumsum(suffix)[first] - 1
-        place = np.arange(len(first)) - np.flatnonzero(_changes([group]))[group]
-        several = (np.bincount(group) > 1)[group]
-        at = place < KINDS
-        listed = pa.array(several[at] | np.asarray(rows.column("listed").to_numpy()[first[at]]))
-        taken = rows.select(ENTRY).take(pa.array(first[at])).combine_chunks()
-        yield from taken.append_column("listed", listed).to_batches()
+            yield _rows(ASKED, *[e[c][at] for c in ("doc", "at", "n")], [e[c][at] for c in SUFFIX])
+        merged = np.flatnonzero(e["merge"])
+        if len(merged):
+            merged = merged[_changes([number[merged]])]
+            group_of = group[number[merged]]
+            begins = np.flatnonzero(_changes([group_of]))
+            place = np.arange(len(merged)) - begins[np.cumsum(_changes([group_of])) - 1]
+            merged = merged[place < KINDS]
+            listed = e["listed"][merged] | several[number[merged]]
+            yield _rows(KEPT, *[e[c][merged] for c in ("doc", "at", "n")], [e[c][merged] for c in ENTRY[:4]], listed)
 
 
 class Family:
-    """The levels, each a sorted suffix array of a power of two of batches, and what was found so far."""
+    """The levels, each a suffix array of a power of two of batches, and what was found so far."""
 
     def __init__(self, scratch: Scratch, array_bytes: int = ARRAY_BYTES):
         self.scratch, self.array_bytes = scratch, array_bytes
@@ -283,116 +283,169 @@ class Family:
         self.found: list[DataFrame] = []
         self.made = 0
 
-    def _sorted(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition("k0", "k1", "k2").sortWithinPartitions("k0", "k1", "k2", "kind", "doc", "at")
-
-    def _settle(self) -> None:
-        """Merge equal levels, smallest first."""
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
-            (size, newer, a), (_, older, b) = self.levels.pop(), self.levels.pop()
-            name = f"level-{self.made}-{2 * size}"
-            merged = self.scratch.write(self._sorted(a.unionByName(b)).mapInArrow(_merge_levels, ENTRY_DDL), name)
-            self.levels.append((2 * size, name, merged))
-            self.scratch.drop(newer)
-            self.scratch.drop(older)
-
-    def add(self, docs: DataFrame) -> None:
-        """Take a batch (doc, text as bytes) whose documents are later than all before."""
-        self._settle()
+    def add(self, docs: DataFrame, last: bool = False) -> None:
+        """Take a batch (doc, text as bytes) whose documents are later than all before; after the ``last`` no array is kept."""
         self.made += 1
         name = f"batch-{self.made}"
-        made = self.scratch.write(docs.mapInArrow(_part_arrays(self.array_bytes), f"{ENTRY_DDL}, what int"), name, "what")
-        own = made.filter("what = 2").drop("what")
-        every = own.withColumn("fresh", F.lit(True))
-        for _, _, level in self.levels:
-            every = every.unionByName(level.withColumn("fresh", F.lit(False)))
-        seen = self.scratch.write(self._sorted(every).mapInArrow(_merge_scan, FOUND_DDL), f"found-{self.made}")
-        stop = F.col("at") + F.col("n")
-        within = made.filter("what < 2").select("doc", F.col("at").alias("start"), stop.alias("stop"), "what")
-        self.found += [seen, within]
-        self.levels.append((1, f"{name}/what=2", own))  # what was found within stays when the level goes
+        made = self.scratch.write(docs.mapInArrow(_part_arrays(self.array_bytes), ENTRY_DDL), name, "what")
+        array, size, equal = made.filter(F.col("what") == KEPT).drop("what"), 1, []
+        while self.levels and self.levels[-1][0] == size and not last:
+            equal.append(self.levels.pop())
+            size *= 2
+        every = array.withColumn("fresh", F.lit(True)).withColumn("merge", F.lit(bool(equal)))
+        for levels, merge in ((equal, True), (self.levels, False)):
+            for _, _, level in levels:
+                every = every.unionByName(level.withColumn("fresh", F.lit(False)).withColumn("merge", F.lit(merge)))
+        order = [*SUFFIX, "kind", "doc", "at"]
+        scanned = every.repartition(*SUFFIX).sortWithinPartitions(*order).mapInArrow(_merge_scan, ENTRY_DDL)
+        seen = self.scratch.write(scanned, f"scan-{self.made}", "what")
+        self.found += [seen.filter(F.col("what") != KEPT), made.filter(F.col("what") != KEPT)]
+        # what was found stays when the arrays beside it go
+        arrays, scan = f"{name}/what={KEPT}", f"scan-{self.made}/what={KEPT}"
+        if equal:
+            self.levels.append((size, scan, seen.filter(F.col("what") == KEPT).drop("what")))
+        elif not last:
+            self.levels.append((1, arrays, array))
+        if equal or last:
+            self.scratch.drop(arrays)
+        for _, old, _ in [*equal, *(self.levels if last else [])]:
+            self.scratch.drop(old)
 
     def results(self) -> DataFrame:
-        """(doc, start, stop, what) of all batches."""
+        """The rows of all batches that are not entries of an array."""
         out = self.found[0]
         for more in self.found[1:]:
             out = out.unionByName(more)
-        return out
+        return out.drop("kind", "listed")
+
+
+def _strings(some: list[tuple[int, int, bytes]], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash, the row and the place of every MATCH-byte string of a list of ``pieces``."""
+    data = np.frombuffer(b"".join(p[2] for p in some), dtype=np.uint8)
+    lengths = np.array([len(p[2]) for p in some])
+    stops = np.cumsum(lengths)
+    at = np.flatnonzero(np.arange(len(data)) + MATCH <= np.repeat(stops, lengths))
+    row = np.searchsorted(stops, at, side="right")
+    base = np.array([p[1] for p in some])
+    return Hashes(data, seed).of(at, at + MATCH), np.array([p[0] for p in some])[row], at - (stops - lengths)[row] + base[row]
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes of the strings to compare (what: 2), one of equal ones in a task; the others are removed spans (0)."""
+def _later(columns: list[np.ndarray], doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of sorted rows that agree in the columns: those elsewhere than the first."""
+    new = _changes(columns)
+    own = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return (doc != doc[own]) | (at != at[own])
 
-    def made(rows: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        a, b, doc, at = (np.concatenate(c) for c in zip(*rows))
+
+def _ask_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of entries to compare (k0, k1, k2, doc, at, bytes), and of suffixes with very many the strings' hashes
+    (a, b, doc, at), of equal ones in a task the first, with the others as bytes to remove (doc, at, n)."""
+    names = [*SUFFIX, "a", "b", "doc", "at", "n", "bytes", "what"]
+    kinds = [pa.int64()] * 6 + [pa.int32(), pa.int32(), pa.binary(), pa.int32()]
+
+    def made(what: int, **columns) -> pa.RecordBatch:
+        size = len(columns["doc"])
+        columns["what"] = np.full(size, what)
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds)], names)
+
+    def hashed(kept: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        a, b, doc, at = (np.concatenate(c) for c in zip(*kept))
         order = np.lexsort((at, doc, b, a))
         a, b, doc, at = a[order], b[order], doc[order], at[order]
-        new = _changes([a, b])
-        first = np.flatnonzero(new)
-        own = first[np.cumsum(new) - 1]
-        later = ~new & ((doc != doc[own]) | (at != at[own]))
+        first, later = _changes([a, b]), _later([a, b], doc, at)
+        yield made(KEPT, a=a[first], b=b[first], doc=doc[first], at=at[first])
         d, start, stop = united(doc[later], at[later], at[later] + MATCH)
-        for hashes, d, start, stop, what in (((a[first], b[first]), doc[first], at[first], at[first] + MATCH, 2), (None, d, start, stop, 0)):
-            if len(d):
-                found = _found(d, start, stop, what)
-                columns = [pa.array(h) for h in hashes] if hashes else [pa.nulls(len(d), pa.int64())] * 2
-                yield pa.RecordBatch.from_arrays([*columns, *found.columns], ["a", "b", *found.schema.names])
+        yield made(GONE, doc=d, at=start, n=stop - start)
 
     kept: list[tuple[np.ndarray, ...]] = []
     held = 0
     for part in sized_batches(batches, "text", 4 << 20):
-        docs, texts, asked = [], [], []
+        few: dict[str, list] = {c: [] for c in (*SUFFIX, "doc", "at", "bytes")}
+        many: list[tuple[int, int, bytes]] = []
         for doc, text, ranges in zip(*[part.column(c).to_pylist() for c in ("doc", "text", "ranges")]):
             for r in ranges:
                 # a row that repeats an id may be shorter than the one the range is of
-                own = (text or b"")[r["start"]:r["stop"] + MATCH - 1]
-                if len(own) >= MATCH:
-                    docs.append(doc)
-                    texts.append(own)
-                    asked.append(r["start"])
-        for some in pieces(list(range(len(docs))), texts):
-            data = np.frombuffer(b"".join(p[2] for p in some), dtype=np.uint8)
-            lengths = np.array([len(p[2]) for p in some])
-            stops = np.cumsum(lengths)
-            at = np.flatnonzero(np.arange(len(data)) + MATCH <= np.repeat(stops, lengths))
-            row = np.searchsorted(stops, at, side="right")
-            base = np.array([asked[p[0]] + p[1] for p in some])
-            kept.append((
-                Hashes(data, 1).of(at, at + MATCH).view(np.int64), Hashes(data, 2).of(at, at + MATCH).view(np.int64),
-                np.array([docs[p[0]] for p in some], dtype=np.int64)[row], at - (stops - lengths)[row] + base[row],
-            ))
-            held += len(at)
+                own = (text or b"")[r["at"]:r["at"] + r["n"] + MATCH - 1]
+                if len(own) < MATCH:
+                    continue
+                if r["many"]:
+                    many.append((doc, r["at"], own))
+                else:
+                    for c, v in zip(few, (*[r[k] for k in SUFFIX], doc, r["at"], own)):
+                        few[c].append(v)
+        if few["doc"]:
+            yield made(ASKED, **few)
+        for some in pieces(list(range(len(many))), [m[2] for m in many]):
+            (a, row, at), (b, _, _) = _strings(some, 1), _strings(some, 2)
+            docs, starts = (np.array([m[k] for m in many], dtype=np.int64) for k in (0, 1))
+            kept.append((a.view(np.int64), b.view(np.int64), docs[row], at + starts[row]))
+            held += len(a)
             if held >= COMPARED:
-                yield from made(kept)
+                yield from hashed(kept)
                 kept, held = [], 0
     if kept:
-        yield from made(kept)
+        yield from hashed(kept)
+
 
+def _compare_few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of entries, sorted by suffix, to what an earlier string of the same suffix equals."""
 
-def _equal_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of strings with equal hashes, sorted, all but the earliest."""
+    def compared(tables: list[pa.Table]) -> pa.RecordBatch:
+        rows = pa.concat_tables(tables)
+        e = _arrays(rows, [*SUFFIX, "doc", "at"])
+        suffix = np.cumsum(_changes([e[c] for c in SUFFIX])).astype(np.uint64)
+        order = np.lexsort((e["at"], e["doc"]))
+        texts = rows.column("bytes").to_pylist()
+        h, row, at = (np.concatenate(c) for c in zip(*(_strings(some, 1) for some in pieces(order.tolist(), [texts[i] for i in order.tolist()]))))
+        with np.errstate(over="ignore"):
+            h = mixed(h ^ suffix[row] * np.uint64(_BASE))
+        doc, at = e["doc"][row], e["at"][row] + at
+        by_hash = np.argsort(h, kind="stable")  # places stay in order
+        doc, at = doc[by_hash], at[by_hash]
+        later = _later([h[by_hash]], doc, at)
+        return _gone(doc[later], at[later], at[later] + MATCH)
+
+    held, size = [], 0
+    for rows in whole_groups(batches, SUFFIX):
+        held.append(rows)
+        size += rows.num_rows * REACH // 2
+        if size >= COMPARED:
+            yield compared(held)
+            held, size = [], 0
+    if held:
+        yield compared(held)
+
+
+def _compare_many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of strings, sorted, to those equal to an earlier one."""
     first = None  # of the group that the last batch ended in
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b, doc, at = (np.asarray(batch.column(c)) for c in ("a", "b", "doc", "start"))
+        a, b, doc, at = (np.asarray(batch.column(c)) for c in ("a", "b", "doc", "at"))
         if first is not None:
             a, b, doc, at = (np.concatenate(([f], c)) for f, c in zip(first, (a, b, doc, at)))
         new = _changes([a, b])
-        heads = np.flatnonzero(new)
-        own = heads[np.cumsum(new) - 1]
-        later = ~new & ((doc != doc[own]) | (at != at[own]))
-        first = tuple(c[own[-1]] for c in (a, b, doc, at))
+        later = _later([a, b], doc, at)
+        first = tuple(c[np.flatnonzero(new)[-1]] for c in (a, b, doc, at))
         if later.any():
-            yield _found(*united(doc[later], at[later], at[later] + MATCH), 0)
+            yield _gone(doc[later], at[later], at[later] + MATCH)
 
 
-def compared(docs: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc, start, stop) of the strings, starting in the asked ranges, that an earlier one there equals."""
-    ranges = asked.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))  # no more than the text is long
-    made = scratch.write(docs.join(ranges, "doc").mapInArrow(_strings, f"a long, b long, {FOUND_DDL}"), "strings", "what")
-    met = made.filter("what = 2").repartition("a", "b").sortWithinPartitions("a", "b", "doc", "start")
-    return made.filter("what = 0").select("doc", "start", "stop").unionByName(met.mapInArrow(_equal_strings, FOUND_DDL).drop("what"))
+def compared(docs: DataFrame, asked: DataFrame, scratch: Scratch, together: int = TOGETHER) -> DataFrame:
+    """(doc, at, n) of bytes to remove: of strings in the asked entries, those that equal an earlier one."""
+    large = asked.groupBy(*SUFFIX).agg(F.count("*").alias("size")).filter(F.col("size") > together)
+    sized = asked.join(large, SUFFIX, "left").withColumn("many", F.col("size").isNotNull())
+    # no more than the text is long
+    ranges = sized.groupBy("doc").agg(F.collect_set(F.struct(*SUFFIX, "at", "n", "many")).alias("ranges"))
+    made = docs.join(ranges, "doc").mapInArrow(_ask_texts, "k0 long, k1 long, k2 long, a long, b long, doc long, at int, n int, bytes binary, what int")
+    made = scratch.write(made, "texts", "what")
+    few = made.filter(F.col("what") == ASKED).select(*SUFFIX, "doc", "at", "bytes")
+    few = few.repartition(*SUFFIX).sortWithinPartitions(*SUFFIX).mapInArrow(_compare_few, ENTRY_DDL)
+    many = made.filter(F.col("what") == KEPT).select("a", "b", "doc", "at")
+    many = many.repartition("a", "b").sortWithinPartitions("a", "b", "doc", "at").mapInArrow(_compare_many, ENTRY_DDL)
+    gone = made.filter(F.col("what") == GONE)
+    return gone.select("doc", "at", "n").unionByName(few.select("doc", "at", "n")).unionByName(many.select("doc", "at", "n"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +453,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, spans, kept = [], [], []
         for text, found in zip(part.column("text").to_pylist(), part.column("found").to_pylist()):
             text = text or b""
-            rows = np.array([(s["start"], min(s["stop"], len(text))) for s in found or [] if s["start"] < len(text)], dtype=np.int64).reshape(-1, 2)
+            rows = np.array([(s["at"], min(s["at"] + s["n"], len(text))) for s in found or [] if s["at"] < len(text)], dtype=np.int64).reshape(-1, 2)
             _, starts, stops = united(np.zeros(len(rows), dtype=np.int64), rows[:, 0], rows[:, 1])
             own = list(zip(starts.tolist(), stops.tolist()))
             edges = [0, *[x for span in own for x in span], len(text)]
@@ -422,19 +475,19 @@ def _batches(docs: DataFrame, batches: int) -> list[Column]:
     return [doc <= edges[0], *[(doc > a) & (doc <= b) for a, b in zip(edges, edges[1:])], doc > edges[-1]]
 
 
-def repeated_spans(docs: DataFrame, batches: int = BATCHES, array_bytes: int = ARRAY_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(doc, text as bytes) of the documents, and (doc, start, stop) of what repeats, spans in any order, perhaps overlapping."""
+def repeated_spans(docs: DataFrame, batches: int = BATCHES, array_bytes: int = ARRAY_BYTES, together: int = TOGETHER) -> DataFrame:
+    """(doc, at, n) of bytes that repeat in documents (doc, text as bytes), in any order, perhaps overlapping."""
     scratch = Scratch(docs.sparkSession, "suffixes")
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("binary").alias("text"))
     family = Family(scratch, array_bytes)
-    for condition in _batches(rows, batches):
-        family.add(rows.filter(condition).select("doc", "text"))
+    conditions = _batches(docs, batches)
+    for condition in conditions:
+        family.add(docs.filter(condition), condition is conditions[-1])
     found = family.results()
-    spans = found.filter("what = 0").select("doc", "start", "stop")
-    return rows, spans.unionByName(compared(rows.select("doc", "text"), found.filter("what = 1"), scratch))
+    gone = found.filter(F.col("what") == GONE).select("doc", "at", "n")
+    return gone.unionByName(compared(docs, found.filter(F.col("what") == ASKED), scratch, together))
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, array_bytes: int = ARRAY_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, batches: int = BATCHES, array_bytes: int = ARRAY_BYTES, together: int = TOGETHER) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: bytes covered by a MATCH-byte string that also starts earlier go.
 
     Earlier means in a document of smaller id, or in the same document further to the front; spans are maximal, and
@@ -443,8 +496,9 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, array_bytes: int = A
     in one of them goes at the same place in all, and equal rows get equal results. An empty table gives no row. Only
     ``doc_id`` and ``text`` are read.
     """
-    rows, spans = repeated_spans(docs, batches, array_bytes)
-    by_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("found"))  # no more than the text is long
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("binary").alias("text"))
+    gone = repeated_spans(rows.select("doc", "text"), batches, array_bytes, together)
+    by_doc = gone.groupBy("doc").agg(F.collect_set(F.struct("at", "n")).alias("found"))  # no more than the text is long
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.join(by_doc, "doc", "left").mapInArrow(_cut, f"doc_id {kind}, n_bytes long, spans {SPANS_DDL}, kept binary")
 

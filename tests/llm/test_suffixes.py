@@ -82,8 +82,8 @@ def test_small_parts_and_many_batches(spark, tmp_path):
     table(spark, rows, tmp_path)
     want = sorted(brute(rows), key=str)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    for batches, array_bytes in ((1, 1 << 12), (7, 1 << 24)):
-        out = suffixes.remove_repeats(docs, batches, array_bytes).collect()
+    for batches, array_bytes, together in ((1, 1 << 12, 0), (7, 1 << 24, 2000), (4, 1 << 13, 6)):
+        out = suffixes.remove_repeats(docs, batches, array_bytes, together).collect()
         got = [(r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in out]
         assert sorted(got, key=str) == want
 
