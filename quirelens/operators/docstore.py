@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quirelens.functions.ids import safe_key
 from quirelens.operators.lookup import left_lookup
-from quirelens.settings import ZONES
+from quirelens.settings import CHAR_MAPS, TOKEN_MAP, ZONES
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -47,17 +47,11 @@ def safe_counts(counts: Column) -> Column:
 
 
 def safe_zone(zone: Column) -> Column:
-    # the parser leaves tag counts as text; a count that is not a whole number is stored as null, its tag stays
-    whole = lambda tags: F.transform_values(tags, lambda _, n: n.try_cast("int"))
-    tokens = F.transform_values(zone["tokenPosCount"], lambda _, tags: safe_counts(whole(tags)))
-    return F.when(
-        zone.isNotNull(),
-        F.struct(
-            safe_counts(tokens).alias("tokenPosCount"),
-            safe_counts(zone["beginCharCounts"]).alias("beginCharCounts"),
-            safe_counts(zone["endCharCount"]).alias("endCharCount"),
-        ),
-    )
+    # the parser leaves counts as text; one that is not a whole number is stored as null, its key stays
+    whole = lambda counts: F.transform_values(counts, lambda _, n: n.try_cast("int"))
+    tokens = F.transform_values(zone[TOKEN_MAP], lambda _, tags: safe_counts(whole(tags)))
+    chars = [safe_counts(whole(zone[m])).alias(m) for m in CHAR_MAPS]
+    return F.when(zone.isNotNull(), F.struct(safe_counts(tokens).alias(TOKEN_MAP), *chars))
 
 
 def safe_zone_maps(pages: DataFrame) -> DataFrame:

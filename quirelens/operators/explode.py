@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelens.functions import ids
-from quirelens.settings import ZONES
+from quirelens.settings import CHAR_MAPS, TOKEN_MAP, ZONES
 
 
 def unfold(rows: DataFrame, array: Column | str, name: str, *keep: Column | str) -> DataFrame:
@@ -100,12 +100,14 @@ def explode_zones(pages: DataFrame) -> DataFrame:
     """One row per page, zone and count map present: ``counts`` holds the map, token tags flattened out."""
     zones = F.array(*[F.struct(F.lit(z).alias("zone"), F.col(z).alias("z")) for z in ZONES])
     one = pages.select("volume_id", "page_id", F.explode(zones).alias("e")).select("volume_id", "page_id", "e.zone", "e.z")
-    totals = F.transform_values("z.tokenPosCount", lambda _, v: F.aggregate(F.map_values(v), F.lit(0), lambda a, x: a + x))
-    maps = F.array(
-        F.struct(F.lit("beginCharCounts").alias("count_map"), F.col("z.beginCharCounts").alias("counts")),
-        F.struct(F.lit("endCharCount").alias("count_map"), F.col("z.endCharCount").alias("counts")),
-        F.struct(F.lit("tokenPosCount").alias("count_map"), totals.alias("counts")),
-    )
+    # the parser leaves counts as text; one that is not a whole number is null, and no part of a token's total
+    whole = lambda n: n.try_cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    total = lambda tags: F.aggregate(F.map_values(tags), zero, lambda a, n: a + F.coalesce(whole(n), zero))
+    totals = F.transform_values(f"z.{TOKEN_MAP}", lambda _, tags: total(tags))
+    chars = [F.transform_values(f"z.{m}", lambda _, n: whole(n)) for m in CHAR_MAPS]
+    named = zip([*CHAR_MAPS, TOKEN_MAP], [*chars, totals])
+    maps = F.array(*[F.struct(F.lit(name).alias("count_map"), counts.alias("counts")) for name, counts in named])
     per_map = unfold(one.filter(F.col("z").isNotNull()), maps, "m", "volume_id", "page_id", "zone")
     named = per_map.select("volume_id", "page_id", "zone", "m.count_map", "m.counts")
     return unfold_map(named, "counts", "key", "n", "volume_id", "page_id", "zone", "count_map")

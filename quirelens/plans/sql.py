@@ -3,7 +3,7 @@
 from quirelens.settings import V15_STRINGS
 
 TOK = r"[\p{L}\p{M}\p{N}_]+(?:[''’.][\p{L}\p{M}\p{N}_]+)*"
-DOC_ID = "CASE WHEN doc_id % 2 = 0 THEN 'dul1.ark:/13960/t' || doc_id ELSE source || '.' || doc_id END"
+DOC_ID = "CASE WHEN doc_id % 2 = 0 THEN 'qlib.ark:/77001/t' || doc_id ELSE source || '.' || doc_id END"
 
 
 def pages_cte(table: str = "documents") -> str:
@@ -42,8 +42,8 @@ DICT = f""",
 dict AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{TOK}'))) AS word FROM benchmark)"""
 
 CONCEPTS = f"""con AS (SELECT 'vol' || conv_id AS document,
-  CASE WHEN conv_id % 2 = 0 THEN 'dul1.ark:/vol' || conv_id ELSE 'vol' || conv_id END AS volume_id,
-  CASE WHEN conv_id % 2 = 0 THEN 'dul1.ark:' ELSE 'vol' || conv_id END AS collection, turn, role,
+  CASE WHEN conv_id % 2 = 0 THEN 'qlib.ark:/vol' || conv_id ELSE 'vol' || conv_id END AS volume_id,
+  CASE WHEN conv_id % 2 = 0 THEN 'qlib.ark:' ELSE 'vol' || conv_id END AS collection, turn, role,
   'vol' || conv_id || '/' || CASE WHEN length(text) < 40 THEN 'p' || turn ELSE printf('%06d', turn) END || '.txt' AS source_page,
   CASE WHEN length(text) < 40 THEN NULL ELSE printf('page-%06d', turn) END AS page_id,
   list_filter(regexp_extract_all(text, '{TOK}'), lambda w: length(w) > 8) AS vals FROM conversations)"""
@@ -74,7 +74,7 @@ FIELD_ROWS = "SELECT doc_id, field, kind, len(vals) AS n_values, array_to_string
 META2 = f"""meta AS (SELECT {DOC_ID} AS vid, doc_id AS d, n_chars AS n, source, lang, 1800 + doc_id % 200 AS yr
   FROM documents WHERE doc_id % 29 <> 0)"""
 PERSON = "'http://id.loc.gov/ontologies/bibframe/Person'"
-BIO, DOC = "'http://id.loc.gov/vocabulary/marcgt/bio'", "'http://id.loc.gov/vocabulary/marcgt/doc'"
+BIO, DOC = "'http://id.loc.gov/vocabulary/marcgt/ess'", "'http://id.loc.gov/vocabulary/marcgt/fic'"
 ORG = "'http://id.loc.gov/ontologies/bibframe/Organization'"
 
 # Expected entries per group of the version 2 metadata: (doc_id, name, mode, vals).
@@ -86,7 +86,7 @@ ENTRIES2 = {
  UNION ALL SELECT vid, 'title', 'string', [source || ' vol. ' || d || '; a "new" edition'] FROM meta""",
     "meta2_ints": """
  SELECT vid AS doc_id, 'dateCreated' AS name, m.mode, [CAST(20200000 + d % 1000 AS VARCHAR)] AS vals FROM meta, (VALUES ('int'), ('string')) m(mode)
- UNION ALL SELECT vid, 'lastRightsUpdateDate', m.mode, ['20190603'] FROM meta, (VALUES ('int'), ('string')) m(mode) WHERE d % 3 < 2
+ UNION ALL SELECT vid, 'lastRightsUpdateDate', m.mode, ['20180917'] FROM meta, (VALUES ('int'), ('string')) m(mode) WHERE d % 3 < 2
  UNION ALL SELECT vid, 'pubDate', m.mode, [CAST(yr AS VARCHAR)] FROM meta, (VALUES ('int'), ('string')) m(mode) WHERE d % 4 <> 2
  UNION ALL SELECT vid, 'pubDate', 'string', ['18uu'] FROM meta WHERE d % 4 = 2""",
     "meta2_uris": """

@@ -15,7 +15,7 @@ from quirelens.operators import fields as M
 from quirelens.operators.explode import unfold
 from quirelens.settings import ORGANIZATION_TYPE, V15_STRINGS
 
-RECORD_PREFIX = "https://data.example.org/extracted-features/20200210/"
+RECORD_PREFIX = "https://data.example.org/extracted-features/20240115/"
 KEY_PATTERN = r"[^ \t\r]+"
 
 
@@ -30,7 +30,7 @@ def spread(rows: DataFrame) -> DataFrame:
 
 
 def record_id(doc_id: Column, source: Column) -> Column:
-    return F.when(doc_id % 2 == 0, F.concat(F.lit("dul1.ark:/13960/t"), doc_id.cast("string"))).otherwise(
+    return F.when(doc_id % 2 == 0, F.concat(F.lit("qlib.ark:/77001/t"), doc_id.cast("string"))).otherwise(
         F.concat_ws(".", source, doc_id.cast("string"))
     )
 
@@ -152,6 +152,38 @@ def raw_volumes(
     return found.select(F.col("volume_id").alias("key"), record.alias("json"), *kept)
 
 
+def _damaged_page(page: Column, index: Column) -> Column:
+    """A page's JSON text; of pages with tokens, seven kinds in eleven are damaged, by their number of tokens and place."""
+    body = page["body"]
+    tokens, n = F.to_json(body["tokenPosCount"]), F.size(body["tokenPosCount"])
+    lang = F.coalesce(F.concat(F.lit('"'), page["calculatedLanguage"], F.lit('"')), F.lit("null"))
+
+    def text(made: Column) -> Column:
+        return _json('{"seq":"', page["seq"], '","calculatedLanguage":', lang, ',"body":', F.coalesce(made, F.lit("null")), "}")
+
+    more = lambda entry: text(_json('{"tokenPosCount":{', entry, ",", F.substr(tokens, F.lit(2)), "}"))
+    kind = F.when(n > 0, F.pmod(n + index, F.lit(11)))
+    return (
+        F.when(page.isNull(), F.lit("null"))
+        .when(kind == 0, F.lit("7"))
+        .when(kind == 1, F.lit('"damaged"'))
+        .when(kind == 2, text(F.lit("[1]")))
+        .when(kind == 3, text(F.lit('{"tokenPosCount":"none"}')))
+        .when(kind == 4, more('"damaged token":3'))
+        .when(kind == 5, more('"odd count":{"NN":"many"}'))
+        .when(kind == 6, text(_json('{"tokenPosCount":', tokens, ',"beginCharCounts":{"x":1.5,"y":2}}')))
+        .otherwise(text(F.to_json(body)))
+    )
+
+
+def damaged_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, json): record text with damaged pages, token counts and character counts."""
+    found = volumes(spark, sf_dir)
+    pages = F.array_join(F.transform("pages", _damaged_page), ",")
+    record = _json('{"id":"', F.col("id"), '","features":{"pageCount":', F.col("page_count"), ',"pages":[', pages, "]}}")
+    return found.select(F.col("volume_id").alias("key"), record.alias("json"))
+
+
 def _json(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in pieces])
 
@@ -174,7 +206,7 @@ def metadata_v2() -> Column:
         _json('"id":"http://hdl.example.net/2027/', vol, '"'),
         _json('"title":"', src, " vol. ", d, '; a \\"new\\" edition"'),
         _json('"dateCreated":', F.lit(20200000) + d % 1000),
-        _choice(d % 3, F.lit('"lastRightsUpdateDate":20190603'), F.lit('"lastRightsUpdateDate":"20190603"'), F.lit('"lastRightsUpdateDate":""')),
+        _choice(d % 3, F.lit('"lastRightsUpdateDate":20180917'), F.lit('"lastRightsUpdateDate":"20180917"'), F.lit('"lastRightsUpdateDate":""')),
         _choice(d % 4, _json('"pubDate":', year), _json('"pubDate":"', year, '"'), F.lit('"pubDate":"18uu"'), _json('"pubDate":', year, ".7")),
         F.lit('"schemaVersion":"https://schemas.example.org/metadata_v_3.0"'),
         F.when(d % 5 != 0, F.lit('"typeOfResource":"http://id.loc.gov/ontologies/bibframe/Text"')).otherwise(""),
@@ -182,10 +214,10 @@ def metadata_v2() -> Column:
         _choice(d % 4, _json('"oclc":"', n, '"'), _json('"oclc":["', n, '","', n + 1, '"]'), F.lit('"oclc":[]'), F.lit('"oclc":null')),
         _choice(
             d % 4,
-            F.lit('"genre":"http://id.loc.gov/vocabulary/marcgt/doc"'),
-            _json('"genre":["urn:uuid:', d, '","http://id.loc.gov/vocabulary/marcgt/bio"]'),
+            F.lit('"genre":"http://id.loc.gov/vocabulary/marcgt/fic"'),
+            _json('"genre":["urn:uuid:', d, '","http://id.loc.gov/vocabulary/marcgt/ess"]'),
             _json('"genre":"urn:uuid:', d, '"'),
-            F.lit('"genre":["http://id.loc.gov/vocabulary/marcgt/bio","http://id.loc.gov/vocabulary/marcgt/doc"]'),
+            F.lit('"genre":["http://id.loc.gov/vocabulary/marcgt/ess","http://id.loc.gov/vocabulary/marcgt/fic"]'),
         ),
         _choice(
             d % 5,
@@ -221,7 +253,7 @@ def metadata_v15() -> Column:
             singles.append(_json(f'"{name}":"{name} ', vol, '"'))
     members = [
         *singles,
-        F.lit('"enumerationChronology":" ","governmentDocument":false'),
+        F.lit('"enumerationChronology":"no. 7","governmentDocument":false'),
         _choice(d % 2, _json('"oclc":["', n, '"]'), F.lit('"oclc":[]')),
         F.lit('"isbn":[],"issn":[]'),
         _json('"lccn":["ca ', d, '"]'),
@@ -265,7 +297,7 @@ def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         document.alias("documentId"),
-        F.when(F.col("conv_id") % 2 == 0, F.lit("dul1.ark:")).otherwise(document).alias("collectionName"),
+        F.when(F.col("conv_id") % 2 == 0, F.lit("qlib.ark:")).otherwise(document).alias("collectionName"),
         F.concat(document, F.lit("/"), number, F.lit(".txt")).alias("pageId"),
         F.when(F.col("role") == "user", F.concat(found, blank)).otherwise(found).alias("concepts"),
     )
@@ -288,7 +320,7 @@ def id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     web = read(spark, sf_dir, "pages").select(F.col("url").alias("id"))
     named = _documents(spark, sf_dir, "documents").select(F.col("volume_id").alias("id"))
     coded = read(spark, sf_dir, "documents").select(
-        F.concat(F.lit("coo."), (F.col("doc_id") + 31924013523232).cast("string"), F.lit(".v"), F.col("n_chars").cast("string")).alias("id")
+        F.concat(F.lit("xyz."), (F.col("doc_id") + 50281736400917).cast("string"), F.lit(".v"), F.col("n_chars").cast("string")).alias("id")
     )
     bare = read(spark, sf_dir, "documents").select(F.col("source").alias("id")).distinct()
     return web.unionAll(named).unionAll(coded).unionAll(bare)

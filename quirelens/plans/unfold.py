@@ -13,7 +13,7 @@ from quirelens.plans.registry import query
 
 WITH_PAGES = "WITH " + Q.pages_cte()
 IDS = f"""WITH ids AS (SELECT url AS id FROM pages UNION ALL SELECT {Q.DOC_ID} FROM documents
-  UNION ALL SELECT 'coo.' || (doc_id + 31924013523232) || '.v' || n_chars FROM documents
+  UNION ALL SELECT 'xyz.' || (doc_id + 50281736400917) || '.v' || n_chars FROM documents
   UNION ALL (SELECT DISTINCT source FROM documents))"""
 REST = "CASE WHEN contains(id, '.') THEN substr(id, position('.' IN id) + 1) ELSE id END"
 STUBBY = f"""{IDS}, parts AS (SELECT id, string_split(id, '.')[1] AS inst, replace(replace(replace({REST}, '/', '='), ':', '+'), '.', ',') AS safe FROM ids),

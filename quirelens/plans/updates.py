@@ -130,7 +130,7 @@ def docstore_keys(spark, d):
     return keys.groupBy("zone", "count_map", "key").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
-@query("docstore_id", f"WITH v AS (SELECT {Q.DOC_ID} AS vid, text FROM documents) SELECT 'https://data.example.org/extracted-features/20200210/' || vid AS _id FROM v")
+@query("docstore_id", f"WITH v AS (SELECT {Q.DOC_ID} AS vid, text FROM documents) SELECT 'https://data.example.org/extracted-features/20240115/' || vid AS _id FROM v")
 def docstore_id(spark, d):
     return docstore.docstore_rows(T.volumes(spark, d)).select("_id")
 

@@ -49,7 +49,7 @@ ORGANIZATION_TYPE = "http://id.loc.gov/ontologies/bibframe/Organization"
 FEED_ITEM_TYPE = "DataFeedItem"
 DROPPED_URI_PREFIX = "urn:uuid"
 
-# Metadata names, record version 1.5. Record numbers are taken by their suffix.
+# Metadata names, record version 1.5.
 V15_STRINGS = [
     "accessProfile", "bibliographicFormat", "dateCreated", "handleUrl", "htBibUrl", "imprint",
     "issuance", "language", "lastUpdateDate", "pubDate", "pubPlace", "rightsAttributes",
@@ -60,11 +60,13 @@ V15_MAPS = ["classification"]
 
 ZONES = ["header", "body", "footer"]
 
-# Record schemas. Metadata stays a string here: its values are polymorphic. So do token counts, as only their keys are
-# used and one odd number must not lose its page, and the page count, which some records give as text.
+TOKEN_MAP, CHAR_MAPS = "tokenPosCount", ["beginCharCounts", "endCharCount"]
+
+# Record schemas. Metadata stays a string here: its values are polymorphic. So do counts, as one odd number must not
+# lose its page, and the page count, which some records give as text.
 ZONE_DDL = (
     "struct<tokenPosCount: map<string, map<string, string>>, "
-    "beginCharCounts: map<string, int>, endCharCount: map<string, int>>"
+    "beginCharCounts: map<string, string>, endCharCount: map<string, string>>"
 )
 PAGE_DDL = {
     "2": f"struct<seq: string, calculatedLanguage: string, header: {ZONE_DDL}, body: {ZONE_DDL}, footer: {ZONE_DDL}>",
@@ -79,9 +81,13 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 EMBED_MAX_ROWS = 20_000
 
 
+#: Holds the text of a record of which the parser could not take some part.
+DAMAGED = "_damaged"
+
+
 def volume_ddl(version: str = "2", pages: bool = True) -> str:
     listed = f", pages: array<{PAGE_DDL[version]}>" if pages else ""
-    return f"id string, metadata string, features struct<pageCount: string{listed}>"
+    return f"id string, metadata string, features struct<pageCount: string{listed}>, {DAMAGED} string"
 
 
 def build_session(app_name: str = "quirelens", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
