@@ -78,6 +78,13 @@ def dictionary_size(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("n_words"))
 
 
+def progress(done: DataFrame, total: DataFrame, key: str, group: str) -> DataFrame:
+    """(group, n_done, n_total, percent): how many of a group's keyed rows are done. A key counts once, a group with none done too."""
+    flags = total.select(key, group).distinct().join(done.select(key).distinct().withColumn("_done", F.lit(1)), key, "left")
+    found = flags.groupBy(group).agg(F.count("_done").alias("n_done"), F.count(F.lit(1)).alias("n_total"))
+    return found.withColumn("percent", F.lit(100.0) * F.col("n_done") / F.col("n_total"))
+
+
 def observed(rows: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:
     """Rows with a counter of them attached: read it from the observation after the action that runs them."""
     watch = Observation(name)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from quirelens.operators.numbering import running_total
 from quirelens.settings import FILES_PER_PARTITION, SAMPLE_SEED
 
 
@@ -23,13 +23,8 @@ def sample_keyed(rows: DataFrame, key: Column, fraction: float, seed: int = SAMP
 
 
 def every_n(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Rows 1, n+1, 2n+1, .. in the given order, with their 0-based position.
-
-    The range-sorted partitions are numbered in place, so no task holds the whole listing.
-    """
-    schema = T.StructType([*rows.schema.fields, T.StructField("position", T.LongType(), False)])
-    numbered = rows.orderBy(*order).rdd.zipWithIndex().filter(lambda p: p[1] % n == 0)
-    return rows.sparkSession.createDataFrame(numbered.map(lambda p: (*p[0], p[1])), schema)
+    """Rows 1, n+1, 2n+1, .. in the given order, with their 0-based position."""
+    return running_total(rows, order, name="position").filter(F.col("position") % n == 0)
 
 
 def partition_count(n: Column, per: int = FILES_PER_PARTITION, minimum: int | None = None) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from quirelens.functions import ids
 from quirelens.operators import counts
-from quirelens.operators import documents as D
 from quirelens.operators import explode as X
 from quirelens.operators import fields as M
 from quirelens.plans import sql as Q
@@ -15,15 +14,15 @@ from quirelens.plans.registry import query
 from quirelens.plans.text import page_tokens
 from quirelens.plans.unfold import IDS, STUBBY
 from quirelens.settings import shared_path
-from quirelens.sinks import files, updates
-from quirelens.sources import lists, records
+from quirelens.sinks import files, named, updates
+from quirelens.sources import listed, lists, records
 
 VOLS = "WITH " + Q.pages_cte()
 
 
-def _damaged(spark, d):
-    """Record text with some records cut short or without features, by what their text ends in."""
-    raw = T.raw_volumes(spark, d, keep=(F.right("text", F.lit(1)),)).withColumnRenamed("_keep0", "last")
+def _damaged(spark, d, version="2"):
+    """Record text with some records cut short or without features, by what their text ends in; ``source`` comes along."""
+    raw = T.raw_volumes(spark, d, version, keep=(F.right("text", F.lit(1)), F.col("source"))).withColumnsRenamed({"_keep0": "last", "_keep1": "source"})
     cut = F.substr(F.col("json"), F.lit(1), F.length("json") - 40)
     json = (
         F.when(F.col("last") == "|", cut)
@@ -31,7 +30,7 @@ def _damaged(spark, d):
         .when(F.col("last") == "&", F.lit('{"features":{"pageCount":1,"pages":[]}}'))
         .otherwise(F.col("json"))
     )
-    return raw.select("key", json.alias("json"))
+    return raw.select("key", json.alias("json"), "source")
 
 
 @query("src_sequencefile", VOLS + " SELECT volume_id, page_count, n_lines AS n_pages, CASE WHEN doc_id % 29 = 0 THEN NULL ELSE source || ' vol. ' || doc_id || '; a \"new\" edition' END AS title FROM vol")
@@ -43,31 +42,27 @@ def src_sequencefile(spark, d):
     return good.select("volume_id", "page_count", F.size("pages").alias("n_pages"), title.alias("title"))
 
 
-def _write_bz2_files(spark, d):
-    """One compressed JSON file per volume, and the list of their paths."""
-    root, list_path = shared_path(spark, "files"), shared_path(spark, "filelist")
-    raw = T.raw_volumes(spark, d)
-    (
-        raw.select(F.element_at(F.split(ids.id_to_stubby(F.col("key")), "/"), -1).alias("stub"), "json")
-        .write.partitionBy("stub").option("compression", "bzip2").text(root)
-    )
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.bz2").load(root)
-    found.select(records.file_paths(root).alias("value")).write.text(list_path)
-    return root, list_path
+def _write_files(spark, d):
+    """One compressed JSON file per volume under its own path; returns the folder, its lists and (path, lang) of all."""
+    root = shared_path(spark, "files")
+    raw = T.raw_volumes(spark, d, keep=(F.col("lang"),)).withColumn("path", ids.id_to_stubby(F.col("key")))
+    return root, named.write_named(raw, root), raw.select("path", F.col("_keep0").alias("lang"))
 
 
-@query("src_filelist", VOLS + " SELECT volume_id, page_count, n_lines AS n_pages FROM vol")
+@query("src_filelist", VOLS + " SELECT volume_id, page_count, n_lines AS n_pages FROM vol WHERE lang IN ('de', 'es')")
 def src_filelist(spark, d):
-    root, list_path = _write_bz2_files(spark, d)
-    raw = records.read_filelist(spark, list_path, root).withColumnRenamed("path", "key")
+    root, _, paths = _write_files(spark, d)
+    list_path = shared_path(spark, "filelist")
+    paths.filter(F.col("lang").isin("de", "es")).select("path").write.text(list_path)
+    raw = listed.read_listed(spark, list_path, root).withColumnRenamed("path", "key")
     good, _ = records.parse_volumes(raw)
     return good.select("volume_id", "page_count", F.size("pages").alias("n_pages"))
 
 
 @query("word_frequency_filelist", Q.terms() + " SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term)")
 def word_frequency_filelist(spark, d):
-    root, list_path = _write_bz2_files(spark, d)
-    raw = records.read_filelist(spark, list_path, root).withColumnRenamed("path", "key")
+    root, lists_, _ = _write_files(spark, d)
+    raw = listed.read_listed(spark, lists_, root).withColumnRenamed("path", "key")
     good, _ = records.parse_volumes(raw)
     return counts.word_frequency(X.explode_tokens(X.explode_pages(good)))
 
@@ -78,7 +73,7 @@ def word_frequency_filelist(spark, d):
  CASE WHEN right(text, 1) IN ('|', '#', '&') THEN NULL ELSE n_lines END AS n_pages FROM vol""",
 )
 def src_volume_json(spark, d):
-    judged = records.judge_volumes(_damaged(spark, d))
+    judged = records.judge_volumes(_damaged(spark, d).drop("source"))
     return judged.select("key", "reason", F.when(F.col("reason").isNull(), F.size("pages")).alias("n_pages"))
 
 
@@ -133,11 +128,13 @@ def src_concept_array(spark, d):
  SELECT lang, p[1] AS tag, arg_max(p[2], i) AS upos FROM parts WHERE len(p) = 2 GROUP BY lang, p[1]""",
 )
 def src_pos_maps(spark, d):
+    root = shared_path(spark, "maps")
     rows = T.read(spark, d, "documents").select(
-        F.concat(F.md5(F.col("doc_id").cast("string")), F.lit(".map")).alias("file"),
-        F.replace("text", F.lit(", "), F.lit("\t")).alias("content"),
+        F.concat(F.lit("maps/"), F.md5(F.col("doc_id").cast("string")), F.lit(".map")).alias("path"),
+        F.replace("text", F.lit(", "), F.lit("\t")).alias("json"),
     )
-    return lists.pos_map_lines(rows)
+    named.write_named(rows, root)
+    return lists.read_pos_maps(spark, f"{root}/maps")
 
 
 @query("src_dictionary", "WITH " + Q.DICT[1:] + " SELECT word FROM dict")
@@ -184,36 +181,6 @@ def sink_counts_text(spark, d):
     return spark.read.text(path)
 
 
-@query(
-    "sink_page_json_bz2",
-    Q.terms() + """, parts AS (SELECT page_id, page_index, volume_id, has_tokens, string_split(volume_id, '.')[1] AS inst,
-  replace(replace(replace(substr(volume_id, position('.' IN volume_id) + 1), '/', '='), ':', '+'), '.', ',') AS safe FROM pg)
- SELECT inst || '/' || array_to_string(list_transform(range(1, length(safe) + 1, 3), lambda p: substr(safe, p, 1)), '') || '/' || inst || '.' || safe
-  || printf('/pages/page-%06d.json.bz2', page_index) AS path, CASE WHEN has_tokens THEN page_id END AS doc_id FROM parts""",
-)
-def sink_page_json_bz2(spark, d):
-    path = shared_path(spark, "page-docs")
-    found = M.parse_metadata(T.volumes(spark, d, metadata=True))
-    documents = D.page_documents(found, T.pos_map(spark, d))
-    files.write_page_docs(files.page_files(X.explode_pages(T.volumes(spark, d)), documents), path)
-    back = spark.read.schema("path string, json string").json(path)
-    return back.select("path", F.get_json_object("json", "$.add.doc.id").alias("doc_id"))
-
-
-ENDPOINTS = ["http://index1:8983/search/books/update", "http://index2:8983/search/books/update", "http://index3:8983/search/books/update"]
-PICKED = "list_transform(range(0, 10), lambda a: CAST('0x' || substr(md5('42:' || a || ':' || volume_id), 1, 8) AS BIGINT) % 3 + 1)"
-
-
-@query(
-    "sink_update_batches",
-    f"""WITH v AS (SELECT {Q.DOC_ID} AS volume_id, doc_id AS d FROM documents WHERE doc_id % 29 <> 0)
- SELECT volume_id, volume_id AS doc_id, array_to_string(list_transform({PICKED}, lambda i: 'http://index' || i || ':8983/search/books/update'), ' ') AS endpoints FROM v""",
-)
-def sink_update_batches(spark, d):
-    commands = updates.update_commands(D.volume_documents(T.parsed_metadata(spark, d)), ENDPOINTS)
-    return commands.select("volume_id", "doc_id", F.array_join("endpoints", " ").alias("endpoints"))
-
-
 @query(
     "endpoint_expand",
     """WITH t AS (SELECT page_id, CASE WHEN contains(url, '?') AND contains(url, 'm.') THEN NULL
@@ -236,12 +203,6 @@ def endpoint_expand(spark, d):
     return updates.expand_endpoints(rows).select("page_id", "node", "url")
 
 
-@query("read_only_mode", VOLS + " SELECT count(*) AS n_documents FROM ix")
-def read_only_mode(spark, d):
-    documents = D.page_documents(M.parse_metadata(T.volumes(spark, d, metadata=True)), T.pos_map(spark, d))
-    return spark.createDataFrame([(files.dry_run(documents)["n_rows"],)], "n_documents bigint")
-
-
 @query(
     "output_naming",
     """SELECT page_id, 'whitelist-' || string_split(string_split(url, '/')[-1], '.')[1] || '-out' AS from_url,
@@ -255,13 +216,15 @@ def output_naming(spark, d):
 
 @query(
     "catalog_lang_frequency_packed",
-    "SELECT CASE WHEN lang = 'es' THEN NULL ELSE lang END AS lang, count(*) AS n FROM documents GROUP BY 1",
+    "SELECT CASE WHEN lang = 'es' OR right(text, 1) IN ('|', '#', '&') THEN NULL ELSE lang END AS lang, count(*) AS n FROM documents GROUP BY 1",
 )
 def catalog_lang_frequency_packed(spark, d):
+    """A record that cannot be used has no language, and counts."""
     path = shared_path(spark, "packed")
-    files.write_packed(T.raw_volumes(spark, d, "1.5"), path)
-    good, _ = records.parse_volumes(records.read_packed(spark, path), "1.5", pages=False)
-    return counts.catalog_lang_frequency(M.parse_metadata(good.select("volume_id", "metadata")), keep_null=True)
+    files.write_packed(_damaged(spark, d, "1.5"), path)
+    judged = records.judge_volumes(records.read_packed(spark, path), "1.5", pages=False)
+    metadata = F.when(F.col("reason").isNull(), F.col("metadata")).alias("metadata")
+    return counts.catalog_lang_frequency(M.parse_metadata(judged.select("volume_id", metadata)), keep_null=True)
 
 
 @query("volume_count", "SELECT count(*) AS n_volumes FROM documents")
@@ -284,10 +247,13 @@ def page_total(spark, d):
     return counts.page_total(T.volumes(spark, d))
 
 
-@query("progress_metrics", VOLS + " SELECT count(*) AS n_volumes, 100.0 * count(*) / count(*) AS percent FROM vol")
+@query(
+    "progress_metrics",
+    """WITH seen AS (SELECT source, right(text, 1) IN ('|', '#', '&') AS bad FROM documents)
+ SELECT source, count(*) FILTER (NOT bad) AS n_done, count(*) AS n_total, 100.0 * count(*) FILTER (NOT bad) / count(*) AS percent FROM seen GROUP BY source""",
+)
 def progress_metrics(spark, d):
-    rows, watch = counts.observed(T.volumes(spark, d))
-    rows.write.format("noop").mode("overwrite").save()
-    total = counts.volume_count(T.read(spark, d, "documents"))
-    n = watch.get["n_rows"]
-    return total.select(F.lit(n).cast("bigint").alias("n_volumes"), (F.lit(100.0) * n / F.col("n_volumes")).alias("percent"))
+    raw = _damaged(spark, d)
+    sources = raw.select("key", "source")
+    done = records.judge_volumes(raw.drop("source")).filter(F.col("reason").isNull()).select("key")
+    return counts.progress(done, sources, "key", "source")

@@ -122,13 +122,18 @@ def bloom_build(spark, d):
     return dictionary.bloom_build(T.dictionary(spark, d))
 
 
+# The bits as one list, each word's places tested against it: no row for each place and no join.
+PLACES = ["CAST('0x' || substr(md5('{k}:' || {w}), 1, 8) AS BIGINT) % m".replace("{k}", str(k)) for k in range(1, 8)]
+
+
 @query(
     "bloom_probe",
-    Q.terms() + Q.DICT + BLOOM + """, cand AS (SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term)),
- hit AS (SELECT term, bool_and(coalesce((bits >> (p % 32)) % 2 = 1, false)) AS might_contain FROM
-  (SELECT term, CAST('0x' || substr(md5(k || ':' || term), 1, 8) AS BIGINT) % m AS p FROM cand, shape, (SELECT unnest(range(1, 8)) AS k))
-  LEFT JOIN bloom ON word_index = p // 32 GROUP BY term)
- SELECT term, n, might_contain FROM cand JOIN hit USING (term)""",
+    Q.terms() + Q.DICT + f""", words AS MATERIALIZED (SELECT word FROM dict),
+ shape AS MATERIALIZED (SELECT CAST(greatest(32, ceil(-count(*) * ln(0.01) / (ln(2) * ln(2)))) AS BIGINT) AS m FROM words),
+ places AS MATERIALIZED (SELECT DISTINCT unnest([{', '.join(p.format(w='word') for p in PLACES)}]) AS p FROM words, shape),
+ bits AS MATERIALIZED (SELECT list(p IS NOT NULL ORDER BY i) AS bits FROM (SELECT unnest(range(m)) AS i FROM shape) LEFT JOIN places ON p = i),
+ cand AS MATERIALIZED (SELECT lower(term) AS term, count(*) AS n FROM trm GROUP BY lower(term))
+ SELECT term, n, {' AND '.join(f"bits[{p.format(w='term')} + 1]" for p in PLACES)} AS might_contain FROM cand, shape, bits""",
 )
 def bloom_probe(spark, d):
     rows = W.terms(page_tokens(spark, d), lower=True).groupBy("term").agg(F.count(F.lit(1)).alias("n"))

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelens.settings import CONCEPT_DDL
+from quirelens.sources.listed import file_paths, read_paths
 
 
 def pos_map_lines(files: DataFrame) -> DataFrame:
-    """(lang, tag, upos) out of (file, content): the language is the first two letters of the file name.
+    """(lang, tag, upos) out of (file, content), one file a language: that is the first two letters of the file name.
 
-    Blank and ``#`` lines are skipped, as are lines that do not have exactly two tab-separated parts;
-    trailing tabs do not count. A repeated tag keeps its last line, and of two files of one language
-    the greater name wins as a whole.
+    Blank and ``#`` lines are skipped, as are lines that do not have exactly two tab-separated parts; trailing tabs do
+    not count. A repeated tag keeps its last line.
     """
     lang = F.substr(F.col("file"), F.lit(1), F.lit(2))
-    chosen = files.groupBy(lang.alias("lang")).agg(F.max_by(F.struct("content"), "file").alias("kept"))
-    lines = chosen.select("lang", F.posexplode_outer(F.split("kept.content", "\r?\n")).alias("line_no", "line"))
+    lines = files.select(lang.alias("lang"), F.posexplode_outer(F.split("content", "\r?\n")).alias("line_no", "line"))
     parts = F.split(F.regexp_replace("line", r"\t+$", ""), "\t")
     return (
         lines.filter(~F.rlike("line", F.lit(r"^\s*$")) & ~F.startswith("line", F.lit("#")))
@@ -28,11 +27,19 @@ def pos_map_lines(files: DataFrame) -> DataFrame:
     )
 
 
+def pos_map_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(lang, path): of each language's ``*.map`` files below a folder the one with the greatest name, then path; no file is opened."""
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.map").load(path)
+    names = listing.select(F.substring_index("path", "/", -1).alias("file"), file_paths(path).alias("path"))
+    lang = F.substr(F.col("file"), F.lit(1), F.lit(2)).alias("lang")
+    return names.groupBy(lang).agg(F.max(F.struct("file", "path")).alias("last")).select("lang", "last.path")
+
+
 def read_pos_maps(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.map`` files below a folder; each is one small file."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.map").select(
-        F.col("_metadata.file_name").alias("file"), F.col("value").alias("content")
-    )
+    """(lang, tag, upos) of all ``*.map`` files below a folder. Of several files of one language the greatest name wins as
+    a whole; which one that is shows in the names, so only those files are read."""
+    chosen = pos_map_paths(spark, path).select("path")
+    files = read_paths(chosen, path).select(F.substring_index("path", "/", -1).alias("file"), F.col("json").alias("content"))
     return pos_map_lines(files)
 
 

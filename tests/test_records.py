@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from quirelens.functions import ids
 from quirelens.operators import counts, docstore, sampling
 from quirelens.operators import explode as X
-from quirelens.sinks import files, updates
-from quirelens.sources import lists, records
+from quirelens.sinks import files, named, updates
+from quirelens.sources import listed, lists, records
 
 ROOT = "https://data.example.org/extracted-features/20240115/"
 
@@ -133,14 +133,14 @@ def test_file_list(spark, tmp_path):
         path.write_bytes(bz2.compress(json.dumps({"name": name}, indent=1).encode()))
     wanted = tmp_path / "list.txt"
     wanted.write_text(f"a/one.json.bz2\na/b/two words.json.bz2\n{plus}\n")
-    got = records.read_filelist(spark, str(wanted), str(root))
+    got = listed.read_listed(spark, str(wanted), str(root))
     assert [(p, json.loads(j)["name"]) for p, j in rows(got, "path", "json")] == [
         ("a/b/two words.json.bz2",) * 2, ("a/one.json.bz2",) * 2, (plus, plus),
     ]
     wanted.write_text("a/one.json.bz2\nmissing.json.bz2\n")
-    assert records.read_filelist(spark, str(wanted), str(root), strict=False).count() == 1
+    assert listed.read_listed(spark, str(wanted), str(root), strict=False).count() == 1
     with pytest.raises(Exception, match="listed file not found"):
-        records.read_filelist(spark, str(wanted), str(root)).collect()
+        listed.read_listed(spark, str(wanted), str(root)).collect()
 
 
 def test_pos_map_files(spark, tmp_path):
@@ -252,10 +252,25 @@ def test_page_documents_in_folders(spark, tmp_path):
     pages = X.explode_pages(good)
     made = X.indexable_pages(pages).select("volume_id", F.col("page_id").alias("doc_id"), F.lit('{"add":{}}').alias("json"))
     want = [("a/b/a.b/pages/page-000000.json.bz2", '{"add":{}}'), ("a/b/a.b/pages/page-000001.json.bz2", "{}")]
-    for parts in (None, 4):
-        out = str(tmp_path / f"out{parts}")
-        files.write_page_docs(files.page_files(pages, made), out, parts)
-        assert rows(spark.read.schema("path string, json string").json(out), "path", "json") == want
+    out = str(tmp_path / "out")
+    lists_ = named.write_named(files.page_files(pages, made), out)
+    assert rows(listed.read_listed(spark, lists_, out), "path", "json") == want
+
+
+def test_rehearsal_makes_every_document(spark):
+    made = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y"), ("b", "3", "x")], "volume_id string, doc_id string, json string")
+    got = {r.volume_id: (r.n_documents, r.digest) for r in files.rehearse(made, F.md5("json")).collect()}
+    assert got["a"][0] == 2 and got["b"][0] == 1 and got["a"][1] != got["b"][1]
+    broken = made.withColumn("json", F.when(F.col("doc_id") == "3", F.raise_error(F.lit("cannot be made"))).otherwise("x"))
+    with pytest.raises(Exception, match="cannot be made"):
+        files.rehearse(broken, F.md5("json")).collect()
+
+
+def test_progress_by_group(spark):
+    total = spark.createDataFrame([("k1", "a"), ("k2", "a"), ("k3", "b"), ("k3", "b"), (None, "c")], "key string, source string")
+    done = spark.createDataFrame([("k1",), ("k1",), ("k9",)], "key string")
+    got = rows(counts.progress(done, total, "key", "source"), "source", "n_done", "n_total", "percent")
+    assert got == [("a", 1, 2, 50.0), ("b", 0, 1, 0.0), ("c", 0, 1, 0.0)]
 
 
 def test_dry_run_counts(spark):
