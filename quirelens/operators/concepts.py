@@ -92,14 +92,20 @@ def update_json(updates: DataFrame) -> DataFrame:
     return updates.withColumn("_change", change).withColumn("json", doc).drop("_change")
 
 
+def last_updates(updates: DataFrame, order: str) -> DataFrame:
+    """(id, field, value, n): of (id, field, value, n, order) the last for each value."""
+    return updates.groupBy("id", "field", "value").agg(F.max_by("n", order).alias("n"))
+
+
 def apply_updates(store: DataFrame, updates: DataFrame, order: str) -> DataFrame:
     """The stored values after all remove-then-add pairs, as (id, field, value, n).
 
     ``store`` is (id, field, value, n) and ``updates`` (id, field, value, n, order). Each pair deletes every
     occurrence of its values and appends them again, so a value's last update sets how often it is stored;
-    values no update names keep their number. Rows are spread by value, never gathered per document.
+    values no update names keep their number. Rows are spread by value, never gathered per document. For a store that
+    is updated again and again, a ``KeyedStore`` takes the ``last_updates`` of each round without moving what is stored.
     """
-    last = updates.groupBy("id", "field", "value").agg(F.max_by("n", order).alias("n_new"))
+    last = last_updates(updates, order).withColumnRenamed("n", "n_new")
     return (
         store.select("id", "field", "value", F.col("n").alias("n_old"))
         .join(last, ["id", "field", "value"], "full_outer")

@@ -63,10 +63,15 @@ def docstore_rows(volumes: DataFrame) -> DataFrame:
     return volumes.withColumnRenamed("id", "_id")
 
 
+def last_incoming(incoming: DataFrame, order: str | None = None) -> DataFrame:
+    """(_id, doc): of several incoming documents of one key the last by ``order``, or the greatest."""
+    return incoming.groupBy("_id").agg(F.max_by("doc", order if order else "doc").alias("doc"))
+
+
 def replace_only(existing: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
     """Stored (_id, doc) with the incoming document where one has the same key; unknown keys are not added.
 
     Several incoming documents of one key are first reduced to the last by ``order`` (or the greatest).
     """
-    last = incoming.groupBy("_id").agg(F.max_by("doc", order if order else "doc").alias("doc_new"))
+    last = last_incoming(incoming, order).withColumnRenamed("doc", "doc_new")
     return left_lookup(existing, last, ["_id"]).select("_id", F.coalesce("doc_new", "doc").alias("doc"))

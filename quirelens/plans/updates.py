@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from quirelens.operators import concepts as C
 from quirelens.operators import counts, docstore
 from quirelens.operators import explode as X
+from quirelens.operators.store import KeyedStore
 from quirelens.plans import sql as Q
 from quirelens.plans import tables as T
 from quirelens.plans.registry import query
 from quirelens.plans.unfold import ZONE_ROWS
-from quirelens.settings import ZONES
+from quirelens.settings import ZONES, shared_path
 
 CON = "WITH " + Q.CONCEPTS
 
@@ -70,17 +71,18 @@ def concept_volume_updates(spark, d):
 
 
 # Stored values come from the user's turns, updates from the assistant's.
-@query(
-    "apply_updates",
+APPLIED = (
     CON + """, val AS (SELECT volume_id, page_id, turn, role, unnest(vals) AS value FROM con WHERE page_id IS NOT NULL),
  named AS (SELECT volume_id || '.' || page_id AS id, unnest(['volumeconcept_txt', 'volumeconcept_htrcstrings']) AS field, value, turn, role FROM val
   UNION ALL SELECT volume_id, unnest(['concept_t', 'concept_ss']), value, turn, role FROM val),
  num AS (SELECT id, field, value, turn, role, count(*) AS n FROM named GROUP BY ALL),
  store AS (SELECT id, field, value, sum(n) AS n FROM num WHERE role = 'user' GROUP BY ALL),
  upd AS (SELECT id, field, value, arg_max(n, turn) AS n FROM num WHERE role <> 'user' GROUP BY ALL)
- SELECT id, field, value, coalesce(u.n, s.n) AS n FROM store s FULL JOIN upd u USING (id, field, value)""",
+ SELECT id, field, value, coalesce(u.n, s.n) AS n FROM store s FULL JOIN upd u USING (id, field, value)"""
 )
-def apply_updates(spark, d):
+
+
+def _stored_and_updates(spark, d):
     records = T.concepts(spark, d)
     asked = F.exists("concepts", lambda c: c["text"].isNull())
 
@@ -88,7 +90,23 @@ def apply_updates(spark, d):
         return C.value_counts(C.page_updates(rows), ["page_id"])
 
     store = numbered(records.filter(asked)).groupBy("id", "field", "value").agg(F.sum("n").alias("n"))
-    return C.apply_updates(store, numbered(records.filter(~asked)), "page_id")
+    return store, numbered(records.filter(~asked))
+
+
+@query("apply_updates", APPLIED)
+def apply_updates(spark, d):
+    return C.apply_updates(*_stored_and_updates(spark, d), "page_id")
+
+
+@query("apply_updates_rounds", APPLIED)
+def apply_updates_rounds(spark, d):
+    """The same values from a store that takes the updates in three rounds, by page."""
+    stored, incoming = _stored_and_updates(spark, d)
+    store = KeyedStore.create(stored, shared_path(spark, "values"), ["id", "field", "value"])
+    page = F.col("page_id")
+    for of in (page <= "page-000002", (page > "page-000002") & (page <= "page-000004"), page > "page-000004"):
+        store.update(C.last_updates(incoming.filter(of), "page_id"))
+    return store.rows()
 
 
 @query("no_concepts_report", CON + " SELECT volume_id, source_page FROM con WHERE len(vals) = 0")
@@ -135,14 +153,13 @@ def docstore_id(spark, d):
     return docstore.docstore_rows(T.volumes(spark, d)).select("_id")
 
 
-@query(
-    "docstore_replace",
-    f"""WITH store AS (SELECT CAST(doc_id AS VARCHAR) AS _id, lang || ':' || n_chars AS doc FROM documents),
+REPLACED = """WITH store AS (SELECT CAST(doc_id AS VARCHAR) AS _id, lang || ':' || n_chars AS doc FROM documents),
  new AS (SELECT CAST(doc_id AS VARCHAR) AS _id, 'q' || quality || 't' || toxic AS doc FROM labels UNION ALL SELECT 'c' || conv_id, role FROM conversations),
  last AS (SELECT _id, max(doc) AS doc FROM new GROUP BY _id)
- SELECT _id, coalesce(last.doc, store.doc) AS doc FROM store LEFT JOIN last USING (_id)""",
-)
-def docstore_replace(spark, d):
+ SELECT _id, coalesce(last.doc, store.doc) AS doc FROM store LEFT JOIN last USING (_id)"""
+
+
+def _stored_and_incoming(spark, d):
     store = T.read(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("_id"), F.concat_ws(":", "lang", F.col("n_chars").cast("string")).alias("doc")
     )
@@ -152,4 +169,20 @@ def docstore_replace(spark, d):
     unknown = T.read(spark, d, "conversations").select(
         F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("_id"), F.col("role").alias("doc")
     )
+    return store, labels, unknown
+
+
+@query("docstore_replace", REPLACED)
+def docstore_replace(spark, d):
+    store, labels, unknown = _stored_and_incoming(spark, d)
     return docstore.replace_only(store, labels.unionAll(unknown))
+
+
+@query("docstore_replace_rounds", REPLACED)
+def docstore_replace_rounds(spark, d):
+    """The same documents from a store that takes the two sources one after the other."""
+    stored, labels, unknown = _stored_and_incoming(spark, d)
+    store = KeyedStore.create(stored, shared_path(spark, "docstore"), ["_id"])
+    for incoming in (labels, unknown):
+        store.update(docstore.last_incoming(incoming), add=False)
+    return store.rows()
