@@ -28,6 +28,7 @@ END_ID = 2
 BATCH_BYTES = 4 << 20
 ROUNDS = 40
 NEW_PATTERNS = 48  # joining the fit in a round
+ROUNDINGS = (0.5, 0.6, 0.7, 0.8, 0.9, 0.999)  # fractions of a repeat from which it counts
 
 
 def patterns_of(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -93,34 +94,30 @@ def fit_repeats(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in a sequence, repeats) that use every piece once.
 
-    With few pieces of each length, rounding can cost more than the fitted patterns save; if best fit alone needs
-    fewer sequences, its plan is taken.
+    The patterns are fitted once. Fewer repeats than fitted leave more pieces for the residual, which fills gaps the
+    patterns have; the fitted repeats are rounded at each of ROUNDINGS and the plan with fewest sequences is taken.
     """
-    left = np.zeros(capacity + 1, dtype=np.int64)
+    whole = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
-        left[length] = n
-    made: list[tuple[tuple[int, ...], int]] = []
-    if left[capacity]:
-        made.append(((capacity,), int(left[capacity])))
-        left[capacity] = 0
-    patterns = patterns_of(np.flatnonzero(left), capacity)
+        whole[length] = n
+    full = [((capacity,), int(whole[capacity]))] if whole[capacity] else []
+    whole[capacity] = 0
+    patterns = patterns_of(np.flatnonzero(whole), capacity)
+    fitted: list[tuple[tuple[int, ...], float]] = []
     if len(patterns):
-        rows, x = fit_repeats(patterns, left.astype(float))
-        for k in np.argsort(-x, kind="stable").tolist():
-            lengths = tuple(v for v in patterns[rows[k]].tolist() if v)
-            most = min(int(left[v]) // lengths.count(v) for v in lengths)
-            repeats = min(int(np.floor(x[k] + 0.5)), most)
+        rows, x = fit_repeats(patterns, whole.astype(float))
+        fitted = [(tuple(v for v in patterns[rows[k]].tolist() if v), float(x[k])) for k in np.argsort(-x, kind="stable").tolist()]
+    plans = []
+    for up_from in ROUNDINGS:
+        left, made = whole.copy(), list(full)
+        for lengths, x_k in fitted:
+            repeats = min(int(np.floor(x_k + 1 - up_from)), *[int(left[v]) // lengths.count(v) for v in lengths])
             if repeats > 0:
                 made.append((lengths, repeats))
                 for v in lengths:
                     left[v] -= repeats
-    made += best_fit(left, capacity)
-    whole = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in counts.items():
-        whole[length] = n
-    plain = best_fit(whole, capacity)
-    sequences = lambda entries: sum(n for _, n in entries)
-    return plain if sequences(plain) < sequences(made) else made
+        plans.append(made + best_fit(left, capacity))
+    return min(plans, key=lambda made: sum(n for _, n in made))
 
 
 def best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -176,7 +173,7 @@ def placements(made: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]
     return {"key": table_[:, 0] << 44 | table_[:, 1], "number": table_[:, 1], "sequence": table_[:, 2], "offset": table_[:, 3]}
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False, release: bool = False) -> DataFrame:
     """One row a piece: its document, place, length, checksum, and its number among those of its length in its part.
 
     A null text has the end id only. A longer document is cut into full pieces; a shorter piece, if any, comes first.
@@ -207,21 +204,24 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, ca
             ]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "number"]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(out["ids"], pa.binary())] * with_ids, names + ["ids"] * with_ids)
+        if release:
+            coder.release()
 
     return docs.select("doc_id", "text").mapInArrow(
         cut, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long, part int, number long" + ", ids binary" * with_ids
     )
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False, release: bool = False) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset``, sequences without gaps from 0.
 
     Null and empty texts are pieces of one id. Repeated rows and ids are packed each for itself; an empty table gives
     no piece. Only ``doc_id`` and ``text`` are read. With ``with_ids`` the ids come along as 32-bit little-endian bytes.
+    With ``release`` a task gives back the memory of its encoder, where executors have other work besides.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    cut = scratch.write(pieces(docs, tokenizer, end_id, capacity, with_ids), "pieces")
+    cut = scratch.write(pieces(docs, tokenizer, end_id, capacity, with_ids, release), "pieces")
     counts = scratch.write(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
     w = Window.partitionBy("length").orderBy("part")
     before = counts.select("part", "length", (F.sum("n").over(w) - F.col("n")).alias("before"))

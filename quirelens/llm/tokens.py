@@ -2,13 +2,15 @@
 
 A text is cut where its tokenizer always cuts (before and after white space, and after a run of plain letters that a
 mark follows), so that the ids of the pieces, put together, are those of the text. Natural text repeats its pieces,
-and each is encoded once as long as the table has room.
+and each is encoded once as long as the table has room. A text that holds one of the tokenizer's special tokens is
+not cut.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -27,7 +29,7 @@ _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 16-bit bytes; ``whole`` without cutting, for checks."""
+    """Ids of texts as little-endian unsigned 16-bit bytes, those of the library without added tokens; ``whole`` without cutting."""
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,9 +37,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = PIECES[name].findall
         self.kept: dict[str, bytes] = {}
         ends = [k for token, k in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]
@@ -64,9 +66,17 @@ class Encoder:
                     at = end
         return [p for p in new if p not in self.kept]
 
+    def release(self) -> None:
+        """Forget the pieces: for a task that shares its worker with other work to come."""
+        self.kept.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > MOST_KEPT:
             self.kept.clear()
+        special = [any(map(t.__contains__, self.special)) for t in texts]
+        if any(special):
+            plain = iter(self.encode([t for t, s in zip(texts, special) if not s]))
+            return [array("H", self.whole(t)).tobytes() if s else next(plain) for t, s in zip(texts, special)]
         cut = [self.cut(t) for t in texts]
         new: set[str] = set()
         for pieces in cut:

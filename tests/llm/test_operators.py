@@ -375,13 +375,25 @@ def test_code_lengths(n, limit):
 
 
 @pytest.mark.parametrize("name", sorted(tokens.PIECES))
-def test_pieces_give_the_tokenizers_ids(name):
+def test_pieces_give_the_tokenizers_ids(name, monkeypatch):
+    """Against the library as it comes, special tokens in the text and all; with room for few pieces, too."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(name))
     rng = random.Random(11)
-    alphabet = list("abcXYZéßñÜ019 .,!?'\n\t-_$\x1c\x85  漢語́😀") + ["'s", "'ll", "  ", "<|endoftext|>", " the", "\r\n"]
-    coder = tokens.encoder(name)
+    alphabet = list("abcXYZéßñÜ019 .,!?'\n\t-_$\x1c\x85\xa0\u2003漢語\u0301😀") + ["'s", "'ll", "  ", "<|endoftext|>", "<|startoftext|>", " the", "\r\n"]
+    words = ["the", "Haus", "élan", "naïve,", "end.", "3rd", "--", "x!", "y?!", "İ", "ﬁn", "don't", "a\nb", "\n", "<|endoftext|>", "w:"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)]
-    for text, coded in zip(texts, coder.encode(texts)):
-        assert np.frombuffer(coded, dtype="<u2").tolist() == coder.whole(text), repr(text)
+    texts += [rng.choice([" ", " ", "  ", "\n ", " \n"]).join(rng.choice(words) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    coder = tokens.Encoder(name)
+    for most in (tokens.MOST_KEPT, 5):
+        monkeypatch.setattr(tokens, "MOST_KEPT", most)
+        for text, ids, coded in zip(texts, want, coder.encode(texts)):
+            assert np.frombuffer(coded, dtype="<u2").tolist() == ids, repr(text)
+    coder.release()
+    assert coder.encode(texts[:3] + [""]) and not coder.encode([])
 
 
 def test_url_rules(spark):
