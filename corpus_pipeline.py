@@ -12,28 +12,44 @@ from quirelens.llm.common import Scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Documents predicted toxic go.
+
+    Null and empty texts are judged by the model's offset and stay where most labelled rows are harmless; equal rows
+    stay or go together; an empty table stays empty. All columns stay, whatever their names.
+    """
     return toxicity.keep_harmless(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by shingle sets, the document with the smallest id stays."""
+    """Of each group linked by shingle sets, the document with the smallest id stays.
+
+    Documents without words all stay; of repeated rows one stays; an empty table stays empty. All columns stay.
+    """
     return jaccard.keep_one(docs)
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of the benchmark are cut out of the texts."""
+    """Passages of the benchmark are cut out of the texts.
+
+    Null texts stay null, and every row stays, also one that nothing is left of. All columns stay.
+    """
     return decontamination.remove_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and the terms that reveal its bearers are masked."""
+    """Personal data and the terms that reveal its bearers are masked.
+
+    Null texts stay null; every row and column stays, repeated rows are masked alike.
+    """
     return pii.sanitise(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document gets its sequence and place."""
-    return packing.pack(docs)
+    """Every piece of every document gets its sequence and place.
+
+    A null or empty text is a piece of one id; repeated rows are packed each for itself; an empty table gives no piece.
+    """
+    return packing.pack(docs, release=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
