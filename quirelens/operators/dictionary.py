@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,13 +80,59 @@ def bloom_probe(rows: DataFrame, bloom: DataFrame, column: str = "term", max_byt
     return rows.withColumn("might_contain", F.coalesce(F.forall(places, is_set), F.lit(False)))
 
 
-def bloom_load_or_build(spark: SparkSession, path: str, dictionary: DataFrame, fpp: float = BLOOM_FPP) -> DataFrame:
-    """Read the filter saved at ``path``; build and save it there first when it is not."""
+def _fingerprint(words: DataFrame) -> dict[str, int]:
+    """What tells a set of words from others, in any order: its size and two digests over all of them."""
+    seen = words.select("word").distinct().agg(
+        F.count(F.lit(1)).alias("n_words"),
+        F.coalesce(F.bit_xor(F.xxhash64("word")), F.lit(0)).alias("mixed"),
+        F.coalesce(F.sum(F.crc32("word")), F.lit(0)).alias("summed"),
+    )
+    return seen.first().asDict()
+
+
+def _shape_of(bloom: DataFrame) -> dict[str, int | None]:
+    """What a table of bit words holds, as one row of numbers."""
+    place = F.xxhash64("word_index", "bits")
+    return bloom.agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(place).alias("places"), F.max("n_bits").alias("n_bits"), F.max("n_hashes").alias("n_hashes")).first().asDict()
+
+
+def _manifests(spark: SparkSession, path: str) -> list[dict]:
+    """The manifests below a filter's folder, oldest first; none where nothing was published."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        bloom_build(dictionary, fpp).write.parquet(path)
-        return spark.read.parquet(path)
+        lines = spark.read.text(f"{path}/manifests", recursiveFileLookup=True).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted((json.loads(line["value"]) for line in lines), key=lambda m: m["version"])
+
+
+def bloom_load_or_build(spark: SparkSession, path: str, dictionary: DataFrame, fpp: float = BLOOM_FPP) -> DataFrame:
+    """The filter of a dictionary, saved at ``path``; built and saved there first where it is not.
+
+    A filter is written to a folder of its own, and counts once a manifest names it, with the fingerprint of the words it
+    was built from, its rate, and what its rows hold. So a filter that was written in part, was built from other
+    words or at another rate, or has lost rows since, is not used but built again.
+    """
+    path = path.rstrip("/")
+    wanted = {**_fingerprint(dictionary), "fpp": fpp}
+    published = _manifests(spark, path)
+    for manifest in reversed(published):
+        if all(manifest[k] == v for k, v in wanted.items()):
+            try:
+                saved = spark.read.parquet(f"{path}/{manifest['folder']}")
+                if _shape_of(saved) == manifest["shape"]:
+                    return saved
+            except AnalysisException as lost:  # the folder went, or holds no file that tells its columns
+                if lost.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
+    version = published[-1]["version"] + 1 if published else 1
+    folder = f"bits-{uuid.uuid4().hex}"
+    bloom_build(dictionary, fpp, wanted["n_words"]).write.parquet(f"{path}/{folder}")
+    saved = spark.read.parquet(f"{path}/{folder}")
+    manifest = {**wanted, "version": version, "folder": folder, "shape": _shape_of(saved)}
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}/manifests/{folder}")
+    return saved
 
 
 def expand_dictionary(dictionary: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirelens.functions import text
-from quirelens.operators import counts, dictionary
+from quirelens.operators import counts, dictionary, segment
 from quirelens.operators import explode as X
 from quirelens.operators import terms as W
 from quirelens.plans import sql as Q
@@ -111,6 +111,46 @@ def dictionary_semi_join(spark, d):
     return dictionary.in_dictionary(rows, T.dictionary(spark, d)).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Phrases of the benchmark and of conversations, written without spaces in other letters: each a Han and kana run, a
+# number and a Thai run. The words of the benchmark, in the same letters, are the table.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+HAN = "日月火水木金土山川田人口目手足耳あいうえおカキクケコ"
+THAI = "กขคงจชซญดตถทธนบปผพฟมยรลวสห"
+
+
+@query(
+    "segment_unspaced",
+    f"""WITH RECURSIVE phrase AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z ]+')) AS p FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations)),
+ joined AS (SELECT DISTINCT replace(p, ' ', '') AS s FROM phrase WHERE trim(p) <> ''),
+ word AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark),
+ dict AS MATERIALIZED (SELECT translate(w, '{LATIN}', '{HAN}') AS word FROM word UNION SELECT translate(w, '{LATIN}', '{THAI}') FROM word),
+ term AS MATERIALIZED (SELECT translate(s, '{LATIN}', '{HAN}') AS a, CAST(length(s) AS VARCHAR) AS b, translate(s, '{LATIN}', '{THAI}') AS c FROM joined),
+ run AS MATERIALIZED (SELECT DISTINCT unnest([a, c]) AS run FROM term),
+ place AS (SELECT run, unnest(range(1, length(run) + 1)) AS stop FROM run),
+ part AS (SELECT run, stop, unnest(range(1, least(stop, (SELECT max(length(word)) FROM dict)) + 1)) AS len FROM place),
+ ends AS MATERIALIZED (SELECT run, stop, list(len) AS lens FROM part WHERE substr(run, stop - len + 1, len) IN (SELECT word FROM dict) GROUP BY run, stop),
+ path AS (SELECT run, CAST(0 AS BIGINT) AS reached, [CAST(0 AS BIGINT)] AS costs, [CAST(0 AS BIGINT)] AS back FROM run
+  UNION ALL SELECT run, reached + 1, list_append(costs, best.cost), list_append(back, -best.back) FROM (
+   SELECT p.run, p.reached, costs, back, list_sort(list_append(list_transform(coalesce(lens, []), lambda l: {{'cost': costs[p.reached + 2 - l] + 1, 'back': -l}}),
+    {{'cost': costs[p.reached + 1] + 1000001, 'back': CAST(-1 AS BIGINT)}}))[1] AS best
+   FROM path p LEFT JOIN ends e ON e.run = p.run AND e.stop = p.reached + 1 WHERE p.reached < length(p.run))),
+ walk AS (SELECT run, reached, back, []::VARCHAR[] AS pieces FROM path WHERE reached = length(run)
+  UNION ALL SELECT run, reached - back[reached + 1], back, list_prepend(substr(run, reached - back[reached + 1] + 1, back[reached + 1]), pieces) FROM walk WHERE reached > 0),
+ cut AS (SELECT run, pieces FROM walk WHERE reached = 0),
+ piece AS (SELECT unnest(x.pieces) AS term FROM term JOIN cut x ON x.run = a UNION ALL SELECT b FROM term UNION ALL SELECT unnest(y.pieces) FROM term JOIN cut y ON y.run = c)
+ SELECT term, count(*) AS n FROM piece GROUP BY term""",
+)
+def segment_unspaced(spark, d):
+    texts = T.read(spark, d, "benchmark").select("text").unionAll(T.read(spark, d, "conversations").select("text"))
+    phrases = X.unfold(texts, F.regexp_extract_all(F.lower("text"), F.lit("[a-z ]+"), F.lit(0)), "p").filter(F.trim("p") != "")
+    joined = phrases.select(F.replace("p", F.lit(" "), F.lit("")).alias("s")).distinct()
+    in_han, in_thai = (lambda c: F.translate(c, LATIN, HAN)), (lambda c: F.translate(c, LATIN, THAI))
+    terms = joined.select(F.concat(in_han("s"), F.length("s").cast("string"), in_thai("s")).alias("term"))
+    words = X.unfold(T.read(spark, d, "benchmark"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), "w").distinct()
+    known = words.select(F.explode(F.array(in_han("w"), in_thai("w"))).alias("word"))
+    return segment.segment_terms(terms, known).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
 BLOOM = """, shape AS (SELECT CAST(greatest(32, ceil(-count(*) * ln(0.01) / (ln(2) * ln(2)))) AS BIGINT) AS m FROM dict),
 pos AS (SELECT word, CAST('0x' || substr(md5(k || ':' || word), 1, 8) AS BIGINT) % m AS p FROM dict, shape, (SELECT unnest(range(1, 8)) AS k)),
 bloom AS (SELECT p // 32 AS word_index, bit_or(CAST(1 AS BIGINT) << (p % 32)) AS bits FROM pos GROUP BY ALL)"""

@@ -461,3 +461,14 @@ def test_sharding(docs, empty):
             maglev.lookup_table(bad)
     with pytest.raises(ValueError):
         maglev.lookup_table(["a"], 100)
+
+
+def test_parity_maps_bound_the_overlap():
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 80, 700, 4000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for gone in (0, 1, n // 10, n // 2, n):
+            b = np.unique(np.concatenate((a[gone:], rng.integers(0, 1 << 63, gone // 2, dtype=np.uint64))))
+            differ = sum(x != y for x, y in zip(np.unpackbits(np.frombuffer(jaccard.parity(a), np.uint8)), np.unpackbits(np.frombuffer(jaccard.parity(b), np.uint8))))
+            assert differ <= len(np.setxor1d(a, b))
+            assert 2 * len(np.intersect1d(a, b)) <= len(a) + len(b) - differ
