@@ -8,13 +8,13 @@ tasks. Prediction reads each text once and moves no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +47,7 @@ FAMILIES = {
     "sinitic": "wuu yue zh",
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def features(text: str) -> np.ndarray:
@@ -140,9 +140,9 @@ def sample_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sized_batches(batches, "text", BATCH_BYTES):
         made = [np.round(features(t) * 60000).astype("<u2").tobytes() if LETTER.search(t) else None for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(made, pa.binary())], ["lang", "vector"])
+        yield pa.RecordBatch.from_arrays([batch.column("lang").combine_chunks(), pa.array(made, pa.binary())], ["lang", "vector"])
 
 
 def train(docs: DataFrame) -> LanguageModel:
