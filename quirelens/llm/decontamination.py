@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelens.llm.common import bytes_of, query, sized_batches, table
+from quirelens.llm.common import Scratch, bytes_of, query, sized_batches, table
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -234,7 +234,7 @@ def phrase_blocks(benchmark: DataFrame, words: int = BLOCK_WORDS) -> Iterator[Ph
     yield phrases_of(held)
 
 
-def search(docs: DataFrame, benchmark: DataFrame, *carried: str) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, *carried: str, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Each row's ``n_words``, ``spans`` ((first, end) word numbers as 64-bit pairs, merged) and ``items``, with the carried columns.
 
     A pass for each block of the benchmark; the rows keep their partitions.
@@ -242,7 +242,7 @@ def search(docs: DataFrame, benchmark: DataFrame, *carried: str) -> DataFrame:
     rows = docs.select(*dict.fromkeys([*carried, "text"]), *[F.lit(None).cast(t).alias(f"_{n}") for n, t in (("spans", "binary"), ("items", "array<string>"))])
     through = rows.columns
     made = _ddl(docs, through[:-2]) + "_spans binary, _items array<string>, _n_words long"
-    for phrases in phrase_blocks(benchmark):
+    for phrases in phrase_blocks(benchmark, block_words):
         sent = docs.sparkSession.sparkContext.broadcast(phrases)  # at most about BLOCK_WORDS words and their windows
         rows = rows.mapInArrow(_search_pass(sent, through), made)
     return rows.select(*carried, F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
@@ -270,13 +270,13 @@ def _search_pass(sent, names: list[str]):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row for each document row: words, words hit, items found, their digest, and whether any word is hit.
 
     Null and empty texts have no words. Repeated rows are judged each for itself; items with one text all count. An
     empty benchmark hits nothing. Only ``doc_id``, ``text``, ``item_id`` are read.
     """
-    found = search(docs, benchmark, "doc_id")
+    found = search(docs, benchmark, "doc_id", block_words=block_words)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -307,42 +307,60 @@ def cut_words(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def remove_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _cut_rows(length: str | None):
+    """Rows with ``spans`` cut out of ``text``, ``changed`` where any were; changed ones without a word left go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in sized_batches(batches, "text", SHARD_BYTES):
+            spans = [np.frombuffer(b, dtype="<i8").reshape(-1, 2) for b in shard.column("spans").to_pylist()]
+            hit = [i for i, s in enumerate(spans) if len(s)]
+            texts = bytes_of(shard.column("text"))
+            made = {i: cut_words(texts[i], spans[i]) for i in hit}
+            new = shard.column("text").to_pylist()
+            for i, text in made.items():
+                new[i] = text.decode("utf-8", "surrogatepass")
+            names = [n for n in shard.column_names if n != "spans"]
+            columns = {n: shard.column(n).combine_chunks() for n in names} | {"text": pa.array(new, pa.string())}
+            if length:
+                sizes = columns[length].to_pylist()
+                for i in hit:
+                    sizes[i] = len(new[i])
+                columns[length] = pa.array(sizes, columns[length].type)
+            changed = np.zeros(len(new), dtype=bool)
+            changed[hit] = True
+            stays = pa.array([i not in made or bool(words_of(made[i])) for i in range(len(new))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(changed)], [*names, "changed"]).filter(stays)
+
+    return run
+
+
+def remove_passages(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents with every occurrence of a benchmark window cut out of their text; other columns stay.
 
     A whole-number column ``n_chars`` gets the new length of a changed text. A document of which no word is left goes.
 
-    Words that come together by a cut can make a window again, so what was cut is searched again until nothing is
-    found; each round takes words away, so it ends. Texts without a hit, null ones too, stay as they are.
+    All windows are found in a text before it is cut, whatever blocks the benchmark comes in. Words that come together
+    by a cut can make a window again, so what was cut is searched again until nothing is found; each round takes words
+    away, so it ends. Texts without a hit, null ones too, stay as they are.
     """
-    names, rows = docs.columns, docs
-    for phrases in phrase_blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(phrases)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for shard in sized_batches(batches, "text", SHARD_BYTES):
-                texts = bytes_of(shard.column("text"))
-                changed, look = {}, list(range(len(texts)))
-                while look:
-                    _, spans, _ = find([texts[i] for i in look], sent.value)
-                    look = [(i, s) for i, s in zip(look, spans) if len(s)]
-                    for i, s in look:
-                        changed[i] = texts[i] = cut_words(texts[i], s)
-                    look = [i for i, _ in look]
-                new = shard.column("text").to_pylist()
-                for i, text in changed.items():
-                    new[i] = text.decode("utf-8", "surrogatepass")
-                columns = {n: shard.column(n).combine_chunks() for n in names} | {"text": pa.array(new, pa.string())}
-                if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
-                    sizes = columns["n_chars"].to_pylist()
-                    for i in changed:
-                        sizes[i] = len(new[i])
-                    columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
-                stays = pa.array([i not in changed or bool(words_of(changed[i])) for i in range(len(new))], pa.bool_())
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(stays)
-
-        rows = rows.mapInArrow(run, docs.schema)
-    return rows
+    scratch = Scratch(docs.sparkSession, "decontamination")
+    names = docs.columns
+    own = ["text" if n == "text" else f"c{i}" for i, n in enumerate(names)]  # apart from the names used here
+    rows = docs.toDF(*own)
+    length = own[names.index("n_chars")] if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("long", "integer", "short", "byte") else None
+    settled: list[DataFrame] = []
+    k = 0
+    while True:
+        found = search(rows, benchmark, *own, block_words=block_words).select(*own, "spans")
+        cut = scratch.write(found.mapInArrow(_cut_rows(length), _ddl(rows, own) + "changed boolean"), f"round{k}", "changed")
+        settled.append(cut.filter(~F.col("changed")).drop("changed"))
+        rows, k = cut.filter("changed").drop("changed"), k + 1
+        if rows.isEmpty():
+            break
+    out = settled[0]
+    for more in settled[1:]:
+        out = out.unionByName(more)
+    return out.select(*own).toDF(*names)
 
 
 @query("op5_decontamination")
