@@ -48,7 +48,7 @@ class PatternRule:
 
     def __post_init__(self):
         for tokens in self.token_sets:
-            if not tokens or not all(re.fullmatch("[a-z0-9]+", t) for t in tokens):
+            if not tokens or not all(re.fullmatch("[a-z]+|[0-9]+", t) for t in tokens):
                 raise ValueError(f"{self.name}: {tokens} is no set of whole tokens, so no URL could fetch the rule by it")
 
     @property
@@ -69,7 +69,7 @@ PATTERN_RULES = (
     PatternRule("online-casino", r"[/.-](online|free|best)-casino[/.-]", (("online", "free", "best"), "casino")),
     PatternRule("adult-videos", r"[/.-](adult|porn|xxx)-videos?[/.-]", (("adult", "porn", "xxx"), ("video", "videos"))),
     PatternRule("warez", r"[/.-]warez[/.-]", ("warez",)),
-    PatternRule("ad-server", r"://ads?[0-9]*\.", ()),
+    PatternRule("ad-server", r"://ads?[0-9]*\.", (("ad", "ads"),)),
     PatternRule(
         "click-redirect", r"[/?&](click|redirect|out)\.(php|cgi)\?url=", (("click", "redirect", "out"), ("php", "cgi"), "url"),
     ),
@@ -87,8 +87,8 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def url_tokens(url: Column) -> Column:
-    """Distinct runs of letters and digits of the lower-cased URL."""
-    return F.array_distinct(F.array_remove(F.split(F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER), "[^a-z0-9]+"), ""))
+    """Distinct runs of letters, and runs of digits, of the lower-cased URL."""
+    return F.array_distinct(F.regexp_extract_all(F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER), F.lit("[a-z]+|[0-9]+"), F.lit(0)))
 
 
 def prefix_rule(host: Column, path: Column, rules: tuple[PrefixRule, ...]) -> Column:
