@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quirelens.llm.common import Scratch, bytes_of, holds, key_bits, query, sized_batches, table
+from quirelens.llm.common import Scratch, bytes_of, holds, key_bits, query, sized_batches, table, unused
 
 SHINGLE = 4
 PERCENT = 85  # links need 100 * intersection >= PERCENT * union
@@ -40,6 +40,7 @@ PART_BYTES = 128 << 10  # of prefixes of one label that are met at a time
 MOST_MEMBERS = 32  # labels of more sets are met as a whole by the sets of other labels
 MOST_LEADERS = 64  # held while a group streams by
 GROUP_PART = 2000  # larger groups stream by in parts
+BITMAP = 512  # bits of a set's parity map
 LIST_PART = 4096  # longer lists are compared in parts, by several tasks
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,34 +104,44 @@ def token_levels(docs: DataFrame) -> np.ndarray:
     return found
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """For each of BITMAP slots whether an odd number of the set's tokens falls there.
+
+    The maps of two sets differ in no more bits than the sets in tokens, which bounds their overlap from above.
+    """
+    slots = ((tokens >> np.uint64(20)) & np.uint64(BITMAP - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=BITMAP) & 1).astype(np.uint8)).tobytes()
+
+
 def signature(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
 def describe(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """(doc_id, text_key, n, sig, prefix) of every row: a hash of the text, and size, 128-bit signature and rarest tokens of its set; null signature for an empty set."""
+    """(doc_id, text_key, n, sig, prefix, bits) of every row: a hash of the text, and size, 128-bit signature, rarest tokens and parity map of its set; null signature for an empty set."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2**SKETCH_LOG2 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sized_batches(batches, "text", BATCH_BYTES):
-            sizes, sigs, prefixes = [], [], []
+            sizes, sigs, prefixes, bits = [], [], [], []
             for text in bytes_of(rows.column("text")):
                 s = shingles(text)
                 sizes.append(len(s))
                 sigs.append(signature(s) if len(s) else None)
                 first = s[np.argsort(sent.value[_slots(s)], kind="stable")][: prefix_size(len(s))] if len(s) else s
                 prefixes.append(first.tobytes())
+                bits.append(parity(s))
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id").combine_chunks(), rows.column("text_key").combine_chunks(),
-                    pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(prefixes, pa.binary()),
+                    pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(bits, pa.binary()),
                 ],
-                ["doc_id", "text_key", "n", "sig", "prefix"],
+                ["doc_id", "text_key", "n", "sig", "prefix", "bits"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n long, sig binary, prefix binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n long, sig binary, prefix binary, bits binary")
 
 
 def postings(sets: DataFrame) -> DataFrame:
@@ -343,20 +354,23 @@ def neighbours(lists: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
+def candidates(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """(whole, a, b, common): pairs of sets under different labels that share enough prefix tokens to link.
 
+    A pair whose parity maps differ in more bits than linked sets can is left out where it is met.
+
     Where a label has more than MOST_MEMBERS sets, a pair with one of them becomes a row (set, label) with ``whole``
     true: the set may link to some member of the label. It is made once for a list, not once for every member there.
     """
     named = mixed_lists(lists, labels).withColumn("part", F.pmod(F.xxhash64("eid"), F.col("parts")).cast("int"))
+    named = named.join(sets.select("eid", "bits"), "eid")
     cells = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select(
-        "token", F.least("part", "other").alias("c1"), F.greatest("part", "other").alias("c2"), "part", "eid", "n", "pos", "label", "members"
+        "token", F.least("part", "other").alias("c1"), F.greatest("part", "other").alias("c2"), "part", "eid", "n", "pos", "label", "members", "bits"
     )
 
     def pairs_of(g: list[np.ndarray], crossing: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        part, eid, n, pos, label, _ = g
+        part, eid, n, pos, label, _, bits = g
         for i in range(0, len(eid), BLOCK):
             for j in range(i, len(eid), BLOCK):
                 a, b = slice(i, i + BLOCK), slice(j, j + BLOCK)
@@ -372,8 +386,11 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
                 if crossing:
                     ok &= part[a][:, None] != part[b][None, :]
                 x, y = np.nonzero(ok)
-                if len(x):
-                    yield x + i, y + j
+                x, y = x + i, y + j
+                differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+                fits = n[x].astype(np.int64) + n[y] - differ >= 2 * least_overlap(n[x].astype(np.int64), n[y].astype(np.int64))
+                if fits.any():
+                    yield x[fits], y[fits]
 
     def whole_of(parts: list[np.ndarray]) -> np.ndarray:
         """One row of each (set, label) with the least and greatest size met; rows are set, label, own size, least, greatest."""
@@ -388,7 +405,7 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), whole)), *(pa.array(c.astype(np.int64)) for c in found)], names)
 
     def cell(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, eid, n, pos, label, members = g = columns[3:]
+        _, eid, n, pos, label, members, _ = g = columns[3:]
         met: list[np.ndarray] = []
         for x, y in pairs_of(g, bool(columns[1][0] != columns[2][0])):
             large = np.maximum(members[x], members[y]) > MOST_MEMBERS
@@ -410,11 +427,12 @@ def candidates(lists: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for rows in batches:
-            columns = [np.asarray(c) for c in rows.columns]
+            if not rows.num_rows:
+                continue
+            columns = [np.asarray(c) for c in rows.columns[:-1]]
+            columns.append(np.frombuffer(b"".join(rows.columns[-1].to_pylist()), dtype=np.uint64).reshape(rows.num_rows, -1))
             if held is not None:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns)]
-            if not len(columns[0]):
-                continue
             change = np.zeros(len(columns[0]) - 1, dtype=bool)
             for c in columns[:3]:
                 change |= c[1:] != c[:-1]
@@ -559,7 +577,7 @@ def components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
 def linked_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, text_key, n, root, component_id) of every row; ``root`` names its component, null for an empty set."""
     rows = scratch.write(describe(docs, token_levels(docs)), "rows")
-    grouped = rows.filter(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    grouped = rows.filter(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     sets = scratch.write(grouped.withColumn("eid", F.monotonically_increasing_id()), "sets")
     lists = scratch.write(index_lists(postings(sets)), "lists")
 
@@ -599,7 +617,7 @@ def linked_rows(docs: DataFrame, scratch: Scratch) -> DataFrame:
             joined = compare(relabel(close.filter(F.col("rank") <= rank), joined), joined, full, f"early{seed}-{rank}")
         scratch.drop(f"close_sets{seed}")
     # then all pairs of which no link is known yet
-    found = scratch.write(candidates(lists, joined), "candidates")
+    found = scratch.write(candidates(lists, joined, sets), "candidates")
     scratch.drop("lists")
     more = scratch.write(relabel(pairs_with_members(found, joined, sets), joined), "more")
     joined = compare(more, joined, sets_of(more, "more_sets"), "last")
@@ -627,21 +645,23 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component, that of the smallest id (then text hash); rows with empty sets all stay.
 
     Rows are told apart by id and text hash; the rows to leave out are joined as a written table, so its size decides
-    how. Where a staying row is repeated as it is, one of its copies stays.
+    how. Where a staying row is repeated as it is, one of its copies stays. Columns may have any names, and all stay;
+    an empty table stays empty.
     """
+    id_, key = unused(docs, "_id", "_key")
     scratch = Scratch(docs.sparkSession, "keep-one")
     rows = scratch.write(linked_rows(docs, scratch).filter(F.col("root").isNotNull()).select("root", "doc_id", "text_key"), "linked")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("w"))
     judged = rows.join(first, "root")
     stays = F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("text_key") == F.col("w.text_key"))
-    gone = scratch.write(judged.filter(~stays).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
+    gone = scratch.write(judged.filter(~stays).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct(), "gone")
     counted = judged.filter(stays).groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
-    twice = scratch.write(counted.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "twice")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    twice = scratch.write(counted.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)), "twice")
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(key))
     kept = docs.join(gone, same, "left_anti")
     if twice.isEmpty():
         return kept
-    once = kept.join(twice, same, "left_semi").withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    once = kept.join(twice, same, "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
     return kept.join(twice, same, "left_anti").unionByName(once)
 
 
