@@ -59,6 +59,17 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``docs`` has it."""
+    there = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in there:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold no model learns from; a row without an id is in neither fold and counts as not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
