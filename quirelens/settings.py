@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -107,6 +106,9 @@ def build_session(app_name: str = "quirelens", master: str | None = None, shuffl
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``; where that is unset, beside the session's tables."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, it lies beside the session's tables: on a cluster the warehouse must then be shared.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
