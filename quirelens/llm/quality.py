@@ -114,7 +114,7 @@ KEY = [*GROUP, "start"]
 ALL = "*"
 
 
-def with_groups(rows: DataFrame) -> DataFrame:
+def with_groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds ``g_lang`` and ``g_source``, the group whose estimate judges the row, and ``shapes``, the groups whose estimate it shapes.
 
     A pair with MIN_GROUP fitting rows has its own estimate. The rows of smaller ones are judged by their language's,
@@ -134,7 +134,8 @@ def with_groups(rows: DataFrame) -> DataFrame:
     language, whole = group(F.concat(F.lit("="), "k_lang"), F.lit(ALL)), group(F.lit(ALL), F.lit(ALL))
     judge = F.when(~small, pair).when(F.col("own_lang"), language).otherwise(whole)
     shapes = F.filter(F.array(F.when(~small, pair), F.when(F.col("own_lang"), language), F.when(F.lit(any_left), whole)), lambda g: g.isNotNull())
-    names = named.select("k_lang", "k_source", judge.alias("g"), shapes.alias("shapes"))
+    # written, so that its size is known when it meets the rows
+    names = scratch.write(named.select("k_lang", "k_source", judge.alias("g"), shapes.alias("shapes")), "groups")
     return rows.join(names, ["k_lang", "k_source"]).select("*", "g.g_lang", "g.g_source").drop("k_lang", "k_source", "g")
 
 
@@ -272,7 +273,7 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "quality")
     rows = scratch.write(statistics(docs), "statistics")
-    rows = scratch.write(with_groups(vectors(rows)), "vectors")
+    rows = scratch.write(with_groups(vectors(rows), scratch), "vectors")
     scratch.drop("statistics")
     fitting = rows.filter(F.col("n_words") >= MIN_WORDS).drop(*GROUP)
     fitting = fitting.select("*", F.explode("shapes").alias("g")).select(*[c for c in fitting.columns if c != "shapes"], "g.*")

@@ -26,8 +26,12 @@ def table(spark, sizes, odd=0, seed=1):
     return spark.createDataFrame(rows, DOCS).repartition(4)
 
 
+def grouped(docs):
+    return quality.with_groups(quality.vectors(quality.statistics(docs)), Scratch(docs.sparkSession, "test"))
+
+
 def fitting_rows(docs):
-    rows = quality.with_groups(quality.vectors(quality.statistics(docs))).filter(F.col("n_words") >= quality.MIN_WORDS).drop(*quality.GROUP)
+    rows = grouped(docs).filter(F.col("n_words") >= quality.MIN_WORDS).drop(*quality.GROUP)
     return rows.select("*", F.explode("shapes").alias("g_")).select(*[c for c in rows.columns if c != "shapes"], "g_.*")
 
 
@@ -87,7 +91,7 @@ def test_odd_documents_go_and_others_stay(spark, odd):
 
 def test_small_groups_are_judged_by_language_and_then_by_all(spark):
     docs = table(spark, {("en", "a"): 80, ("en", "b"): 30, ("en", "c"): 40, ("fr", "a"): 20, ("fr", "b"): 25, ("de", "a"): 70})
-    rows = quality.with_groups(quality.vectors(quality.statistics(docs)))
+    rows = grouped(docs)
     judges = {(r.lang, r.source): (r.g_lang, r.g_source) for r in rows.collect()}
     assert judges == {
         ("en", "a"): ("=en", "=a"), ("en", "b"): ("=en", "*"), ("en", "c"): ("=en", "*"), ("fr", "a"): ("*", "*"), ("fr", "b"): ("*", "*"), ("de", "a"): ("=de", "=a"),
