@@ -3,7 +3,8 @@
 A term is cut where its script changes. A run of an unspaced script is then cut into words of the table so that as few
 characters as can be are left over, then into as few pieces as can be; of equal ways the one with the longest last word
 is taken, from the end. A character that no word covers is a piece by itself. Different runs are cut once each, and
-which parts of them are words is found by a join, so the table may have any size.
+which parts of them are words is found by a join, so the table may have any size. Places, paths and pieces are as many as
+the text is long, whatever their size is taken for beforehand: they are joined by shuffle and never sent whole.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelens.operators.explode import unfold
+from quirelens.operators.lookup import fits_broadcast
 
 #: Scripts without spaces; what is written in Han and kana together is one run.
 UNSPACED = [r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー", r"\p{IsThai}", r"\p{IsLao}", r"\p{IsKhmer}", r"\p{IsMyanmar}"]
@@ -37,9 +39,10 @@ def parts_that_are_words(runs: DataFrame, words: DataFrame) -> DataFrame:
     stops = runs.select("run", F.explode(F.sequence(F.lit(1), n)).alias("stop"))
     parts = stops.select("run", "stop", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least("stop", F.lit(longest))))).alias("length"))
     cut = parts.withColumn("word", F.substr("run", F.col("stop") - F.col("length") + 1, F.col("length")))
-    found = cut.join(known, "word", "left_semi").groupBy("run", "stop").agg(F.collect_list("length").alias("lengths"))
+    side = F.broadcast(known) if fits_broadcast(known) else known.hint("merge")
+    found = cut.join(side, "word", "left_semi").groupBy("run", "stop").agg(F.collect_list("length").alias("lengths"))
     ends = found.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("stop", "lengths"))).alias("ends"))
-    return runs.join(ends, "run", "left")
+    return runs.join(ends.hint("merge"), "run", "left")
 
 
 def best_path(run: Column, ends: Column) -> Column:
@@ -55,8 +58,8 @@ def best_path(run: Column, ends: Column) -> Column:
 
         lengths = F.coalesce(F.try_element_at(ends, stop), F.array().cast("array<int>"))
         ways = F.concat(F.transform(lengths, lambda length: by(length, 0)), F.array(by(F.lit(1), LEFT_OVER)))
-        least = F.array_min(ways)
-        return F.struct(least["cost"].alias("cost"), (-least["back"]).alias("length"))
+        # bound once: both parts of the least way are asked for
+        return F.get(F.transform(F.array(F.array_min(ways)), lambda w: F.struct(w["cost"].alias("cost"), (-w["back"]).alias("length"))), F.lit(0))
 
     n = F.length(run)
     best = F.aggregate(F.sequence(F.lit(1), n), first, lambda acc, stop: F.concat(acc, F.array(reached(acc, stop))))
@@ -84,9 +87,9 @@ def segment_terms(rows: DataFrame, words: DataFrame, column: str = "term") -> Da
     runs = unfold(terms, script_runs(F.col("_term")), "run", "_term")
     unspaced = runs.filter(is_unspaced(F.col("run"))).select("run").distinct()
     cut = parts_that_are_words(unspaced, words).select("run", best_path(F.col("run"), F.col("ends")).alias("_own"))
-    known = runs.join(cut, "run", "left").select("_term", F.coalesce("_own", F.array("run")).alias("_own"))
+    known = runs.join(cut.hint("merge"), "run", "left").select("_term", F.coalesce("_own", F.array("run")).alias("_own"))
     pieces = known.groupBy("_term").agg(F.flatten(F.collect_list("_own")).alias("_pieces"))  # no more than the term is long
     others = [c for c in rows.columns if c != column]
-    found = rows.join(pieces, F.col(column) == F.col("_term"), "left")
+    found = rows.join(pieces.hint("merge"), F.col(column) == F.col("_term"), "left")
     made = F.explode(F.coalesce("_pieces", F.array(column))).alias(column)
     return found.select(*others, made).select(*rows.columns)

@@ -60,3 +60,11 @@ def test_word_break_results_stay_where_nothing_is_unspaced(spark):
     made = spark.createDataFrame([("well-known l’eau 3.14",)], "t string").select(F.explode(text.words(F.col("t"))).alias("term"))
     words = spark.createDataFrame([("well",)], "word string")
     assert sorted(r.term for r in segment.segment_terms(made, words).collect()) == sorted(r.term for r in made.collect())
+
+
+def test_no_side_as_large_as_the_text_is_broadcast(spark):
+    made = spark.createDataFrame([("日本語テスト",), ("ไทยดี",)], "term string").distinct()
+    words = spark.createDataFrame([("日本",), ("ดี",)], "word string")
+    plan = segment.segment_terms(made, words)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in plan
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" in line]
