@@ -212,3 +212,11 @@ def test_positions_in_order(spark):
 def test_numbering_needs_no_python_and_no_single_task(spark):
     plan = numbering.running_total(spark.range(100).selectExpr("id AS x"), ["x"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_file_list_names_every_volume(spark, tmp_path):
+    from quirelens.plans.exchange import src_filelist
+
+    made = [(k, f"one two three\nword{k} and more.", lang, "web", 30) for k, lang in enumerate(["en", "de", "fr", None, "es"])]
+    spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert src_filelist(spark, str(tmp_path)).count() == 5
