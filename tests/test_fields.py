@@ -310,3 +310,22 @@ def test_large_side_with_nested_maps(spark):
     assert got == {0: [0], 1: [1], 2: [2], 3: None, 4: None}
     wide = spark.sql("SELECT array_repeat('x', 1000) AS v FROM range(3)")
     assert not lookup.fits_broadcast(wide, max_bytes=2000)
+
+
+def test_a_dictionary_of_bounded_size_is_a_constant(spark):
+    """Looked up inside the array and by join the same terms stay, and the first way shuffles nothing."""
+    page = "page_id string, tokens array<struct<token: string, pos_tags: array<string>>>"
+    made = spark.createDataFrame(
+        [
+            ("p", [("House-boat", ["NN"]), ("SEA", ["VB", "NNP"]), ("sea", []), ("Tree", ["JJ"])]),
+            ("p", [("don't", ["NN"]), ("--", ["QQ"])]), ("q", []), (None, [("Tree-House sea", ["NN"])]), ("r", [("none", ["X"])]),
+        ],
+        page,
+    )
+    words = spark.createDataFrame([("house",), ("Tree-House sea",), ("sea",), ("Tree",), ("don't",), (None,)], "word string")
+    for of in (words, words.limit(0)):
+        for tokenize in (True, False):
+            small, large = (W.term_arrays(made, of, tokenize, most) for most in (100, -1))
+            one, other = (sorted(((r.page_id, [(t.term, t.pos_tags) for t in r.terms]) for r in f.collect()), key=str) for f in (small, large))
+            assert one == other
+            assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
