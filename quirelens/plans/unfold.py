@@ -35,18 +35,14 @@ def explode_pages(spark, d):
 )
 def explode_tokens(spark, d):
     tokens = X.explode_tokens(X.explode_pages(T.volumes(spark, d)))
-    return tokens.groupBy("page_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum(F.size("pos_tags")).alias("n_tags"),
-        F.min("token").alias("first_token"), F.max("token").alias("last_token"),
-    )
+    return X.token_ranges(tokens.select("page_id", "token", F.size("pos_tags").alias("n_tags")), "page_id")
 
 
 @query("explode_pos", Q.tokens() + " SELECT page_id, tag, count(*) AS n, min(token) AS first_token, max(token) AS last_token FROM tagged GROUP BY page_id, tag")
 def explode_pos(spark, d):
     tags = X.explode_pos(X.explode_tokens(X.explode_pages(T.volumes(spark, d))))
-    return tags.groupBy("page_id", "tag").agg(
-        F.count(F.lit(1)).alias("n"), F.min("token").alias("first_token"), F.max("token").alias("last_token")
-    )
+    found = X.token_ranges(tags.select("page_id", "tag", "token", F.lit(1).alias("n_tags")), "page_id", "tag")
+    return found.select("page_id", "tag", F.col("n_tokens").alias("n"), "first_token", "last_token")
 
 
 @query("page_filter", WITH_PAGES + " SELECT page_id FROM ix")

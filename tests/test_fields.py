@@ -329,3 +329,18 @@ def test_a_dictionary_of_bounded_size_is_a_constant(spark):
             one, other = (sorted(((r.page_id, [(t.term, t.pos_tags) for t in r.terms]) for r in f.collect()), key=str) for f in (small, large))
             assert one == other
             assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_are_those_of_a_plain_aggregate(spark):
+    from quirelens.operators import explode as X
+
+    made = spark.range(30_000).select(
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("p"), (F.col("id") % 11).cast("string"))).alias("page_id"),
+        F.concat(F.lit("é漢𝒳z"), (F.col("id") * 7919 % 1000).cast("string")).alias("token"), (F.col("id") % 3).cast("int").alias("n_tags"),
+    )
+    want = made.groupBy("page_id").agg(F.count("token").alias("n_tokens"), F.sum("n_tags").alias("n_tags"), F.min("token").alias("first_token"), F.max("token").alias("last_token"))
+    got = X.token_ranges(made, "page_id")
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert X.token_ranges(made.limit(0), "page_id").collect() == []
+    plan = X.token_ranges(made, "page_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.rindex("SortAggregate"), "what is sorted is a row for each batch and key"
