@@ -14,9 +14,15 @@ from quirelens.operators.terms import term_arrays
 from quirelens.settings import EMBED_MAX_ROWS
 
 
+def _names(pair: Column) -> Column:
+    """The fields a pair (lang, upos) goes to: ``<lang>_<upos>`` where there is one, and ``<lang>``."""
+    pos = F.when(pair["upos"].isNotNull(), F.concat(pair["lang"], F.lit("_"), pair["upos"]))
+    return F.struct(pos.alias("pos"), pair["lang"].alias("lang"))
+
+
 def _paired_terms(pages: DataFrame, pos_map: DataFrame, max_embed: int) -> DataFrame:
-    """Add ``paired``: one struct(lang, upos, term) per term and tag; empty for a page without a language."""
-    none = F.array().cast("array<struct<lang: string, upos: string, term: string>>")
+    """Add ``paired``: one struct(names, term) per term and tag, see ``_names``; empty for a page without a language."""
+    none = F.array().cast("array<struct<names: struct<pos: string, lang: string>, term: string>>")
     tree = embedded_map(pos_map, max_embed)
     if tree is None:
         # A map too large to embed: resolve the tags by join and gather each row again, told apart by its number. The
@@ -28,52 +34,38 @@ def _paired_terms(pages: DataFrame, pos_map: DataFrame, max_embed: int) -> DataF
         found = pos_pair(tagged.withColumn("_own", F.when(first, F.col("_own"))), pos_map, max_embed)
         pair = F.when(F.col("lang").isNotNull() & F.col("tag").isNotNull(), F.struct("_t", "_g", "lang", "upos", "term"))
         gathered = found.groupBy("_row").agg(F.first("_own", ignorenulls=True).alias("_own"), F.sort_array(F.collect_list(pair)).alias("_pairs"))
-        paired = F.transform("_pairs", lambda p: F.struct(p["lang"].alias("lang"), p["upos"].alias("upos"), p["term"].alias("term")))
+        paired = F.transform("_pairs", lambda p: F.struct(_names(p).alias("names"), p["term"].alias("term")))
         return gathered.select("_own.*", paired.alias("paired"))
+    # the names are made once for each different tag of a page, not for each of its terms
     tags = F.array_distinct(F.flatten("terms.pos_tags"))
     resolved = F.map_from_entries(
-        F.transform(tags, lambda t: F.struct(t, resolve_pair(F.col("langs"), t, tree)))
+        F.transform(tags, lambda t: F.struct(t, F.get(F.transform(F.array(resolve_pair(F.col("langs"), t, tree)), _names), F.lit(0))))
     )
-    paired = F.flatten(
-        F.transform(
-            "terms",
-            lambda t: F.transform(
-                t["pos_tags"],
-                lambda g: F.struct(
-                    F.try_element_at("_resolved", g)["lang"].alias("lang"),
-                    F.try_element_at("_resolved", g)["upos"].alias("upos"),
-                    t["term"].alias("term"),
-                ),
-            ),
+
+    def pairs(names: Column) -> Column:
+        return F.flatten(
+            F.transform("terms", lambda t: F.transform(t["pos_tags"], lambda g: F.struct(F.try_element_at(names, g).alias("names"), t["term"].alias("term"))))
         )
-    )
-    return (
-        pages.withColumn("_resolved", resolved)
-        .withColumn("paired", F.when(F.size("langs") > 0, paired).otherwise(none))
-        .drop("_resolved")
-    )
+
+    # bound once: a map referred to inside the transform alone would be made again for each tag
+    paired = F.get(F.transform(F.array(resolved), pairs), F.lit(0))
+    return pages.withColumn("paired", F.when(F.size("langs") > 0, paired).otherwise(none))
 
 
 def _text_fields(paired: Column) -> Column:
     """``<lang>_<upos>``, ``<lang>`` and all-language fields; a term with k tags counts k times."""
 
-    def pos_name(p: Column) -> Column:
-        return F.when(p["upos"].isNotNull(), F.concat(p["lang"], F.lit("_"), p["upos"]))
-
     def entry(name: Column, values: Column) -> Column:
         return F.struct(
             F.concat(name, F.lit(S.TOKENS_SUFFIX)).alias("field"), F.lit("multi").alias("kind"), values.alias("values")
         )
 
-    def by(key) -> Column:
-        names = F.filter(F.array_distinct(F.transform(paired, key)), lambda n: n.isNotNull())
-        return F.transform(
-            names,
-            lambda n: entry(n, F.transform(F.filter(paired, lambda p: key(p) == n), lambda p: p["term"])),
-        )
+    def by(level: str) -> Column:
+        names = F.filter(F.array_distinct(paired["names"][level]), lambda n: n.isNotNull())
+        return F.transform(names, lambda n: entry(n, F.filter(paired, lambda p: p["names"][level] == n)["term"]))
 
-    everything = F.array(entry(F.lit(S.ALL_LANGS), F.transform(paired, lambda p: p["term"])))
-    return F.when(F.size(paired) > 0, F.concat(by(pos_name), by(lambda p: p["lang"]), everything)).otherwise(
+    everything = F.array(entry(F.lit(S.ALL_LANGS), paired["term"]))
+    return F.when(F.size(paired) > 0, F.concat(by("pos"), by("lang"), everything)).otherwise(
         F.array().cast(M.FIELDS_DDL)
     )
 

@@ -344,3 +344,22 @@ def test_ranges_are_those_of_a_plain_aggregate(spark):
     assert X.token_ranges(made.limit(0), "page_id").collect() == []
     plan = X.token_ranges(made, "page_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") > plan.rindex("SortAggregate"), "what is sorted is a row for each batch and key"
+
+
+def test_names_are_made_for_each_tag_of_a_page(spark):
+    """A page of many terms: the field names come out of its different tags, not out of every term."""
+    made = spark.createDataFrame(
+        [("p", ["de", "en"], [(f"t{k}", ["NN", "JJ"] if k % 2 else ["ZZ"]) for k in range(1000)]), ("q", ["fr"], [("a", ["NN"])]), ("r", [], [("b", ["NN"])])],
+        "page_id string, langs array<string>, terms array<struct<term: string, pos_tags: array<string>>>",
+    )
+    tags = spark.createDataFrame([("en", "JJ", "ADJ"), ("de", "NN", "NOUN")], "lang string, tag string, upos string")
+    fields = D.text_fields(made, tags)
+    got = {(r.page_id, f.field): len(f["values"]) for r in fields.collect() for f in r.text_fields}
+    names = {n: f"{n}_htrctokentext" for n in ("de_NOUN", "en_ADJ", "de_X", "de", "en", "fr", "alllangs")}
+    assert got == {
+        ("p", names["de_NOUN"]): 500, ("p", names["en_ADJ"]): 500, ("p", names["de_X"]): 500, ("p", names["de"]): 1000, ("p", names["en"]): 500,
+        ("p", names["alllangs"]): 1500, ("q", names["fr"]): 1, ("q", names["alllangs"]): 1,
+    }
+    assert fields.select(F.max(F.size("text_fields"))).first()[0] == 6
+    made_in = fields._jdf.queryExecution().optimizedPlan().toString()
+    assert made_in.count("lambdafunction(concat(") <= made_in.count("AS text_fields"), "no name is put together for each term"
