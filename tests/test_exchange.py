@@ -220,3 +220,14 @@ def test_file_list_names_every_volume(spark, tmp_path):
     made = [(k, f"one two three\nword{k} and more.", lang, "web", 30) for k, lang in enumerate(["en", "de", "fr", None, "es"])]
     spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert src_filelist(spark, str(tmp_path)).count() == 5
+
+
+def test_files_are_written_out_of_batches(spark, tmp_path):
+    """A batch's texts do not all stand in memory as Python objects."""
+    import pyarrow as pa
+
+    assert issubclass(named.NamedFilesWriter, named.DataSourceArrowWriter)
+    made = [(f"f{k}.json", "é" * k) for k in range(5)]
+    lists = named.write_named(spark.createDataFrame(made, "path string, json string").repartition(1), str(tmp_path / "out"))
+    assert rows(listed.read_listed(spark, lists, str(tmp_path / "out")), "path", "json") == made
+    assert pa.array(["é"]).cast(pa.binary())[0].as_py() == "é".encode()
