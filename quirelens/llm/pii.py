@@ -1,33 +1,32 @@
 """Personal data: fixed forms, and the terms that give their bearers away.
 
-Addresses, numbers and the like are found by their form. What stands near one of them in several different texts and
-hardly anywhere else gives it away even when it is masked: with counts over all texts, a term's pointwise mutual
-information with the entity is compared with the entity's own information, and a term that reveals most of it is
-masked too, wherever it stands in the texts that hold the entity. Only a term that stood near the entity in some text
-is looked at; both are then counted and masked over whole texts. Copies of a text count once. Every such pair is scored,
-however few texts hold it; the term's count is smoothed by one more text without the entity, which weighs most where it
-is low. A bit map of fixed size tells the tasks which terms, and which pairs, to pass on.
+Addresses, numbers and the like are found by their form. What stands beside one of them in the same texts and hardly
+anywhere else gives it away even when it is masked: with counts over all texts, a term's pointwise mutual information
+with the entity is compared with the entity's own information, and a term that reveals most of it is masked too,
+wherever it stands in the texts that hold the entity. Every term of every text is scored with every entity of that text,
+however far apart they stand and however few texts hold them; copies of a text count once. The term's count is smoothed
+by one more text without the entity, which weighs most where it is low. Entities that stand in the same texts have the
+same counts with every term and are scored as one. A term so frequent that it could not reveal the entity even if it
+stood in all of the entity's texts is left out before pairs are made, which loses none.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelens.llm.common import Scratch, holds, key_bits, query, sized_batches, table, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 BATCH_BYTES = 4 << 20
-NEAR = 6  # terms looked at on each side of an entity
 UNSEEN = 1  # texts assumed to hold the term without the entity, beyond those counted
 KEY_RANGE = 1 << 40
 MOST_TOTALS = 200_000  # terms counted in a task before their counts are passed on
@@ -100,42 +99,29 @@ def terms_of(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, in
     return [(m.start(), m.end(), m.group().lower()) for m in TERM.finditer(text) if not taken[m.start()]]
 
 
-def near_terms(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, str]]:
-    """The different (entity, term) where the term stands near the entity."""
-    if not spans:
-        return []
-    terms = terms_of(text, spans)
-    starts = [t[0] for t in terms]
-    wanted: dict[tuple[str, str], None] = {}
-    for s, e, kind in spans:
-        before, after = bisect_left(starts, s), bisect_left(starts, e)
-        for _, _, term in terms[max(0, before - NEAR):before] + terms[after:after + NEAR]:
-            wanted[entity(text[s:e], kind), term] = None
-    return list(wanted)
-
-
-FOUND = "base string, entities array<string>, near array<struct<entity:string,term:string>>, held string"
+FOUND = "base string, entities array<string>, terms array<string>, held string"
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text_key, base, entities, near, held) of every row.
+    """(row, doc_id, text_key, base, entities, terms, held) of every row.
 
-    ``held`` is the text where it has base spans, else null; ``row`` numbers the rows once they are written.
+    ``held`` is the text where it has base spans, else null, and ``terms`` are its different terms outside them; ``row``
+    numbers the rows once they are written.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
+        many = pa.list_(pa.string())
         for rows in sized_batches(batches, "text", BATCH_BYTES):
-            bases, entities, near, held = [], [], [], []
+            bases, entities, terms, held = [], [], [], []
             for text in rows.column("text").to_pylist():
                 spans = base_spans(text or "")
                 bases.append(joined(spans))
                 entities.append(list({entity(text[s:e], k) for s, e, k in spans}))
-                near.append([{"entity": n, "term": t} for n, t in near_terms(text or "", spans)])
+                terms.append(list({t for _, _, t in terms_of(text, spans)}) if spans else [])
                 held.append(text if spans else None)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id").combine_chunks(), rows.column("text_key").combine_chunks(), pa.array(bases), pa.array(entities, pa.list_(pa.string())), pa.array(near, kind), pa.array(held, pa.string())],
-                ["doc_id", "text_key", "base", "entities", "near", "held"],
+                [rows.column("doc_id").combine_chunks(), rows.column("text_key").combine_chunks(), pa.array(bases), pa.array(entities, many), pa.array(terms, many), pa.array(held, pa.string())],
+                ["doc_id", "text_key", "base", "entities", "terms", "held"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -143,39 +129,20 @@ def find_base(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(find, f"doc_id {kind}, text_key long, {FOUND}").withColumn("row", F.monotonically_increasing_id())
 
 
-def _crc(text: str) -> int:
-    return crc32(text.encode("utf-8", "surrogatepass"))
-
-
-def held_pairs(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(row, text_key, entity, term, places) for each of the (entity, term) whose two stand in a row, however far apart.
-
-    ``places`` are start and end of all the term's occurrences outside base spans.
-    """
-    bits = found.sparkSession.sparkContext.broadcast(key_bits(pairs, F.crc32("entity") * 31 + F.crc32("term")))  # at most a megabyte
+def term_places(found: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(row, terms) for each row with terms of the (text_key, term): start and end of all their occurrences outside base spans."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))
-        names = ["row", "text_key", "entity", "term", "places"]
         for rows in sized_batches(batches, "held", BATCH_BYTES):
-            columns = [rows.column(n).to_pylist() for n in ("row", "text_key", "base", "held")]
-            for row, key, base, text in zip(*columns):
-                spans = _spans(base, None)
-                places: dict[str, list[int]] = {}
-                for s, e, term in terms_of(text, spans):
-                    places.setdefault(term, []).extend((s, e))
-                words = list(places)
-                hashed = np.fromiter(map(_crc, words), dtype=np.int64, count=len(words))
-                out = []
-                for name in {entity(text[s:e], kind) for s, e, kind in spans}:
-                    here = np.flatnonzero(holds(bits.value, _crc(name) * 31 + hashed)).tolist()
-                    out += [(row, key, name, words[i], places[words[i]]) for i in here]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-    seen = found.filter("held IS NOT NULL").select("row", "text_key", "base", "held")
-    each = seen.mapInArrow(look, "row long, text_key long, entity string, term string, places array<int>")
-    return each.join(pairs, ["entity", "term"], "left_semi")
+            places = []
+            for base, text, some in zip(*[rows.column(n).to_pylist() for n in ("base", "held", "some")]):
+                wanted = set(some)
+                places.append([at for s, e, term in terms_of(text, _spans(base, None)) if term in wanted for at in (s, e)])
+            yield pa.RecordBatch.from_arrays([rows.column("row").combine_chunks(), pa.array(places, pa.list_(pa.int32()))], ["row", "terms"])
+
+    own = flagged.groupBy("text_key").agg(F.collect_list("term").alias("some"))
+    rows = found.filter("held IS NOT NULL").select("row", "text_key", "base", "held").join(own, "text_key")
+    return rows.select("row", "base", "held", "some").mapInArrow(look, "row long, terms array<int>")
 
 
 COUNTED = "text_key long, terms array<string>, counts array<long>"
@@ -236,21 +203,43 @@ def texts_with(docs: DataFrame, terms: DataFrame, copied: DataFrame, scratch: Sc
     return each.withColumnRenamed("terms", "term").join(terms, "term", "left_semi")
 
 
+def reveals(texts: int, n_both: Column, n_entity: Column, n_term: Column) -> Column:
+    """Whether a term tells at least DISCLOSURE of what an entity tells; of equal other counts a greater ``n_both`` tells more."""
+    told = F.log(F.lit(float(texts)) * n_both / (n_entity * (n_term + UNSEEN)))
+    return (told >= DISCLOSURE * F.log(F.lit(float(texts)) / n_entity)) & (told > 0)
+
+
+def entity_classes(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(text_key, class, n_entity) of every text with entities; entities of the same texts are one class.
+
+    Texts are compared by two 64-bit hashes of their keys, added up bit by bit, and by their number.
+    """
+    stands = scratch.write(found.select(F.explode("entities").alias("entity"), "text_key").distinct(), "stands")
+    same = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("text_key")).alias("a"), F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("b"))
+    each = stands.groupBy("entity").agg(same.alias("class"))
+    return stands.join(each, "entity").select("text_key", "class", F.col("class.n").alias("n_entity")).distinct()
+
+
 def revealing(docs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(entity, term) where the term reveals at least DISCLOSURE of what the entity tells, by counts over different texts."""
-    near = scratch.write(found.select(F.explode("near").alias("x")).select("x.entity", "x.term").distinct(), "near")
-    pairs = scratch.write(held_pairs(found, near).select("entity", "term", "text_key").distinct(), "pairs")
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    both = scratch.write(both, "both")
-    if both.isEmpty():
-        return both.select("entity", "term")
-    entities = found.select(F.explode("entities").alias("entity"), "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    """(text_key, term) where the term reveals an entity of the text, by counts over different texts."""
+    classes = scratch.write(entity_classes(found, scratch), "classes")
+    most = F.max("n_entity").alias("most")
+    held = found.filter("held IS NOT NULL").groupBy("text_key").agg(F.first("terms").alias("terms"))
+    held = scratch.write(held.join(classes.groupBy("text_key").agg(most), "text_key").select("text_key", "most", F.explode("terms").alias("term")), "texts")
+    if held.isEmpty():
+        return held.select("text_key", "term")
     copied = scratch.write(found.groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1").select("text_key"), "copied")
-    terms = scratch.write(texts_with(docs, both.select("term").distinct(), copied, scratch), "terms")
+    known = scratch.write(held.select("term").distinct(), "known")
     texts = found.groupBy("text_key").agg(F.lit(1).alias("one")).count()
-    counts = both.join(terms, "term").join(entities, "entity")
-    told = F.log(F.lit(float(texts)) * F.col("n_both") / (F.col("n_entity") * (F.col("n_term") + UNSEEN)))
-    return counts.filter(told >= DISCLOSURE * F.log(F.lit(float(texts)) / F.col("n_entity"))).filter(told > 0).select("entity", "term")
+    # no term stands in more of an entity's texts than there are, so a pair that fails with all of them fails
+    bound = lambda n_entity: reveals(texts, n_entity, n_entity, F.col("n_term"))
+    greatest = F.lit(classes.agg(most).first().most)
+    terms = scratch.write(texts_with(docs, known, copied, scratch).filter(bound(greatest)), "terms")
+    rare = held.join(terms, "term").filter(bound(F.col("most"))).select("text_key", "term", "n_term")
+    pairs = scratch.write(rare.join(classes, "text_key").filter(bound(F.col("n_entity"))), "pairs")
+    both = pairs.groupBy("class", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
+    flagged = both.filter(reveals(texts, F.col("n_both"), F.col("n_entity"), F.col("n_term"))).select("class", "term")
+    return pairs.join(flagged, ["class", "term"], "left_semi").select("text_key", "term").distinct()
 
 
 def find_all(docs: DataFrame) -> DataFrame:
@@ -262,8 +251,8 @@ def find_all(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "pii")
     found = scratch.write(find_base(docs), "base")
     flagged = scratch.write(revealing(docs, found, scratch), "revealing")
-    places = held_pairs(found, flagged).groupBy("row").agg(F.flatten(F.collect_set("places")).alias("terms"))
-    return found.select("row", "doc_id", "text_key", "base").join(scratch.write(places, "places"), "row", "left")
+    places = scratch.write(term_places(found, flagged), "places")
+    return found.select("row", "doc_id", "text_key", "base").join(places, "row", "left")
 
 
 def _spans(base: str, terms: list[int] | None) -> list[tuple[int, int, str]]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -258,6 +259,39 @@ def test_pii_terms_of_few_texts(spark):
     assert masked == {0: {"Anna", "Lee"}, 1: {"王伟"}, 2: {"王伟"}}
 
 
+def test_pii_every_pair_of_a_text_is_scored(spark):
+    """Against brute force over all entities and terms of whole texts, also where the two never stand near each other."""
+    rng = random.Random(10)
+    names = [f"n{k}@{at}.example.org" for k in range(25) for at in ("zoo", "sea")]
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(676)]
+    texts = [" ".join(rng.choices(words, k=20) + rng.sample(names, rng.choice([0, 1, 2, 3])) + rng.choices(words[:30], k=8)) for _ in range(90)]
+    texts += [f"Zebrafish {sentence(rng, 40)} dan@zoo.example.org {sentence(rng, 30)} zebrafish {k}" for k in range(4)]
+    texts += texts[3:9] + [sentence(rng, 30) + str(k) for k in range(200)]
+    frame_, rows = frame(spark, texts)
+    different = {r[1] for r in rows if r[1]}
+    own_terms = {t: {w for _, _, w in pii.terms_of(t, pii.base_spans(t))} for t in different}
+    own = {t: {pii.entity(t[s:e], k) for s, e, k in pii.base_spans(t)} for t in different}
+    n_entity = Counter(n for t in different for n in own[t])
+    n_term = Counter(w for t in different for w in {m.lower() for m in pii.TERM.findall(t)})
+    n_both = Counter((n, w) for t in different for n in own[t] for w in own_terms[t])
+    whole = len(different)
+
+    def reveals(n, w):
+        told = math.log(whole * n_both[n, w] / (n_entity[n] * (n_term[w] + pii.UNSEEN)))
+        return told > 0 and told >= pii.DISCLOSURE * math.log(whole / n_entity[n])
+
+    got = [r for r in pii.report(frame_).collect() if r.doc_id is not None and r.doc_id < len(texts)]
+    found = 0
+    for r in got:
+        text = texts[r.doc_id]
+        masked = {text[int(s):int(e)].lower() for kind, s, e in (x.split(":") for x in r.spans.split(",") if x) if kind == "term"}
+        assert masked == {w for w in own_terms[text] if any(reveals(n, w) for n in own[text])}
+        found += len(masked)
+        if 90 <= r.doc_id < 94:
+            assert "zebrafish" in masked
+    assert found > 20
+
+
 def test_pii_term_counts(spark, monkeypatch):
     """Terms are counted over different texts, copies once, whatever a task holds before it passes counts on."""
     rng = random.Random(9)
