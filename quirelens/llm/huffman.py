@@ -1,6 +1,6 @@
 """Token ids in canonical, length-limited Huffman code, in blocks that are read on their own.
 
-A first pass writes the ids and counts them. Code lengths come from the global counts by package-merge and are all a
+A first pass writes the ids and, at the end of each task, how often it wrote each. Code lengths come from the global counts by package-merge and are all a
 reader needs: codes are canonical. Documents are dealt by ranges of their id, sorted, and written as blocks of whole
 documents; a block holds its documents' lengths, the bit offset of every 256th id, and the bits. A reader looks up
 the next bits of many such checkpoints at a time in one table. Blocks are rows of a table with binary payloads, so
@@ -97,12 +97,16 @@ class Codec:
         starts = ends - widths
         total = int(ends[-1]) if len(ids) else 0
         size = (total + 7) // 8
-        value = self.codes[ids] << (32 - widths - (starts & 7))
-        at = starts >> 3
-        out = np.zeros(size + 4)
-        for k in range(4):
-            out += np.bincount(at + k, weights=(value >> (24 - 8 * k)) & 255, minlength=size + 4)
-        return out[:size].astype(np.uint8), starts[::CHECKPOINT].astype(np.int64)
+        words = np.zeros((total + 31) // 32 + 1, dtype=np.uint64)
+        if total:
+            # each code in the 64 bits from its 32-bit word on; codes that start in one word are added up together
+            value = (self.codes[ids] << (64 - widths - (starts & 31))).view(np.uint64)
+            at = starts >> 5
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            sums = np.add.reduceat(value, first)
+            words[at[first]] = sums >> np.uint64(32)
+            words[at[first] + 1] += sums & np.uint64(0xFFFFFFFF)
+        return words.astype(">u4").view(np.uint8)[:size], starts[::CHECKPOINT].astype(np.int64)
 
     def unpack(self, data: np.ndarray, checkpoints: np.ndarray, total: int) -> np.ndarray:
         """The ids, read from all checkpoints side by side."""
@@ -137,29 +141,39 @@ def read_block(codec: Codec, block: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids) with ids as 16-bit little-endian bytes, the end id last; a null text has that one only."""
+    """(doc_id, ids, seen) with ids as 16-bit little-endian bytes, the end id last; a null text has that one only.
+
+    Each task ends with a row of its own, in which only ``seen`` is not null: how often it wrote each id of the
+    vocabulary, as 64-bit little-endian numbers.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = encoder(tokenizer), np.array([end_id], dtype="<u2").tobytes()
+        total = np.zeros(VOCABULARY, dtype="<i8")
+        names = ["doc_id", "ids", "seen"]
         for rows in sized_batches(batches, "text", BATCH_BYTES):
-            coded = coder.encode([t or "" for t in rows.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").combine_chunks(), pa.array([c + end for c in coded], pa.binary())], ["doc_id", "ids"])
+            coded = [c + end for c in coder.encode([t or "" for t in rows.column("text").to_pylist()])]
+            total += np.bincount(np.frombuffer(b"".join(coded), dtype="<u2"), minlength=VOCABULARY)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id").combine_chunks(), pa.array(coded, pa.binary()), pa.nulls(len(coded), pa.binary())], names)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids binary, seen binary")
 
 
 def id_counts(coded: DataFrame) -> np.ndarray:
-    """How often each id occurs: added up in each task, so no more than the vocabulary leaves one."""
+    """How often each id occurs: the tasks' own counts added up, so no more than the vocabulary reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(VOCABULARY, dtype=np.int64)
         for rows in batches:
-            joined = b"".join(rows.column("ids").to_pylist())
-            total += np.bincount(np.frombuffer(joined, dtype="<u2"), minlength=VOCABULARY)
+            for own in rows.column("seen"):
+                total += np.frombuffer(own.as_py(), dtype="<i8")
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
 
-    found = coded.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    told = coded.select("seen").filter(F.col("seen").isNotNull())
+    found = told.mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(VOCABULARY, dtype=np.int64)
     for r in found:
         counts[r.id] = r.n
@@ -201,7 +215,7 @@ def write_blocks(coded: DataFrame, lengths: np.ndarray, parts: int) -> DataFrame
         if held:
             yield flush()
 
-    ordered = coded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = coded.filter(F.col("ids").isNotNull()).select("doc_id", "ids").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids")
     return ordered.mapInArrow(write, "file int, block int, first long, n_ids long, doc_ids array<long>, payload binary")
 
 

@@ -54,10 +54,10 @@ class Encoder:
         """Keeps the ids of plain words where the last id of a word is marked, many in one call; returns the other pieces."""
         if not self.ends_word.any():
             return new
-        words = [p for p in new if p.isalpha() and max(p) <= "\xff" and len(p) <= LONGEST_KEPT]
-        for start in range(0, len(words), 1000):
-            part = words[start:start + 1000]
-            ids = np.array(self.whole(" ".join(part)), dtype="<u2")
+        words = [p for p in new if len(p) <= LONGEST_KEPT and p.isalpha() and (p.isascii() or max(p) <= "\xff")]
+        for start in range(0, len(words), 4000):
+            part = words[start:start + 4000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u2")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(part):
                 data, at = ids.tobytes(), 0
@@ -82,15 +82,16 @@ class Encoder:
         for pieces in cut:
             new.update(pieces)
         new = self._words([p for p in new if p not in self.kept])
-        long = {}
         for start in range(0, len(new), 20_000):
             part = new[start:start + 20_000]
             for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (self.kept if len(piece) <= LONGEST_KEPT else long)[piece] = np.array(coded.ids, dtype="<u2").tobytes()
-        if long:
-            return [b"".join([self.kept.get(p) or long.get(p, b"") for p in pieces]) for pieces in cut]
+                self.kept[piece] = np.array(coded.ids, dtype="<u2").tobytes()
         known = self.kept.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        joined = [b"".join(map(known, pieces)) for pieces in cut]
+        for piece in new:
+            if len(piece) > LONGEST_KEPT:
+                del self.kept[piece]
+        return joined
 
 
 def encoder(name: str) -> Encoder:

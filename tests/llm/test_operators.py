@@ -440,6 +440,18 @@ def test_code_lengths(n, limit):
     assert (back == ids).all() and sizes.tolist() == [len(ids)]
 
 
+def test_ids_are_counted_as_they_are_written(spark, docs):
+    """Each task's row of counts is all that is read to count the ids."""
+    frame_, _ = docs
+    coded = huffman.encode_ids(frame_)
+    rows = coded.collect()
+    wanted = np.bincount(np.frombuffer(b"".join(r.ids for r in rows if r.ids is not None), "<u2"), minlength=huffman.VOCABULARY)
+    told = spark.createDataFrame([(r.seen,) for r in rows], "seen binary")
+    assert (huffman.id_counts(told) == wanted).all() and wanted.sum() > 0
+    assert sum(r.ids is None for r in rows) <= frame_.rdd.getNumPartitions()
+    assert all((r.ids is None) != (r.seen is None) for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(tokens.PIECES))
 def test_pieces_give_the_tokenizers_ids(name, monkeypatch):
     """Against the library as it comes, special tokens in the text and all; with room for few pieces, too."""
