@@ -30,6 +30,7 @@ GROUP_PART = 2048  # words of one half that are dealt together
 MOST_COUNTED = 200_000  # different words a task counts before it hands them on
 DAMAGE = 199  # the query deletes a letter where this divides a run's checksum
 BATCH_BYTES = 4 << 20
+PAD = 0xFFFFFFFF  # fills short rows of a matrix: no code point, as a word may hold any of those, zero too
 # runs of [a-zÀ-ÿ] in UTF-8 after A-Z were lower-cased
 RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf]){%d,}" % LEAST_LETTERS)
 
@@ -98,8 +99,8 @@ class Block:
 
     def __init__(self, words: list[str], n: list[int], longer: int):
         self.words, self.n, self.longer = words, n, longer
-        self.left = np.zeros((len(words), longer), dtype=np.uint32)
-        self.right = np.zeros((len(words), longer), dtype=np.uint32)
+        self.left = np.full((len(words), longer), PAD, dtype=np.uint32)
+        self.right = np.full((len(words), longer), PAD, dtype=np.uint32)
         lengths = np.array([len(w) for w in words])
         for short in (0, 1):
             rows = np.flatnonzero(lengths == longer - short)

@@ -58,6 +58,13 @@ def test_neighbours_are_those_of_brute_force(spark, monkeypatch, alphabet):
     assert sorted(map(tuple, spelling.variants(words).collect())) == brute(counts)
 
 
+def test_words_that_end_or_begin_with_a_zero_code_point(spark):
+    """What fills up short words in a comparison is told apart from the zero a word may hold."""
+    counts = {"abcdef": 5, "abcdef\0": 30, "abcdef\0\0": 200, "\0abcdef": 40, "ghijkl\0": 7, "ghijkl": 900}
+    words = spark.createDataFrame(sorted(counts.items()), "word string, n long")
+    assert sorted(map(tuple, spelling.variants(words).collect())) == brute(counts)
+
+
 @pytest.mark.parametrize("tile", [5, 64, 256])
 def test_tiles(monkeypatch, tile):
     monkeypatch.setattr(spelling, "TILE", tile)
