@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, MapType, StructType
 
 from quirelens.functions.ids import safe_key
 from quirelens.operators.lookup import left_lookup
@@ -37,26 +38,47 @@ def _rewritten(entries: Column) -> Column:
     return F.map_from_entries(_bound(renamed, last_of_each))
 
 
-def safe_counts(counts: Column) -> Column:
-    """A count map with safe keys; a map without unsafe keys stays as it is."""
+def _has_unsafe(names: Column) -> Column:
+    """Whether any of the names of a map is unsafe: they are looked through as one text, not one by one."""
+    return _bound(F.array_join(names, ""), _is_unsafe)
 
-    def checked(m: Column) -> Column:
-        return F.when(F.exists(F.map_keys(m), _is_unsafe), _rewritten(F.map_entries(m))).otherwise(m)
 
-    return _bound(counts, checked)
+def safe_counts(counts: Column, values: Column | None = None) -> Column:
+    """A map with safe keys; one without unsafe keys stays as it is.
 
+    ``counts`` is a stored map or a lambda's variable, which costs nothing to refer to again. ``values`` is the same
+    map with other values, where those change too.
+    """
+    made = counts if values is None else values
+
+    def renamed(names: Column) -> Column:
+        clash = F.size(F.array_distinct(names)) < F.size(names)
+        return F.when(clash, _rewritten(F.map_entries(made))).otherwise(F.map_from_arrays(names, F.map_values(made)))
+
+    names = F.transform(F.map_keys(counts), safe_key)
+    return F.when(_has_unsafe(F.map_keys(counts)), _bound(names, renamed)).otherwise(made)
+
+
+def safe_zone(zone: Column, kind: StructType) -> Column:
+    """A zone with safe keys and counts as whole numbers; ``kind`` is its type."""
+
+    def whole(counts: Column, of: MapType) -> Column | None:
+        # the parser leaves counts as text; one that is not a whole number is stored as null, its key stays
+        return None if of.valueType == IntegerType() else F.transform_values(counts, lambda _, n: n.try_cast("int"))
 
-def safe_zone(zone: Column) -> Column:
-    # the parser leaves counts as text; one that is not a whole number is stored as null, its key stays
-    whole = lambda counts: F.transform_values(counts, lambda _, n: n.try_cast("int"))
-    tokens = F.transform_values(zone[TOKEN_MAP], lambda _, tags: safe_counts(whole(tags)))
-    chars = [safe_counts(whole(zone[m])).alias(m) for m in CHAR_MAPS]
-    return F.when(zone.isNotNull(), F.struct(safe_counts(tokens).alias(TOKEN_MAP), *chars))
+    of_tags = kind[TOKEN_MAP].dataType.valueType
+    safe_tags = F.transform_values(zone[TOKEN_MAP], lambda _, tags: safe_counts(tags, whole(tags, of_tags)))
+    if of_tags.valueType == IntegerType():
+        # whole already: new maps are made only where a page has a tag to rewrite
+        tags = F.flatten(F.filter(F.transform(F.map_values(zone[TOKEN_MAP]), F.map_keys), lambda names: names.isNotNull()))
+        safe_tags = F.when(_has_unsafe(tags), safe_tags).otherwise(zone[TOKEN_MAP])
+    chars = [safe_counts(zone[m], whole(zone[m], kind[m].dataType)).alias(m) for m in CHAR_MAPS]
+    return F.when(zone.isNotNull(), F.struct(safe_counts(zone[TOKEN_MAP], safe_tags).alias(TOKEN_MAP), *chars))
 
 
 def safe_zone_maps(pages: DataFrame) -> DataFrame:
     """Safe keys in the three count maps of the three zones, and in the tag maps of the tokens."""
-    return pages.withColumns({z: safe_zone(F.col(z)) for z in ZONES})
+    return pages.withColumns({z: safe_zone(F.col(z), pages.schema[z].dataType) for z in ZONES})
 
 
 def docstore_rows(volumes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelens.operators import concepts as C
@@ -135,17 +135,21 @@ SAFE = "replace(replace({0}, '.', '<PERIOD>'), '$', '<DOLLAR>')"
 )
 def docstore_keys(spark, d):
     pages = docstore.safe_zone_maps(X.explode_pages(T.volumes(spark, d, zones=True)))
-    one = pages.select(F.explode_outer(F.array(*[F.struct(F.lit(z).alias("zone"), F.col(z).alias("z")) for z in ZONES])).alias("e"))
-    names = {
-        "tokenPosCount": F.map_keys("e.z.tokenPosCount"),
-        "beginCharCounts": F.map_keys("e.z.beginCharCounts"),
-        "endCharCount": F.map_keys("e.z.endCharCount"),
-        "tags": F.flatten(F.transform(F.map_values("e.z.tokenPosCount"), F.map_keys)),
-    }
-    lists = F.array(*[F.struct(F.lit(n).alias("count_map"), k.alias("names")) for n, k in names.items()])
-    per_map = X.unfold(one, lists, "m", "e.zone").select("zone", "m.count_map", "m.names")
-    keys = X.unfold(per_map, "names", "key", "zone", "count_map")
-    return keys.groupBy("zone", "count_map", "key").agg(F.count(F.lit(1)).alias("n_pages"))
+
+    def names(zone: str) -> dict[str, Column]:
+        tokens = F.col(f"{zone}.tokenPosCount")
+        return {
+            "tokenPosCount": F.map_keys(tokens),
+            "beginCharCounts": F.map_keys(f"{zone}.beginCharCounts"),
+            "endCharCount": F.map_keys(f"{zone}.endCharCount"),
+            "tags": F.flatten(F.transform(F.map_values(tokens), F.map_keys)),
+        }
+
+    # the names alone are unfolded and counted under a map's number: no map is copied, and what it is called is added to the counts
+    maps = [(F.struct(F.lit(z).alias("zone"), F.lit(n).alias("count_map")), k) for z in ZONES for n, k in names(z).items()]
+    per_map = pages.select(F.posexplode_outer(F.array(*[k for _, k in maps])).alias("m", "names"))
+    counted = X.unfold(per_map, "names", "key", "m").groupBy("m", "key").agg(F.count(F.lit(1)).alias("n_pages"))
+    return counted.withColumn("of", F.get(F.array(*[called for called, _ in maps]), F.col("m"))).select("of.zone", "of.count_map", "key", "n_pages")
 
 
 @query("docstore_id", f"WITH v AS (SELECT {Q.DOC_ID} AS vid, text FROM documents) SELECT 'https://data.example.org/extracted-features/20240115/' || vid AS _id FROM v")

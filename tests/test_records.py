@@ -213,6 +213,24 @@ def test_docstore_keys_and_clashes(spark):
     }
 
 
+def test_safe_keys_of_whole_counts(spark):
+    """Counts that are whole already are not cast, and maps without unsafe keys are not made again."""
+    tokens = {"a.b": {"N.N": 1, "NN": 2}, "a<PERIOD>b": {"NN": 2}, "none": None, "empty": {}}
+    plain = {"x": {"NN": 1}, "y": None}
+    pages = [(1, (tokens, {".": 1, "<PERIOD>": 2}, {"$": None})), (2, (plain, {"x": 1}, None)), (3, (None, {}, {})), (4, None)]
+    zone = "struct<tokenPosCount: map<string, map<string, int>>, beginCharCounts: map<string, int>, endCharCount: map<string, int>>"
+    made = spark.createDataFrame([(n, z, None, z) for n, z in pages], f"n int, header {zone}, footer {zone}, body {zone}")
+    safe = docstore.safe_zone_maps(made)
+    safe_tokens = {"a<PERIOD>b": {"N<PERIOD>N": 1, "NN": 2}, "none": None, "empty": {}}
+    want = {1: (safe_tokens, {"<PERIOD>": 1}, {"<DOLLAR>": None}), 2: (plain, {"x": 1}, None), 3: (None, {}, {}), 4: None}
+    for r in safe.collect():
+        assert r["body"] == r["header"] == want[r["n"]] and r["footer"] is None
+    plan = safe.select("body")._jdf.queryExecution().analyzed().toString()
+    assert "try_cast" not in plan and "try_cast" in docstore.safe_zone_maps(
+        made.withColumns({z: F.col(z).cast(zone.replace("int", "string")) for z in ("header", "body", "footer")})
+    )._jdf.queryExecution().analyzed().toString()
+
+
 def test_replace_does_not_insert(spark):
     store = spark.createDataFrame([("a", "old"), ("b", "old")], "_id string, doc string")
     new = spark.createDataFrame([("a", "n1", 1), ("a", "n2", 2), ("c", "n", 1)], "_id string, doc string, at int")
