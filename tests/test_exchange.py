@@ -47,6 +47,18 @@ def test_only_listed_files_are_opened(spark, folder, tmp_path, slice_bytes):
         assert got.rdd.getNumPartitions() > 100  # a file is far more than a byte: slices between stay empty
 
 
+def test_every_core_gets_a_slice_of_a_short_list(spark, folder, tmp_path):
+    wanted = [f"f{k % 3}/n {k:02d}+é.json.bz2" for k in range(30)]
+    put(folder / "empty.json", "")  # has no bytes, and lies behind the last slice or in it
+    (tmp_path / "list.txt").write_text("\n".join([*wanted, "empty.json"]))
+    got = listed.read_listed(spark, str(tmp_path / "list.txt"), str(folder))
+    assert rows(got, "path", "json") == sorted([*((w, json.dumps({"k": k})) for k, w in enumerate(wanted)), ("empty.json", "")])
+    cores = spark.sparkContext.defaultParallelism
+    assert min(15, cores) <= got.rdd.getNumPartitions() <= listed.SLICES_PER_CORE * cores
+    (tmp_path / "list.txt").write_text("empty.json\n")
+    assert rows(listed.read_listed(spark, str(tmp_path / "list.txt"), str(folder)), "path", "json") == [("empty.json", "")]
+
+
 def test_opened_files_are_the_listed_ones(spark, folder, tmp_path):
     (tmp_path / "list.txt").write_text("f0/n 00+é.json.bz2\nf1/n 01+é.json.bz2\n")
     log = tmp_path / "log"
