@@ -68,3 +68,36 @@ def test_no_side_as_large_as_the_text_is_broadcast(spark):
     plan = segment.segment_terms(made, words)._jdf.queryExecution().executedPlan().toString()
     assert "LeftOuter" in plan
     assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" in line]
+
+
+@pytest.mark.parametrize("alphabet", ["漢字仮", "กขค"])
+def test_held_words_and_joined_words_cut_alike(spark, alphabet):
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 5))) for _ in range(14)} - {alphabet[0]})
+    runs = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 12))) for _ in range(150)})
+    tree = segment.word_tree(words)
+    assert {r: segment.cut_run(r, tree) for r in runs} == {r: brute(r, words) for r in runs}
+    made = spark.createDataFrame([(f"x{r}7",) for r in [*runs, *runs[:9]]] + [("plain",), (None,)], "term string")
+    table = spark.createDataFrame([(w,) for w in [*words, *words, "plain"]] + [(None,)], "word string")
+    held, joined = (sorted(r.term or "" for r in segment.segment_terms(made, table, held_rows=n).collect()) for n in (segment.HELD_MAX_ROWS, 0))
+    assert held == joined == sorted(["plain", ""] + [p for r in [*runs, *runs[:9]] for p in ["x", *brute(r, words), "7"]])
+
+
+def test_a_long_run_takes_no_more_than_its_length(spark):
+    """Ten thousand characters were forty thousand rows, each with the whole run, and a path that was copied at every step."""
+    n = 10_007
+    made = spark.createDataFrame([("日" * n,), ("ก" * 5,)], "term string")
+    words = spark.createDataFrame([("日" * k,) for k in range(1, 5)], "word string")
+    cut = segment.segment_terms(made, words)
+    assert cut.groupBy(F.length("term").alias("n")).count().orderBy("n").collect() == [(1, 5), (3, 1), (4, n // 4)]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "Generate explode(sequence" not in plan
+
+
+def test_places_of_a_run_do_not_carry_it(spark):
+    runs = spark.createDataFrame([("日本語",)], "run string")
+    words = spark.createDataFrame([("日本",), ("日本語日本語",)], "word string")
+    made = segment.parts_that_are_words(runs, words)
+    joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "stop" in line]
+    assert joins and not any(" run#" in line or "[run#" in line for line in joins)
+    assert [(r.run, dict(r.ends)) for r in made.collect()] == [("日本語", {2: [2]})]
