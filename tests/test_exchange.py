@@ -243,3 +243,22 @@ def test_files_are_written_out_of_batches(spark, tmp_path):
     lists = named.write_named(spark.createDataFrame(made, "path string, json string").repartition(1), str(tmp_path / "out"))
     assert rows(listed.read_listed(spark, lists, str(tmp_path / "out")), "path", "json") == made
     assert pa.array(["é"]).cast(pa.binary())[0].as_py() == "é".encode()
+
+
+def test_commands_come_in_batches_and_a_journal_is_read_by_folder(spark, tmp_path):
+    """A row for each command was pickled, and each segment of a hundred commands was a file that the driver listed."""
+    state = str(tmp_path / "state")
+    sink = delivery.delivery_sink(lambda e, body: True, state, "run", (0, 0), 2)
+    assert issubclass(type(sink({}).writer(None, False)), named.DataSourceArrowWriter)
+    got = delivery.deliver(commands(spark, 200), lambda e, body: json.loads(body)["id"] != "d7", state, pause=(0, 0), hold=2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FileScan" not in plan and "Scan json" not in plan
+    assert sum(len(names) for _, _, names in os.walk(os.path.join(state, delivery.JOURNAL))) >= 100
+    want = {f"d{k}": (URLS[0], 1) for k in range(200)} | {"d7": (None, 3)}
+    assert {r.doc_id: (r.endpoint, r.attempts) for r in got.collect()} == want
+    assert filesystem.folders(str(tmp_path / "nowhere")) == [] and filesystem.folders(f"file://{state}") == [delivery.DONE, delivery.JOURNAL]
+
+
+def test_an_empty_delivery_has_no_outcomes(spark, tmp_path):
+    got = delivery.deliver(commands(spark, 3).filter("doc_id = ''"), lambda e, body: True, str(tmp_path / "state"), pause=(0, 0))
+    assert got.columns == ["doc_id", "digest", "endpoint", "attempts"] and got.collect() == []
