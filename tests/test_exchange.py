@@ -262,3 +262,28 @@ def test_commands_come_in_batches_and_a_journal_is_read_by_folder(spark, tmp_pat
 def test_an_empty_delivery_has_no_outcomes(spark, tmp_path):
     got = delivery.deliver(commands(spark, 3).filter("doc_id = ''"), lambda e, body: True, str(tmp_path / "state"), pause=(0, 0))
     assert got.columns == ["doc_id", "digest", "endpoint", "attempts"] and got.collect() == []
+
+
+def test_a_text_is_packed_as_one_block_and_its_folder_is_made_once(spark, tmp_path, monkeypatch):
+    for n in (0, 3, 2_000, 79_000, 99_000, 250_000, 1_200_000):
+        data = b"".join(b"aaaa%d" % k for k in range(n // 7))[:n]
+        packed = named.compressed(data)
+        assert bz2.decompress(packed) == data
+        assert packed[4:] == bz2.compress(data)[4:]  # but for the size of the block that the head names
+    assert named.compressed(b"{}" * 1000)[:4] == b"BZh1" and named.compressed(b"x" * 1_200_000)[:4] == b"BZh9"
+
+    import pyarrow as pa
+
+    class Context:
+        def partitionId(self):
+            return 0
+
+        taskAttemptId = partitionId
+
+    there, publish = [], filesystem.publish
+    monkeypatch.setattr(named.TaskContext, "get", classmethod(lambda cls: Context()))
+    monkeypatch.setattr(named.filesystem, "publish", lambda uri, data, there_=False, **k: (there.append(k.get("there", False)), publish(uri, data, **k)))
+    paths = ["a/b/1.json.bz2", "a/b/2.json.bz2", "a/c/1.json.bz2", "a/b/3.json", "top.json"]
+    message = named.NamedFilesWriter(str(tmp_path)).write(iter([pa.RecordBatch.from_arrays([pa.array(paths), pa.array(["{}"] * 5)], ["path", "json"])]))
+    assert (message.n, there) == (5, [False, True, False, False, False, False])
+    assert all((tmp_path / p).exists() for p in paths)
